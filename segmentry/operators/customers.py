@@ -48,11 +48,8 @@ def _measures(events: DataFrame, key: str) -> DataFrame:
     )
 
 
-def _facets(events: DataFrame, key: str, preferred: bool) -> DataFrame:
+def _facets(events: DataFrame, key: str, names: list[str], preferred: bool) -> DataFrame:
     events = events.withColumn("event_hour", F.hour("event_time"))
-    names = ["user_session", "category_id", "product_id", "event_time", "event_hour"]
-    names += [c for c in ("brand",) if c in events.columns]
-    names += [c for c in ("category_code",) if preferred and c in events.columns]
     # event_time is both a facet and a measure: the measure needs its own column.
     parts = events.select(key, *names, F.col("event_time").alias("_t"), (F.col("event_type") == "purchase").alias("_buy"))
     sets = parts.groupingSets([[F.col(key), F.col(c)] for c in names], key, *names).agg(
@@ -67,6 +64,8 @@ def _facets(events: DataFrame, key: str, preferred: bool) -> DataFrame:
     full = (1 << len(names)) - 1
 
     def facet(name: str) -> Column:
+        if name not in bits:
+            return F.lit(False)
         return (F.col("_gid") == full - bits[name]) & F.col(name).isNotNull()
 
     def distinct(name: str) -> Column:
@@ -75,20 +74,26 @@ def _facets(events: DataFrame, key: str, preferred: bool) -> DataFrame:
     n = F.col("n")
     long_session = facet("user_session") & (n > 1)
     session_hours = F.when(long_session, hours_between(F.col("t0"), F.col("t1")))
-    hour_key = F.max(F.when(facet("event_hour"), n * 32 + (31 - F.col("event_hour"))))
-    out = [
-        distinct("product_id").alias("unique_products_viewed"),
-        F.count_if(facet("product_id") & (F.col("n_buy") > 0)).alias("unique_products_purchased"),
-        distinct("category_id").alias("unique_categories"),
-        (distinct("brand") if "brand" in names else F.lit(0).cast("bigint")).alias("unique_brands"),
-        distinct("user_session").alias("unique_sessions"),
-        distinct("event_time").alias("distinct_times"),
-        (31 - hour_key % 32).cast("int").alias("peak_activity_hour"),
-        F.sum(F.when(facet("category_id"), n.cast("double") * n)).alias("category_squares"),
-        _modal_id(facet("category_id"), n, F.col("category_id")).alias("top_category_id"),
-        F.coalesce(F.avg(session_hours), F.lit(0.0)).alias("avg_session_duration_hours"),
-        F.coalesce(F.max(session_hours), F.lit(0.0)).alias("max_session_duration_hours"),
-    ]
+    out = {
+        "product_id": [
+            distinct("product_id").alias("unique_products_viewed"),
+            F.count_if(facet("product_id") & (F.col("n_buy") > 0)).alias("unique_products_purchased"),
+        ],
+        "category_id": [
+            distinct("category_id").alias("unique_categories"),
+            F.sum(F.when(facet("category_id"), n.cast("double") * n)).alias("category_squares"),
+            _modal_id(facet("category_id"), n, F.col("category_id")).alias("top_category_id"),
+        ],
+        "brand": [distinct("brand").alias("unique_brands")],
+        "event_time": [distinct("event_time").alias("distinct_times")],
+        "event_hour": [_modal_hour(facet("event_hour"), n, F.col("event_hour")).alias("peak_activity_hour")],
+        "user_session": [
+            distinct("user_session").alias("unique_sessions"),
+            F.coalesce(F.avg(session_hours), F.lit(0.0)).alias("avg_session_duration_hours"),
+            F.coalesce(F.max(session_hours), F.lit(0.0)).alias("max_session_duration_hours"),
+        ],
+    }
+    out = [expr for name in names for expr in out.get(name, [])]
     if preferred:
         out += [
             F.min(F.when(facet(c), F.struct((-n).alias("n"), F.col(c).alias("v"))))["v"].alias(f"most_frequent_{c}")
@@ -98,6 +103,11 @@ def _facets(events: DataFrame, key: str, preferred: bool) -> DataFrame:
     return sets.groupBy(key).agg(*out)
 
 
+def _modal_hour(member: Column, n: Column, hour: Column) -> Column:
+    """Most frequent hour, earliest on ties."""
+    return (31 - F.max(F.when(member, n * 32 + (31 - hour))) % 32).cast("int")
+
+
 def _modal_id(member: Column, n: Column, value: Column) -> Column:
     """Most frequent id, smallest on ties, as a max over a fixed-width number.
 
@@ -109,15 +119,46 @@ def _modal_id(member: Column, n: Column, value: Column) -> Column:
     return (top - best % span).cast("bigint")
 
 
-def customer_features(events: DataFrame, key: str = "user_id", preferred: bool = False) -> DataFrame:
+# Which distinct-value scan each column comes from; the others are plain measures.
+_FACET_OF = {
+    "unique_products_viewed": "product_id",
+    "unique_products_purchased": "product_id",
+    "product_diversity": "product_id",
+    "unique_categories": "category_id",
+    "category_diversity": "category_id",
+    "category_concentration": "category_id",
+    "top_category_id": "category_id",
+    "unique_brands": "brand",
+    "brand_diversity": "brand",
+    "avg_time_between_events_hours": "event_time",
+    "peak_activity_hour": "event_hour",
+    "unique_sessions": "user_session",
+    "avg_events_per_session": "user_session",
+    "avg_session_duration_hours": "user_session",
+    "max_session_duration_hours": "user_session",
+}
+
+
+def customer_features(
+    events: DataFrame, key: str = "user_id", preferred: bool = False, columns: list[str] | None = None
+) -> DataFrame:
     """One row per customer with counts, spending, variety, timing, rates, sessions and prices.
 
     Events without a customer are dropped.  ``preferred`` adds the modal brand
-    and category code used by the frequency encoding.
+    and category code used by the frequency encoding.  ``columns`` asks for some
+    columns only, and leaves out the work behind the others.
     """
+    wanted = list(columns or CUSTOMER_COLUMNS)
+    modal = [c for c in ("brand", "category_code") if preferred and c in events.columns]
+    facets = list(dict.fromkeys([*(_FACET_OF[c] for c in wanted if c in _FACET_OF), *modal]))
+    facets = [f for f in facets if f == "event_hour" or f in events.columns]
     events = events.where(F.col(key).isNotNull())
     start = events.agg(F.min("event_time")).scalar()
-    base = _measures(events, key).join(_facets(events, key, preferred), key)
+    base = _measures(events, key)
+    if facets:
+        base = base.join(_facets(events, key, facets, preferred), key)
+    if "brand" not in events.columns:
+        base = base.withColumn("unique_brands", F.lit(0).cast("bigint"))
     total = F.col("total_events")
     span = F.greatest(hours_between(F.col("first_event_time"), F.col("last_event_time")), F.lit(0.0))
 
@@ -147,9 +188,8 @@ def customer_features(events: DataFrame, key: str = "user_id", preferred: bool =
         "days_since_first_event": days_since("first_event_time"),
         "days_since_last_event": days_since("last_event_time"),
     }
-    out = base.withColumns(extra)
-    modal = ["most_frequent_brand", "most_frequent_category_code"]
-    return out.select(key, *CUSTOMER_COLUMNS, *[c for c in modal if c in out.columns])
+    derived = {name: extra[name].alias(name) for name in wanted if name in extra}
+    return base.select(key, *[derived.get(c, F.col(c)) for c in wanted], *[f"most_frequent_{c}" for c in modal])
 
 
 CUSTOMER_COLUMNS = [
