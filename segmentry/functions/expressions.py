@@ -17,9 +17,9 @@ def hours_between(start: Column, end: Column) -> Column:
 
 
 def finite_or_null(col: Column) -> Column:
-    """NaN and both infinities become NULL."""
+    """NaN and both infinities become NULL (Spark orders NaN above infinity)."""
     col = col.cast("double")
-    return F.when(F.isnan(col) | (F.abs(col) == F.lit(float("inf"))), None).otherwise(col)
+    return F.when(F.abs(col) < F.lit(float("inf")), col)
 
 
 def right_closed_bins(col: Column, edges: list[float], labels: list[str], include_lowest: bool = False) -> Column:

@@ -48,11 +48,15 @@ class PreprocessModel:
         return list(self.kept)
 
     def filled(self, col: str) -> Column:
-        value = finite_or_null(F.col(col))
-        return F.coalesce(value, F.lit(self.fills[col])) if col in self.fills else value
+        return self._fill(col, finite_or_null(F.col(col)))
 
     def capped(self, col: str) -> Column:
-        value = self.filled(col)
+        return self._cap(col, self.filled(col))
+
+    def _fill(self, col: str, value: Column) -> Column:
+        return F.coalesce(value, F.lit(self.fills[col])) if col in self.fills else value
+
+    def _cap(self, col: str, value: Column) -> Column:
         if col not in self.caps:
             return value
         low, high = self.caps[col]
@@ -117,8 +121,10 @@ class Preprocessor:
         try:
             stats = self._fit_fills(plain, model)
             self._fit_caps(stats, model)
-            rows = model._rows(plain)
-            capped = rows.select(*[model.capped(c).alias(c) for c in model.columns])
+            # Evaluated once, then read by the correlation, the moments and the PCA.
+            capped = model._rows(plain).select(
+                *[model._cap(c, model._fill(c, F.col(c))).alias(c) for c in model.columns]
+            ).persist()
             model.correlated = correlated_columns(capped, model.columns, self.correlation_threshold)
             left = [c for c in model.columns if c not in model.correlated]
             moments = capped.agg(
@@ -138,7 +144,8 @@ class Preprocessor:
                     center, scale = mean[c], variance[c] ** 0.5
                 model.centers[c], model.scales[c] = center, scale if scale > 0 else 1.0
             if self.use_pca:
-                self._fit_pca(plain, model)
+                self._fit_pca(capped, model)
+            capped.unpersist()
         finally:
             plain.unpersist()
         return model
@@ -173,7 +180,7 @@ class Preprocessor:
             model.fills = {c: stats[c].quantile(0.5) for c in model.columns}
         holed = [c for c in model.columns if stats[c].n < total]
         if holed:
-            refilled = plain.select(*[model.filled(c).alias(c) for c in holed])
+            refilled = plain.select(*[model._fill(c, F.col(c)).alias(c) for c in holed])
             stats |= order_statistics(refilled, holed, self._probs())
         return stats
 
@@ -204,8 +211,10 @@ class Preprocessor:
 
         return stats.quantile(0.5, clip), stats.quantile(0.75, clip) - stats.quantile(0.25, clip)
 
-    def _fit_pca(self, plain: DataFrame, model: PreprocessModel) -> None:
-        scaled = model.transform(plain)
+    def _fit_pca(self, capped: DataFrame, model: PreprocessModel) -> None:
+        scaled = capped.select(
+            *[((F.col(c) - F.lit(model.centers[c])) / F.lit(model.scales[c])).alias(c) for c in model.kept]
+        )
         mean, components, ratio = principal_components(scaled, model.kept, len(model.kept))
         wanted = int(np.searchsorted(np.cumsum(ratio), self.pca_variance_explained, side="right")) + 1
         wanted = min(wanted, len(ratio))
