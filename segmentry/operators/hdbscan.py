@@ -1,0 +1,146 @@
+"""HDBSCAN over summaries of the points.
+
+Core distances, the mutual-reachability spanning tree and the condensed tree
+are worked out on at most ``m`` weighted summaries; exact while there are no
+more distinct points than that, and every row follows its summary beyond.
+"""
+
+from __future__ import annotations
+
+from collections import defaultdict
+
+import numpy as np
+from pyspark.sql import DataFrame
+
+from segmentry import settings
+from segmentry.functions.vectors import squared_distances
+from segmentry.operators.summaries import MAX_SUMMARIES, summarise
+
+_SMALLEST = 1e-12  # distance standing in for zero, so that densities stay finite
+
+
+def hdbscan(
+    df: DataFrame,
+    min_cluster_size: int = settings.HDBSCAN_MIN_CLUSTER_SIZE,
+    min_samples: int | None = None,
+    m: int = MAX_SUMMARIES,
+    seed: int = settings.SEED,
+) -> DataFrame:
+    """``(id, cluster)``; -1 is noise.  ``min_samples`` defaults to ``min_cluster_size``."""
+    summaries = summarise(df, m, seed)
+    min_samples = min_cluster_size if min_samples is None else min_samples
+    return summaries.label(cluster_summaries(summaries.centers, summaries.weights, min_cluster_size, min_samples))
+
+
+def cluster_summaries(points: np.ndarray, weights: np.ndarray, min_cluster_size: int, min_samples: int) -> np.ndarray:
+    n = len(points)
+    if n < 2 or weights.sum() < min_cluster_size:
+        return np.full(n, -1)
+    gap = np.sqrt(squared_distances(points, points))
+    np.fill_diagonal(gap, 0.0)
+    core = _core_distances(gap, weights, min_samples)
+    reach = np.maximum(gap, np.maximum(core[:, None], core[None, :]))
+    tree = _Dendrogram(_spanning_tree(reach), weights)
+    return tree.flat_clusters(min_cluster_size, core)
+
+
+def _core_distances(gap: np.ndarray, weights: np.ndarray, min_samples: int) -> np.ndarray:
+    """Distance at which ``min_samples`` rows, the point's own included, are reached."""
+    order = np.argsort(gap, axis=1, kind="stable")
+    reached = np.cumsum(weights[order], axis=1) >= min(min_samples, weights.sum())
+    at = reached.argmax(axis=1)
+    return np.take_along_axis(gap, np.take_along_axis(order, at[:, None], axis=1), axis=1)[:, 0]
+
+
+def _spanning_tree(reach: np.ndarray) -> list[tuple[float, int, int]]:
+    """Minimum spanning tree edges, shortest first."""
+    n = len(reach)
+    best, via, outside = reach[0].copy(), np.zeros(n, int), np.ones(n, bool)
+    outside[0] = False
+    edges = []
+    for _ in range(n - 1):
+        node = int(np.where(outside, best, np.inf).argmin())
+        edges.append((float(best[node]), int(via[node]), node))
+        outside[node] = False
+        closer = outside & (reach[node] < best)
+        best[closer], via[closer] = reach[node][closer], node
+    return sorted(edges)
+
+
+class _Dendrogram:
+    """Single-linkage tree: leaves 0..n-1 are summaries, inner nodes follow by height."""
+
+    def __init__(self, edges: list[tuple[float, int, int]], weights: np.ndarray):
+        self.n, self.size = len(weights), list(weights)
+        self.children: dict[int, tuple[int, int]] = {}
+        self.height: dict[int, float] = {}
+        top = list(range(self.n)) + [0] * (self.n - 1)
+
+        def find(i: int) -> int:
+            while top[i] != i:
+                top[i] = top[top[i]]
+                i = top[i]
+            return i
+
+        for node, (height, a, b) in enumerate(edges, start=self.n):
+            a, b = find(a), find(b)
+            top[node] = top[a] = top[b] = node
+            self.children[node], self.height[node] = (a, b), height
+            self.size.append(self.size[a] + self.size[b])
+        self.root = 2 * self.n - 2
+
+    def leaves(self, node: int) -> list[int]:
+        out, stack = [], [node]
+        while stack:
+            node = stack.pop()
+            if node < self.n:
+                out.append(node)
+            else:
+                stack.extend(self.children[node])
+        return out
+
+    def flat_clusters(self, min_cluster_size: int, core: np.ndarray) -> np.ndarray:
+        """Clusters of the largest total stability, the root excluded."""
+        birth, stability, inside = {self.root: 0.0}, defaultdict(float), defaultdict(list)
+        stack = [(self.root, self.root)]  # (tree node, cluster it continues)
+        order = [self.root]
+        while stack:
+            node, cluster = stack.pop()
+            if node < self.n:
+                density = 1.0 / max(core[node], _SMALLEST)
+                stability[cluster] += self.size[node] * (density - birth[cluster])
+                continue
+            density = 1.0 / max(self.height[node], _SMALLEST)
+            kept = [c for c in self.children[node] if self.size[c] >= min_cluster_size]
+            if len(kept) == 2:
+                stability[cluster] += self.size[node] * (density - birth[cluster])
+                for child in kept:
+                    birth[child] = density
+                    inside[cluster].append(child)
+                    order.append(child)
+                    stack.append((child, child))
+                continue
+            for child in self.children[node]:
+                if child in kept:
+                    stack.append((child, cluster))
+                else:
+                    stability[cluster] += self.size[child] * (density - birth[cluster])
+        chosen, total = set(), {}
+        for cluster in reversed(order):
+            below = sum(total[c] for c in inside[cluster])
+            if cluster != self.root and (not inside[cluster] or stability[cluster] >= below):
+                chosen.add(cluster)
+                total[cluster] = stability[cluster]
+            else:
+                total[cluster] = below
+        labels, stack = np.full(self.n, -1), [self.root]
+        groups = []
+        while stack:
+            cluster = stack.pop()
+            if cluster in chosen:
+                groups.append(sorted(self.leaves(cluster)))
+            else:
+                stack.extend(inside[cluster])
+        for number, members in enumerate(sorted(groups)):
+            labels[members] = number
+        return labels

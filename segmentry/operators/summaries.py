@@ -1,0 +1,55 @@
+"""At most ``m`` weighted summaries of the points, for algorithms that need all pairs.
+
+With at most ``m`` distinct vectors the summaries are those vectors and nothing
+is lost.  Beyond that they are the centres of a Spark K-means with ``m``
+clusters, and every row is mapped to its nearest one.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+import numpy as np
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from segmentry import settings
+from segmentry.functions.ranks import lookup_join
+from segmentry.operators.dbscan import distinct_points
+from segmentry.operators.kmeans import assign
+
+MAX_SUMMARIES = 2_000
+
+
+@dataclass
+class Summaries:
+    centers: np.ndarray
+    weights: np.ndarray
+    rows: DataFrame  # (id, summary)
+    exact: bool
+
+    def label(self, labels: np.ndarray) -> DataFrame:
+        """``(id, cluster)`` from one label per summary (a table of at most ``m`` rows)."""
+        spark = self.rows.sparkSession
+        table = spark.createDataFrame([(i, int(c)) for i, c in enumerate(labels)], "summary int, cluster int")
+        return self.rows.join(F.broadcast(table), "summary").select("id", "cluster")
+
+
+def summarise(df: DataFrame, m: int = MAX_SUMMARIES, seed: int = settings.SEED) -> Summaries:
+    counts = distinct_points(df)
+    if counts.distinct <= m:
+        vectors = counts.table.orderBy("id").collect()
+        table = df.sparkSession.createDataFrame(
+            [(r["value"], r["ties"], i) for i, r in enumerate(vectors)], "value array<double>, ties bigint, summary int"
+        )
+        rows = lookup_join(df.select("id", "features"), F.col("features"), counts, table, "summary", F.col("id"))
+        centers = np.array([r["value"] for r in vectors])
+        return Summaries(centers, np.array([r["ties"] for r in vectors], float), rows.select("id", "summary"), True)
+    weighted = counts.table.select(array_to_vector("value").alias("features"), F.col("ties").cast("double").alias("w"))
+    model = KMeans(k=m, seed=seed, maxIter=10, weightCol="w").fit(weighted)
+    rows = assign(df.select("id", "features"), {"summary": np.array(model.clusterCenters())}).select("id", "summary").persist()
+    sizes = {r["summary"]: r["n"] for r in rows.groupBy("summary").agg(F.count(F.lit(1)).alias("n")).collect()}
+    weights = np.array([sizes.get(i, 0) for i in range(len(model.clusterCenters()))], float)
+    return Summaries(np.array(model.clusterCenters()), np.maximum(weights, 1e-9), rows, False)
