@@ -28,12 +28,13 @@ from segmentry.session import materialize
 HOME_ROWS = 4_096
 CANDIDATE_ROWS = 8_192
 MAX_PIVOTS = 2_048
+DRIVER_EDGES = 200_000
 
 
 def distinct_points(df: DataFrame) -> ValueCounts:
     """``(value = features, ties, id)``, one row per distinct vector; ``id`` is the smallest."""
-    table = materialize(
-        df.groupBy(F.col("features").alias("value")).agg(F.count(F.lit(1)).alias("ties"), F.min("id").alias("id"))
+    table = (
+        df.groupBy(F.col("features").alias("value")).agg(F.count(F.lit(1)).alias("ties"), F.min("id").alias("id")).persist()
     )
     distinct, rows = table.agg(F.count(F.lit(1)), F.coalesce(F.sum("ties"), F.lit(0))).first()
     return ValueCounts(table, distinct, rows)
@@ -43,9 +44,13 @@ class _Blocks:
     """Pivots, block radii and the number of sub-blocks of each block."""
 
     def __init__(self, points: DataFrame, n: int, eps: float):
-        wanted = max(-(-n // HOME_ROWS), min(8, -(-n // 256)))
+        wanted, self.eps = -(-n // HOME_ROWS), eps
+        if wanted <= 1:
+            # Everything fits one block: no pivot has to be found.
+            self.pivots, self.radii, self.splits = None, None, [(0, 1, 1)]
+            return
         picked = points.orderBy(F.xxhash64("id"), "id").limit(min(wanted, MAX_PIVOTS)).select("features").collect()
-        self.pivots, self.eps = np.array([r["features"] for r in picked]), eps
+        self.pivots, self.splits = np.array([r["features"] for r in picked]), None
         home = points.transform(self._with_home)
         stats = home.groupBy("home").agg(F.max("distance").alias("radius")).collect()
         self.radii = np.full(len(self.pivots), -np.inf)
@@ -69,6 +74,8 @@ class _Blocks:
 
     def place(self, points: DataFrame) -> DataFrame:
         """Point columns plus ``block`` and ``at_home``, one row per block that needs the point."""
+        if self.pivots is None:
+            return points.withColumns({"block": F.lit(0), "at_home": F.lit(True)})
         pivots, reach = self.pivots, self.radii + self.eps
 
         def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,7 +106,7 @@ class _Blocks:
     def grouped(self, points: DataFrame) -> DataFrame:
         """Rows keyed ``(block, s, t)``: home sub-block ``s`` against candidate sub-block ``t``."""
         placed = self.place(points)
-        if not hasattr(self, "splits"):
+        if self.splits is None:
             counts = placed.groupBy("block").agg(
                 F.count_if("at_home").alias("homes"), F.count(F.lit(1)).alias("candidates")
             )
@@ -175,6 +182,37 @@ def _local_links(eps: float):
     return link
 
 
+def _cluster_numbers(links: DataFrame, id_type: str) -> DataFrame:
+    """``(rep, cluster)`` for every local component, numbered by smallest core id.
+
+    Local components that share a core belong together.  That graph has one node
+    per local component; while it is counted to be small its components are found
+    on the driver, beyond that by joins.
+    """
+    spark = links.sparkSession
+    reps = links.where("not border").groupBy("a").agg(F.collect_set("b").alias("reps"))
+    edges = reps.select(F.array_min("reps").alias("a"), F.explode("reps").alias("b")).distinct()
+    few = edges.limit(DRIVER_EDGES + 1).collect()
+    if len(few) <= DRIVER_EDGES:
+        lowest: dict = {}
+
+        def root(i):
+            while lowest[i] != i:
+                lowest[i] = lowest[lowest[i]]
+                i = lowest[i]
+            return i
+
+        for a, b in few:
+            lowest.setdefault(a, a), lowest.setdefault(b, b)
+            a, b = root(a), root(b)
+            lowest[max(a, b)] = min(a, b)
+        roots = {i: root(i) for i in lowest}
+        number = {r: n for n, r in enumerate(sorted(set(roots.values())))}
+        return spark.createDataFrame([(i, number[r]) for i, r in roots.items()], f"b {id_type}, cluster int").hint("broadcast")
+    components = materialize(connected_components(edges))
+    return dense_codes(components, "component", "cluster", "node").select(F.col("node").alias("b"), "cluster")
+
+
 def dbscan(df: DataFrame, eps: float, min_samples: int) -> DataFrame:
     """``(id, cluster)`` for ``(id, features)``; -1 is noise.
 
@@ -193,23 +231,16 @@ def dbscan(df: DataFrame, eps: float, min_samples: int) -> DataFrame:
         .groupBy("id")
         .agg(F.sum("degree").alias("degree"))
     )
-    flagged = materialize(points.join(degrees, "id").withColumn("core", F.col("degree") >= min_samples).drop("degree"))
-    links = materialize(
+    flagged = points.join(degrees, "id").withColumn("core", F.col("degree") >= min_samples).drop("degree").persist()
+    links = (
         blocks.grouped(flagged)
         .groupBy("block", "s", "t")
         .applyInPandas(_local_links(eps), f"a {id_type}, b {id_type}, border boolean")
-        .distinct()
-    )
-    components = materialize(connected_components(links.where("not border").select("a", "b")))
-    borders = (
-        links.where("border")
-        .join(components, F.col("b") == F.col("node"))
-        .groupBy(F.col("a").alias("node"))
-        .agg(F.min("component").alias("component"))
+        .persist()
     )
-    labels = components.unionByName(borders).withColumnRenamed("node", "id")
-    named = flagged.select("id").join(labels, "id", "left")
-    coded = dense_codes(named, "component", "cluster", "id").select("id", F.coalesce("cluster", F.lit(-1)).alias("cluster"))
+    numbers = _cluster_numbers(links, id_type)
+    labels = links.join(numbers, "b").groupBy(F.col("a").alias("id")).agg(F.min("cluster").alias("cluster"))
+    coded = flagged.select("id").join(labels, "id", "left").fillna(-1, ["cluster"])
     if counts.distinct == counts.rows:
         return coded
     # Copies take the label of their vector; a vector holding many rows does not meet in one task.

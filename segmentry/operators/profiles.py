@@ -91,6 +91,24 @@ def business_summary(df: DataFrame, cluster: str = "cluster") -> DataFrame:
     return out.withColumn("share", share)
 
 
+def grade(scores: DataFrame) -> DataFrame:
+    """Verdicts on ``silhouette_score`` and ``davies_bouldin`` of a metrics table."""
+
+    def first_match(score, steps, last):
+        out = F.lit(last)
+        for limit, label in reversed(steps):
+            hit = score > limit if steps is settings.SILHOUETTE_GRADES else score < limit
+            out = F.when(hit, label).otherwise(out)
+        return out
+
+    return scores.withColumns(
+        {
+            "silhouette_grade": first_match(F.col("silhouette_score"), settings.SILHOUETTE_GRADES, "Fair"),
+            "separation_grade": first_match(F.col("davies_bouldin"), settings.DB_GRADES, "Clusters may overlap"),
+        }
+    )
+
+
 def pca_projection(df: DataFrame, cols: list[str], n_components: int = 2, keep: tuple[str, ...] = ()) -> tuple[DataFrame, list[float]]:
     """Rows in the plane or space of the first components, and the variance ratios."""
     if n_components not in (2, 3):

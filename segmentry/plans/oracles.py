@@ -286,3 +286,64 @@ def correlation_drops(cols: list[str], source: str) -> str:
         f"WITH {correlations(cols, source)} SELECT DISTINCT feature_a AS feature FROM pairs "
         "WHERE isfinite(r) AND abs(r) > 0.95"
     )
+
+
+# --- given-label metrics over the embeddings ---------------------------------
+
+VECTORS = "vecs AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS e, label AS cluster FROM embeddings)"
+
+
+def labelled(label: str) -> str:
+    return f"vecs AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS e, CAST({label} AS INTEGER) AS cluster FROM embeddings)"
+
+
+SILHOUETTE = """
+dist AS (
+  SELECT a.id, a.cluster AS own, b.cluster, sum(list_distance(a.e, b.e)) AS total, count(*) AS n
+  FROM vecs a, vecs b GROUP BY 1, 2, 3
+),
+ab AS (
+  SELECT id, max(n) FILTER (own = cluster) AS size,
+    max(CASE WHEN own = cluster AND n > 1 THEN total / (n - 1) END) AS a, min(total / n) FILTER (own <> cluster) AS b
+  FROM dist GROUP BY id
+),
+sil AS (SELECT avg(CASE WHEN size > 1 THEN (b - a) / greatest(a, b) ELSE 0.0 END) AS s FROM ab)"""
+
+CENTROIDS = """
+parts AS (SELECT id, cluster, unnest(e) AS x, generate_subscripts(e, 1) AS pos FROM vecs),
+cents AS (
+  SELECT cluster, list(m ORDER BY pos) AS c FROM (SELECT cluster, pos, avg(x) AS m FROM parts GROUP BY 1, 2) GROUP BY 1
+),
+overall AS (SELECT list(m ORDER BY pos) AS c FROM (SELECT pos, avg(x) AS m FROM parts GROUP BY 1)),
+spread AS (
+  SELECT cluster, any_value(c) AS c, count(*) AS n, avg(list_distance(e, c)) AS s, sum(list_distance(e, c) ** 2) AS ss
+  FROM vecs JOIN cents USING (cluster) GROUP BY 1
+)"""
+
+DAVIES_BOULDIN = """
+db AS (
+  SELECT avg(worst) AS v FROM (
+    SELECT a.cluster, max((a.s + b.s) / list_distance(a.c, b.c)) AS worst FROM spread a JOIN spread b ON a.cluster <> b.cluster GROUP BY 1
+  )
+)"""
+
+CALINSKI = """
+ch AS (
+  SELECT (sum(n * list_distance(spread.c, overall.c) ** 2) / (count(*) - 1)) / (sum(ss) / (sum(n) - count(*))) AS v FROM spread, overall
+)"""
+
+
+def dbscan(points: str, eps: float, min_samples: int) -> str:
+    """Labels of the CTE ``pts(id, e)``, by reachability over core pairs."""
+    return f"""WITH RECURSIVE {points},
+    near AS MATERIALIZED (SELECT a.id AS a, b.id AS b FROM pts a, pts b WHERE list_distance(a.e, b.e) <= {eps}),
+    core AS MATERIALIZED (SELECT a AS id FROM near GROUP BY 1 HAVING count(*) >= {min_samples}),
+    links AS MATERIALIZED (SELECT a, b FROM near SEMI JOIN core ca ON a = ca.id SEMI JOIN core cb ON b = cb.id),
+    reach AS (SELECT id, id AS seed FROM core UNION SELECT links.b, reach.seed FROM reach JOIN links ON links.a = reach.id),
+    comp AS (SELECT id, min(seed) AS root FROM reach GROUP BY 1),
+    num AS (SELECT root, dense_rank() OVER (ORDER BY root) - 1 AS cluster FROM (SELECT DISTINCT root FROM comp)),
+    cored AS (SELECT comp.id, num.cluster FROM comp JOIN num USING (root)),
+    border AS (SELECT near.a AS id, min(cored.cluster) AS cluster FROM near JOIN cored ON near.b = cored.id
+               WHERE near.a NOT IN (SELECT id FROM core) GROUP BY 1)
+    SELECT pts.id, CAST(coalesce(cored.cluster, border.cluster, -1) AS INTEGER) AS cluster
+    FROM pts LEFT JOIN cored USING (id) LEFT JOIN border USING (id)"""

@@ -4,15 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+from segmentry import settings
 from segmentry.functions import finite_or_null
-from segmentry.operators import customers, eda, engineer, preprocess, profiles, quality, rfm
+from segmentry.operators import customers, eda, engineer, kselect, metrics, preprocess, profiles, quality, rfm, segments
+from segmentry.operators.dbscan import dbscan
+from segmentry.operators.kmeans import assign
 from segmentry.plans import oracles
+from segmentry.plans import pipeline as job
 from segmentry.sources import coerce_events, row_count
-from segmentry.sources.warehouse import events_canonical, events_sparse, order_customers, table
+from segmentry.sources.warehouse import events_canonical, events_sparse, labelled_vectors, order_customers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -486,3 +491,317 @@ def _box_sql() -> str:
 
 
 register("box_stats", lambda s, d: eda.box_stats(_pre_input(s, d), _BOXED), _box_sql())
+
+# --- quality of given labels, on the embeddings -------------------------------
+
+
+def _score(column: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        long = metrics.exploded(metrics.one_labelling(labelled_vectors(spark, sf_dir)))
+        return metrics.between_scores(long).select(column)
+
+    return run
+
+
+register(
+    "silhouette_exact",
+    lambda s, d: metrics.silhouettes(metrics.one_labelling(labelled_vectors(s, d))).select("silhouette_score"),
+    f"WITH {oracles.VECTORS}, {oracles.SILHOUETTE} SELECT {oracles.r6('s', 'silhouette_score')} FROM sil",
+)
+register(
+    "davies_bouldin",
+    _score("davies_bouldin"),
+    f"WITH {oracles.VECTORS}, {oracles.CENTROIDS}, {oracles.DAVIES_BOULDIN} SELECT {oracles.r6('v', 'davies_bouldin')} FROM db",
+)
+register(
+    "calinski_harabasz",
+    _score("calinski_harabasz"),
+    f"WITH {oracles.VECTORS}, {oracles.CENTROIDS}, {oracles.CALINSKI} SELECT {oracles.r6('v', 'calinski_harabasz')} FROM ch",
+)
+register(
+    "inertia_given_labels",
+    _score("inertia"),
+    f"WITH {oracles.VECTORS}, {oracles.CENTROIDS} SELECT {oracles.r6('sum(ss)', 'inertia')} FROM spread",
+)
+
+
+def _three_labellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = labelled_vectors(spark, sf_dir)
+    labels = {"label": F.col("cluster"), "mod3": F.col("id") % 3, "noisy": F.when(F.col("id") % 5 == 0, -1).otherwise(F.col("cluster"))}
+    entries = [x for name, c in labels.items() for x in (F.lit(name), c.cast("int"))]
+    return rows.select("id", "features", F.create_map(*entries).alias("labels"))
+
+
+def _quality_sql(name: str, label: str) -> str:
+    sizes = "(SELECT count(*) AS n FROM vecs GROUP BY cluster)"
+    return f"""SELECT * FROM (WITH {oracles.labelled(label)}, {oracles.SILHOUETTE}, {oracles.CENTROIDS}, {oracles.DAVIES_BOULDIN}, {oracles.CALINSKI}
+      SELECT '{name}' AS labelling, (SELECT count(DISTINCT cluster) FROM vecs) AS n_clusters,
+        (SELECT count(*) FROM vecs WHERE cluster = -1) AS n_noise, (SELECT count(*) FROM vecs) AS n_samples,
+        {oracles.r6('(SELECT s FROM sil)', 'silhouette_score')}, 'exact' AS silhouette_kind,
+        {oracles.r6('(SELECT v FROM db)', 'davies_bouldin')}, {oracles.r6('(SELECT v FROM ch)', 'calinski_harabasz')},
+        {oracles.r6('(SELECT sum(ss) FROM spread)', 'inertia')},
+        (SELECT min(n) FROM {sizes}) AS min_cluster_size, (SELECT max(n) FROM {sizes}) AS max_cluster_size,
+        {oracles.r6(f'(SELECT avg(n) FROM {sizes})', 'avg_cluster_size')})"""
+
+
+register(
+    "quality_rows",
+    lambda s, d: metrics.quality_table(_three_labellings(s, d), silhouette="exact"),
+    " UNION ALL ".join(
+        _quality_sql(name, label)
+        for name, label in (
+            ("label", "label"),
+            ("mod3", "vec_id % 3"),
+            ("noisy", "(CASE WHEN vec_id % 5 = 0 THEN -1 ELSE label END)"),
+        )
+    ),
+)
+register(
+    "silhouette_squared",
+    lambda s, d: s.createDataFrame(
+        [(metrics.silhouette_squared(metrics.one_labelling(labelled_vectors(s, d)), "labels"),)], "silhouette_sq double"
+    ),
+    f"WITH {oracles.VECTORS}, {oracles.SILHOUETTE.replace('sum(list_distance(a.e, b.e))', 'sum(list_distance(a.e, b.e) ** 2)')} "
+    f"SELECT {oracles.r6('s', 'silhouette_sq')} FROM sil",
+)
+register(
+    "adjusted_rand",
+    lambda s, d: metrics.adjusted_rand(labelled_vectors(s, d).withColumn("other", F.col("id") % 10), "cluster", "other"),
+    f"""WITH t AS (SELECT label AS a, vec_id % 10 AS b FROM embeddings),
+      c AS (SELECT sum(n * (n - 1) / 2) AS s FROM (SELECT count(*) AS n FROM t GROUP BY a, b)),
+      ra AS (SELECT sum(n * (n - 1) / 2) AS s FROM (SELECT count(*) AS n FROM t GROUP BY a)),
+      rb AS (SELECT sum(n * (n - 1) / 2) AS s FROM (SELECT count(*) AS n FROM t GROUP BY b)),
+      p AS (SELECT count(*) * (count(*) - 1) / 2 AS s FROM t)
+    SELECT {oracles.r6('((c.s - ra.s * rb.s / p.s) / ((ra.s + rb.s) / 2 - ra.s * rb.s / p.s))', 'adjusted_rand')} FROM c, ra, rb, p""",
+)
+
+
+def _nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One assignment step with the label means as centres."""
+    rows = labelled_vectors(spark, sf_dir)
+    means = metrics.centroids(metrics.exploded(metrics.one_labelling(rows))).orderBy("cluster")
+    centres = np.array([r["centre"] for r in means.collect()])
+    return assign(rows.select("id", "features"), {"nearest": centres}).select("id", "nearest")
+
+
+register(
+    "nearest_centroid",
+    _nearest,
+    f"WITH {oracles.VECTORS}, {oracles.CENTROIDS} "
+    "SELECT id, CAST(arg_min(cents.cluster, list_distance(e, c)) AS INTEGER) AS nearest FROM vecs, cents GROUP BY id",
+)
+
+
+def _inertia_by_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inertia of the labels ``id % k`` for every K of the sweep."""
+    rows = labelled_vectors(spark, sf_dir)
+    entries = [x for k in settings.K_RANGE for x in (F.lit(str(k)), (F.col("id") % k).cast("int"))]
+    long = metrics.exploded(rows.select("id", "features", F.create_map(*entries).alias("labels")))
+    return metrics.between_scores(long).select(F.col("labelling").cast("int").alias("k"), "inertia")
+
+
+_INERTIA_CTES = f"""{oracles.VECTORS.replace('label AS cluster', 'vec_id')},
+  parts AS (SELECT id, k, id % k AS cluster, unnest(e) AS x, generate_subscripts(e, 1) AS pos FROM vecs, range(2, 11) AS ks(k)),
+  means AS (SELECT k, cluster, pos, avg(x) AS m FROM parts GROUP BY ALL),
+  scores AS (SELECT CAST(k AS INTEGER) AS k, sum((x - m) ** 2) AS inertia FROM parts JOIN means USING (k, cluster, pos) GROUP BY 1)"""
+register("inertia_by_k", _inertia_by_k, f"WITH {_INERTIA_CTES} SELECT k, {oracles.r6('inertia')} FROM scores")
+register(
+    "elbow_reference",
+    lambda s, d: kselect.elbow_reference(_inertia_by_k(s, d)),
+    f"""WITH {_INERTIA_CTES},
+      d AS (SELECT k, inertia - lead(inertia) OVER (ORDER BY k) AS drop, lead(k) OVER (ORDER BY k) AS next_k FROM scores),
+      r AS (SELECT *, CASE WHEN lead(drop) OVER (ORDER BY k) > 0 THEN drop / lead(drop) OVER (ORDER BY k)
+                          WHEN lead(drop) OVER (ORDER BY k) IS NOT NULL THEN 0 END AS rate FROM d)
+    SELECT coalesce((SELECT next_k FROM r WHERE rate < 0.5 ORDER BY k LIMIT 1), (SELECT k FROM scores ORDER BY k LIMIT 1 OFFSET 1)) AS optimal_k""",
+)
+register(
+    "elbow_knee",
+    lambda s, d: kselect.elbow_knee(_inertia_by_k(s, d)),
+    f"""WITH {_INERTIA_CTES}, ends AS (SELECT min(k) AS k0, max(k) AS k1, arg_min(inertia, k) AS i0, arg_max(inertia, k) AS i1 FROM scores)
+    SELECT k AS optimal_k FROM scores, ends ORDER BY i0 + (k - k0) / (k1 - k0) * (i1 - i0) - inertia DESC, k LIMIT 1""",
+)
+register(
+    "cluster_sizes",
+    lambda s, d: profiles.cluster_sizes(labelled_vectors(s, d)),
+    f"""SELECT CAST(label AS INTEGER) AS cluster, count(*) AS cluster_size,
+      {oracles.r6('(count(*) / (SELECT count(*) FROM embeddings))', 'share')} FROM embeddings GROUP BY 1""",
+)
+register(
+    "cluster_size_summary",
+    lambda s, d: profiles.size_summary(labelled_vectors(s, d)),
+    f"""WITH c AS (SELECT count(*) AS n FROM embeddings GROUP BY label)
+    SELECT min(n) AS min_cluster_size, max(n) AS max_cluster_size, {oracles.r6('avg(n)', 'avg_cluster_size')} FROM c""",
+)
+register(
+    "quality_grades",
+    lambda s, d: profiles.grade(
+        metrics.quality_table(_three_labellings(s, d), silhouette="exact").select(
+            "labelling", "silhouette_score", "davies_bouldin"
+        )
+    ).select("labelling", "silhouette_grade", "separation_grade"),
+    f"""SELECT labelling, CASE WHEN silhouette_score > 0.5 THEN 'Excellent' WHEN silhouette_score > 0.3 THEN 'Good' ELSE 'Fair' END AS silhouette_grade,
+      CASE WHEN davies_bouldin < 1 THEN 'Well-separated clusters' WHEN davies_bouldin < 2 THEN 'Reasonably separated clusters'
+           ELSE 'Clusters may overlap' END AS separation_grade FROM ({ORACLES['quality_rows']})""",
+)
+
+# --- profiles of given clusters over the customers ----------------------------
+
+_PROFILED = [
+    "total_events", "view_count", "purchase_count", "total_spending", "avg_order_value", "unique_products_viewed",
+    "unique_categories", "time_span_hours", "purchase_conversion_rate", "avg_session_duration_hours", "price_std",
+    "days_since_last_event",
+]
+
+
+def _clustered(spark: SparkSession, sf_dir: str, columns: list[str] | None = None) -> DataFrame:
+    """Customers with a given cluster, the user id modulo 4."""
+    kept = customers.customer_features(events_sparse(spark, sf_dir), columns=columns or _PROFILED)
+    return kept.withColumn("cluster", (F.col("user_id") % 4).cast("int"))
+
+
+_CLUSTERED_CTES = f"{oracles.CUSTOMERS['sparse']}, cl AS (SELECT *, CAST(user_id % 4 AS INTEGER) AS cluster FROM cust)"
+_PROFILE_LONG = (
+    f"{_CLUSTERED_CTES}, prof AS ("
+    + " UNION ALL ".join(f"SELECT cluster, '{c}' AS feature, avg({c}) AS mean FROM cl GROUP BY 1" for c in _PROFILED)
+    + ")"
+)
+
+
+def _profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profiles.cluster_profiles(_clustered(spark, sf_dir), _PROFILED)
+
+
+register(
+    "cluster_profiles",
+    _profiles,
+    f"WITH {_CLUSTERED_CTES} SELECT cluster, {', '.join(oracles.r6(f'avg({c})', c) for c in _PROFILED)}, count(*) AS cluster_size FROM cl GROUP BY 1",
+)
+register(
+    "top_variance_features",
+    lambda s, d: profiles.top_variance_features(_profiles(s, d), 10),
+    f"WITH {_PROFILE_LONG}, v AS (SELECT feature, var_samp(mean) AS v FROM prof GROUP BY 1) "
+    f"SELECT feature, {oracles.r6('v', 'variance')} FROM v ORDER BY v DESC NULLS LAST, feature LIMIT 10",
+)
+_NORMALISED_SQL = (
+    f"SELECT cluster, feature, {oracles.r6('mean')}, {oracles.r6('((mean - min(mean) OVER w) / (max(mean) OVER w - min(mean) OVER w + 1e-8))', 'normalised')} "
+    "FROM prof {where} WINDOW w AS (PARTITION BY feature)"
+)
+register(
+    "profile_minmax",
+    lambda s, d: profiles.normalised_profiles(_profiles(s, d)),
+    f"WITH {_PROFILE_LONG} " + _NORMALISED_SQL.format(where=""),
+)
+register(
+    "radar_profiles",
+    lambda s, d: profiles.radar_profiles(_profiles(s, d), _PROFILED),
+    f"WITH {_PROFILE_LONG} "
+    + _NORMALISED_SQL.format(where="WHERE feature IN (" + ", ".join(f"'{c}'" for c in _PROFILED[:8]) + ")"),
+)
+
+
+def _business(spark: SparkSession, sf_dir: str) -> DataFrame:
+    needs = [*_RFM_INPUT, "purchase_conversion_rate", "unique_products_viewed", "unique_categories"]
+    kept = customers.customer_features(events_sparse(spark, sf_dir), columns=needs).persist()
+    return profiles.business_summary(rfm.rfm_scores(kept).withColumn("cluster", (F.col("user_id") % 4).cast("int")))
+
+
+_BUSINESS = {
+    "avg_events": "avg(total_events)", "avg_purchases": "avg(purchase_count)",
+    "avg_spending": "avg(total_spending) FILTER (total_spending > 0)", "total_revenue": "sum(total_spending)",
+    "conversion_rate": "avg(purchase_conversion_rate)", "avg_products": "avg(unique_products_viewed)",
+    "avg_categories": "avg(unique_categories)", "avg_recency_score": "avg(recency_score)",
+    "avg_frequency_score": "avg(frequency_score)", "avg_monetary_score": "avg(monetary_score)",
+    "share": "(count(*) / (SELECT count(*) FROM rfm))",
+}
+register(
+    "cluster_business_summary",
+    _business,
+    f"WITH {oracles.RFM['sparse']} SELECT CAST(user_id % 4 AS INTEGER) AS cluster, count(*) AS cluster_size, "
+    + ", ".join(oracles.r6(f"({expr})", name) for name, expr in _BUSINESS.items())
+    + " FROM rfm GROUP BY 1",
+)
+register(
+    "histogram_by_cluster",
+    lambda s, d: eda.histogram_by_cluster(_clustered(s, d, ["total_spending"]).persist(), "total_spending"),
+    f"""WITH {_CLUSTERED_CTES}, ends AS (SELECT cluster, min(total_spending) AS lo, max(total_spending) AS hi FROM cl GROUP BY 1)
+    SELECT cluster, CASE WHEN hi > lo THEN least(CAST(floor((total_spending - lo) / (hi - lo) * 30) AS INTEGER), 29) ELSE 15 END AS bin,
+      count(*) AS n FROM cl JOIN ends USING (cluster) GROUP BY ALL""",
+)
+
+# --- clustering ---------------------------------------------------------------
+
+
+def _embedding_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return labelled_vectors(spark, sf_dir).select("id", "features")
+
+
+def _customer_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scaled customer vectors, as the clustering step of the whole job sees them."""
+    features = engineer.select_features(_engineered(events_sparse(spark, sf_dir)), engineer.RECOMMENDED_EXCLUDES)
+    return preprocess.Preprocessor().fit(features).vectors(features).persist()
+
+
+register(
+    "dbscan",
+    lambda s, d: dbscan(_embedding_points(s, d), 1.15, 3),
+    oracles.dbscan("pts AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)", 1.15, 3),
+)
+
+
+def _dbscan_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = customers.customer_features(events_sparse(spark, sf_dir), columns=["view_count", "cart_count", "purchase_count"])
+    return dbscan(preprocess.to_vectors(kept, "user_id", ["view_count", "cart_count", "purchase_count"]), 2.0, 4)
+
+
+register(
+    "dbscan_customers",
+    _dbscan_customers,
+    oracles.dbscan(
+        f"{oracles.CUSTOMERS['sparse']}, pts AS (SELECT user_id AS id, [CAST(view_count AS DOUBLE), cart_count, purchase_count] AS e FROM cust)",
+        2.0,
+        4,
+    ),
+)
+
+
+def _labels(algorithm: str, points=_customer_points, **params) -> Query:
+    return lambda s, d: segments.segment(points(s, d), algorithm, **params).labels
+
+
+register("kmeans", _labels("kmeans", k=5))
+register("kmeans_embeddings", _labels("kmeans", _embedding_points, k=10))
+register("gmm", _labels("gmm", k=3))
+register("bisecting", _labels("bisecting", k=5))
+register("hierarchical", _labels("hierarchical", k=5))
+register("hierarchical_complete", _labels("hierarchical", k=5, linkage="complete"))
+register("hierarchical_average", _labels("hierarchical", k=5, linkage="average"))
+register("spectral", _labels("spectral", k=5))
+register("hdbscan", _labels("hdbscan"))
+register("k_selection", lambda s, d: kselect.evaluate_k(_customer_points(s, d), stability=False)[0])
+register("k_stability", lambda s, d: kselect.stability_scores(_customer_points(s, d), settings.K_RANGE))
+register("algorithm_comparison", lambda s, d: segments.compare_algorithms(_customer_points(s, d), 4)[0])
+
+
+def _projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model, df = _fitted(spark, sf_dir)
+    scaled = model.transform(df)
+    return profiles.pca_projection(scaled, model.feature_names, 2, keep=("user_id",))[0]
+
+
+register("pca_projection", _projection)
+
+
+def _segmented(spark: SparkSession, sf_dir: str) -> DataFrame:
+    result = job.segment_customers(events_canonical(spark, sf_dir), algorithm="kmeans", stability=False)
+    return profiles.business_summary(result.customers)
+
+
+register("customer_segments", _segmented)
+
+
+def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    result = job.segment_customers(events_canonical(spark, sf_dir), algorithm="hierarchical", k=4, k_range=[3, 4], stability=False)
+    return spark.createDataFrame([(i, line) for i, line in enumerate(result.report.split("\n"))], "line_no int, line string")
+
+
+register("cluster_report", _report)
