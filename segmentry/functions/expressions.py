@@ -22,6 +22,21 @@ def finite_or_null(col: Column) -> Column:
     return F.when(F.abs(col) < F.lit(float("inf")), col)
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def number(value: float) -> str:
+    """SQL literal of exactly this double."""
+    return f"{float(value)!r}D"
+
+
+def finite_sql(name: str) -> str:
+    """``finite_or_null`` as SQL text, for projections over many columns."""
+    value = f"CAST({quoted(name)} AS DOUBLE)"
+    return f"CASE WHEN abs({value}) < DOUBLE('Infinity') THEN {value} END"
+
+
 def right_closed_bins(col: Column, edges: list[float], labels: list[str], include_lowest: bool = False) -> Column:
     """Label of the bin ``(edge_i, edge_i+1]``; the last bin is open to +inf.
 

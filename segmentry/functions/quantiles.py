@@ -17,6 +17,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from segmentry.functions.expressions import number, quoted
+
 SMALL_ROWS = 1_000_000
 SKETCH_ACCURACY = 10_000
 FINISH_ROWS = 1_000
@@ -66,8 +68,8 @@ def order_statistics(
     cols, probs = list(cols), [float(p) for p in probs]
     if not cols:
         return {}
-    work = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
-    head = work.agg(*[F.count(f"c{i}") for i in range(len(cols))]).first()
+    work = df.selectExpr(*[f"CAST({quoted(c)} AS DOUBLE) AS c{i}" for i, c in enumerate(cols)])
+    head = work.selectExpr(*[f"count(c{i})" for i in range(len(cols))]).first()
     counts = dict(zip(cols, head))
     wanted = {c: sorted({r for p in probs for r in _ranks(p, counts[c])}) if counts[c] else [] for c in cols}
     limit = SMALL_ROWS if small_rows is None else small_rows
@@ -104,12 +106,11 @@ def _from_percentile(work, cols, counts, wanted):
     used = [(i, c) for i, c in enumerate(cols) if wanted[c]]
     if not used:
         return {}
-    row = work.agg(
-        *[
-            F.percentile(f"c{i}", [r / max(counts[c] - 1, 1) for r in wanted[c]]).alias(f"c{i}")
-            for i, c in used
-        ]
-    ).first()
+    aggs = []
+    for i, c in used:
+        points = ", ".join(number(r / max(counts[c] - 1, 1)) for r in wanted[c])
+        aggs.append(f"percentile(c{i}, array({points}))")
+    row = work.selectExpr(*aggs).first()
     return {(c, r): v for (i, c), vs in zip(used, row) for r, v in zip(wanted[c], vs)}
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from segmentry import settings
-from segmentry.functions import average_rank_share, finite_or_null, numeric_columns, right_closed_bins, value_share
+from segmentry.functions import average_rank_share, finite_sql, numeric_columns, quoted, right_closed_bins, value_share
 
 
 def behavioral_features(df: DataFrame, include_lowest: bool = False) -> DataFrame:
@@ -174,4 +174,4 @@ RECOMMENDED_EXCLUDES = ("user_id", "top_category_id")
 def select_features(df: DataFrame, exclude: tuple[str, ...] | list[str] = ("user_id",), key: str = "user_id") -> DataFrame:
     """Key plus every numeric column not excluded, with infinities and NaN as NULL."""
     cols = numeric_columns(df, set(exclude) | {key})
-    return df.select(key, *[finite_or_null(F.col(c)).alias(c) for c in cols])
+    return df.selectExpr(quoted(key), *[f"{finite_sql(c)} AS {quoted(c)}" for c in cols])

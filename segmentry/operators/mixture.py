@@ -21,7 +21,7 @@ def fit_mixture(
     k: int = settings.DEFAULT_K,
     n_init: int = settings.N_INIT,
     seed: int = settings.SEED,
-    parallelism: int = 4,
+    parallelism: int = 8,
 ) -> GaussianMixtureModel:
     """The restart with the highest log likelihood over ``(id, features)``.
 

@@ -13,11 +13,11 @@ import numpy as np
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Correlation
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segmentry import settings
-from segmentry.functions import OrderStats, finite_or_null, numeric_columns, order_statistics
+from segmentry.functions import OrderStats, finite_sql, number, numeric_columns, order_statistics, quoted
 
 STRATEGIES = ("median", "mean", "mode", "drop")
 
@@ -47,42 +47,51 @@ class PreprocessModel:
             return [f"PC{i + 1}" for i in range(len(self.pca_components))]
         return list(self.kept)
 
-    def filled(self, col: str) -> Column:
-        return self._fill(col, finite_or_null(F.col(col)))
+    # The projections span dozens of columns, so they are written as SQL text:
+    # one call into the JVM instead of one per node of every expression.
 
-    def capped(self, col: str) -> Column:
+    def filled(self, col: str) -> str:
+        return self._fill(col, finite_sql(col))
+
+    def capped(self, col: str) -> str:
         return self._cap(col, self.filled(col))
 
-    def _fill(self, col: str, value: Column) -> Column:
-        return F.coalesce(value, F.lit(self.fills[col])) if col in self.fills else value
+    def scaled(self, col: str) -> str:
+        return self._scale(col, self.capped(col))
+
+    def _fill(self, col: str, value: str) -> str:
+        return f"coalesce({value}, {number(self.fills[col])})" if col in self.fills else value
 
-    def _cap(self, col: str, value: Column) -> Column:
+    def _cap(self, col: str, value: str) -> str:
         if col not in self.caps:
             return value
         low, high = self.caps[col]
-        return F.greatest(F.lit(low), F.least(F.lit(high), value))
+        return f"greatest({number(low)}, least({number(high)}, {value}))"
+
+    def _scale(self, col: str, value: str) -> str:
+        return f"({value} - {number(self.centers[col])}) / {number(self.scales[col])}"
 
-    def scaled(self, col: str) -> Column:
-        return (self.capped(col) - F.lit(self.centers[col])) / F.lit(self.scales[col])
+    def stage(self, df: DataFrame, expression, cols: list[str]) -> DataFrame:
+        """Key plus one of the stages above for some columns."""
+        return self._rows(df).selectExpr(quoted(self.key), *[f"{expression(c)} AS {quoted(c)}" for c in cols])
 
     def _rows(self, df: DataFrame) -> DataFrame:
         if self.strategy != "drop":
             return df
-        complete = [finite_or_null(F.col(c)).isNotNull() for c in self.columns]
-        return df.where(F.forall(F.array(*complete), lambda ok: ok))
+        return df.where(" AND ".join(f"{finite_sql(c)} IS NOT NULL" for c in self.columns))
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Key plus the scaled surviving columns, or the principal components."""
-        scaled = self._rows(df).select(self.key, *[self.scaled(c).alias(c) for c in self.kept])
+        scaled = self.stage(df, self.scaled, self.kept)
         if not self.pca_components:
             return scaled
-        components = []
-        for name, loadings in zip(self.feature_names, self.pca_components):
-            terms = [
-                (F.col(c) - F.lit(m)) * F.lit(w) for c, m, w in zip(self.kept, self.pca_mean, loadings)
-            ]
-            components.append(sum(terms[1:], terms[0]).alias(name))
-        return scaled.select(self.key, *components)
+        return scaled.selectExpr(
+            quoted(self.key),
+            *[
+                f"{projection_sql(self.kept, self.pca_mean, loadings)} AS {name}"
+                for name, loadings in zip(self.feature_names, self.pca_components)
+            ],
+        )
 
     def vectors(self, df: DataFrame) -> DataFrame:
         """``(id, features array<double>)`` for the clustering operators."""
@@ -117,19 +126,19 @@ class Preprocessor:
         model = PreprocessModel(
             self.key, self.missing_value_strategy, cols, [], {}, {}, [], [], [], {}, {}
         )
-        plain = df.select(self.key, *[finite_or_null(F.col(c)).alias(c) for c in cols]).persist()
+        plain = df.selectExpr(*[f"{finite_sql(c)} AS {quoted(c)}" for c in cols]).persist()
         try:
             stats = self._fit_fills(plain, model)
             self._fit_caps(stats, model)
             # Evaluated once, then read by the correlation, the moments and the PCA.
-            capped = model._rows(plain).select(
-                *[model._cap(c, model._fill(c, F.col(c))).alias(c) for c in model.columns]
+            capped = model._rows(plain).selectExpr(
+                *[f"{model._cap(c, model._fill(c, quoted(c)))} AS {quoted(c)}" for c in model.columns]
             ).persist()
             model.correlated = correlated_columns(capped, model.columns, self.correlation_threshold)
             left = [c for c in model.columns if c not in model.correlated]
-            moments = capped.agg(
-                *[F.var_pop(c).alias(f"v{i}") for i, c in enumerate(left)],
-                *[F.avg(c).alias(f"m{i}") for i, c in enumerate(left)],
+            moments = capped.selectExpr(
+                *[f"var_pop({quoted(c)}) AS v{i}" for i, c in enumerate(left)],
+                *[f"avg({quoted(c)}) AS m{i}" for i, c in enumerate(left)],
             ).first()
             variance = {c: moments[f"v{i}"] for i, c in enumerate(left)}
             mean = {c: moments[f"m{i}"] for i, c in enumerate(left)}
@@ -164,7 +173,7 @@ class Preprocessor:
         """Fill values, and order statistics of the columns after filling."""
         total = plain.count()
         if model.strategy == "drop":
-            counts = plain.agg(*[F.count(c).alias(c) for c in model.columns]).first()
+            counts = plain.selectExpr(*[f"count({quoted(c)}) AS {quoted(c)}" for c in model.columns]).first()
             model.empty = [c for c in model.columns if counts[c] == 0]
             model.columns = [c for c in model.columns if counts[c]]
             return order_statistics(model._rows(plain), model.columns, self._probs())
@@ -172,7 +181,7 @@ class Preprocessor:
         model.empty = [c for c in model.columns if stats[c].n == 0]
         model.columns = [c for c in model.columns if stats[c].n]
         if model.strategy == "mean":
-            means = plain.agg(*[F.avg(c).alias(c) for c in model.columns]).first()
+            means = plain.selectExpr(*[f"avg({quoted(c)}) AS {quoted(c)}" for c in model.columns]).first()
             model.fills = {c: means[c] for c in model.columns}
         elif model.strategy == "mode":
             model.fills = column_modes(plain, model.columns)
@@ -180,7 +189,7 @@ class Preprocessor:
             model.fills = {c: stats[c].quantile(0.5) for c in model.columns}
         holed = [c for c in model.columns if stats[c].n < total]
         if holed:
-            refilled = plain.select(*[model._fill(c, F.col(c)).alias(c) for c in holed])
+            refilled = plain.selectExpr(*[f"{model._fill(c, quoted(c))} AS {quoted(c)}" for c in holed])
             stats |= order_statistics(refilled, holed, self._probs())
         return stats
 
@@ -212,9 +221,7 @@ class Preprocessor:
         return stats.quantile(0.5, clip), stats.quantile(0.75, clip) - stats.quantile(0.25, clip)
 
     def _fit_pca(self, capped: DataFrame, model: PreprocessModel) -> None:
-        scaled = capped.select(
-            *[((F.col(c) - F.lit(model.centers[c])) / F.lit(model.scales[c])).alias(c) for c in model.kept]
-        )
+        scaled = capped.selectExpr(*[f"{model._scale(c, quoted(c))} AS {quoted(c)}" for c in model.kept])
         mean, components, ratio = principal_components(scaled, model.kept, len(model.kept))
         wanted = int(np.searchsorted(np.cumsum(ratio), self.pca_variance_explained, side="right")) + 1
         wanted = min(wanted, len(ratio))
@@ -223,7 +230,16 @@ class Preprocessor:
 
 
 def to_vectors(df: DataFrame, key: str, cols: list[str]) -> DataFrame:
-    return df.select(F.col(key).alias("id"), F.array(*[F.col(c).cast("double") for c in cols]).alias("features"))
+    return df.selectExpr(f"{quoted(key)} AS id", f"{array_sql(cols)} AS features")
+
+
+def array_sql(cols: list[str]) -> str:
+    return "array(" + ", ".join(f"CAST({quoted(c)} AS DOUBLE)" for c in cols) + ")"
+
+
+def projection_sql(cols: list[str], means: list[float], loadings: list[float]) -> str:
+    """Centred columns times loadings."""
+    return " + ".join(f"({quoted(c)} - {number(m)}) * {number(w)}" for c, m, w in zip(cols, means, loadings))
 
 
 def column_modes(df: DataFrame, cols: list[str]) -> dict[str, float]:
@@ -236,7 +252,7 @@ def column_modes(df: DataFrame, cols: list[str]) -> dict[str, float]:
 
 def correlation_matrix(df: DataFrame, cols: list[str]) -> np.ndarray:
     """d x d Pearson matrix (NaN where a column is constant), summed on the executors."""
-    vectors = df.select(array_to_vector(F.array(*[F.col(c).cast("double") for c in cols])).alias("v"))
+    vectors = df.select(array_to_vector(F.expr(array_sql(cols))).alias("v"))
     matrix = Correlation.corr(vectors, "v", "pearson").first()[0].toArray()
     return np.asarray(matrix)
 
@@ -265,8 +281,8 @@ def principal_components(df: DataFrame, cols: list[str], k: int) -> tuple[list[f
 
     Each component's sign makes its largest loading positive.
     """
-    means = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)]).first()
-    centered = F.array(*[F.col(c).cast("double") - F.lit(m) for c, m in zip(cols, means)])
+    means = df.selectExpr(*[f"avg({quoted(c)}) AS m{i}" for i, c in enumerate(cols)]).first()
+    centered = F.expr("array(" + ", ".join(f"{quoted(c)} - {number(m)}" for c, m in zip(cols, means)) + ")")
     fitted = PCA(k=k, inputCol="v", outputCol="p").fit(df.select(array_to_vector(centered).alias("v")))
     components = fitted.pc.toArray().T
     lead = np.abs(components).argmax(axis=1)

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from segmentry import settings
-from segmentry.functions import numeric_columns
-from segmentry.operators.preprocess import principal_components
+from segmentry.functions import numeric_columns, quoted
+from segmentry.operators.preprocess import principal_components, projection_sql
 
 
 def attach_labels(customers: DataFrame, labels: DataFrame, key: str = "user_id") -> DataFrame:
@@ -114,8 +114,5 @@ def pca_projection(df: DataFrame, cols: list[str], n_components: int = 2, keep:
     if n_components not in (2, 3):
         raise ValueError("n_components must be 2 or 3")
     means, components, ratio = principal_components(df, cols, n_components)
-    points = []
-    for i, loadings in enumerate(components):
-        terms = [(F.col(c) - F.lit(m)) * F.lit(float(w)) for c, m, w in zip(cols, means, loadings)]
-        points.append(sum(terms[1:], terms[0]).alias(f"PC{i + 1}"))
-    return df.select(*keep, *points), [float(r) for r in ratio]
+    points = [f"{projection_sql(cols, means, row)} AS PC{i + 1}" for i, row in enumerate(components)]
+    return df.selectExpr(*[quoted(c) for c in keep], *points), [float(r) for r in ratio]

@@ -430,7 +430,7 @@ def _keep_all(spark: SparkSession, sf_dir: str, method: str) -> DataFrame:
 
 def _stage(spark: SparkSession, sf_dir: str, stage: str) -> DataFrame:
     model, df = _fitted(spark, sf_dir)
-    return df.select("user_id", *[getattr(model, stage)(c).alias(c) for c in _PRE])
+    return model.stage(df, getattr(model, stage), _PRE)
 
 
 register("imputed_features", lambda s, d: _stage(s, d, "filled"), oracles.imputed(_PRE, "sparse"))
@@ -441,7 +441,7 @@ register("standard_scaled", lambda s, d: _keep_all(s, d, "standard"), oracles.sc
 
 def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, df = _fitted(spark, sf_dir)
-    return preprocess.correlation_pairs(df.select(*[model.capped(c).alias(c) for c in _PRE]), _PRE)
+    return preprocess.correlation_pairs(model.stage(df, model.capped, _PRE), _PRE)
 
 
 def _drops(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -451,7 +451,7 @@ def _drops(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _variance(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, df = _fitted(spark, sf_dir, correlation_threshold=2.0)
-    wide = df.agg(*[F.var_pop(model.capped(c)).alias(c) for c in _PRE])
+    wide = model.stage(df, model.capped, _PRE).agg(*[F.var_pop(c).alias(c) for c in _PRE])
     long = wide.unpivot([], _PRE, "feature", "variance")
     return long.withColumn("kept", F.col("feature").isin(model.kept))
 
