@@ -1,8 +1,15 @@
-"""HDBSCAN over summaries of the points.
+"""HDBSCAN with exact distances.
 
-Core distances, the mutual-reachability spanning tree and the condensed tree
-are worked out on at most ``m`` weighted summaries; exact while there are no
-more distinct points than that, and every row follows its summary beyond.
+Both all-pairs steps run over pairs of row blocks of bounded size and return a
+bounded number of rows per point: its nearest rows for the core distance, and
+the spanning tree of the two blocks for the hierarchy.  A global spanning tree
+edge is in the tree of its own block pair, so the union of those trees holds the
+global tree, and Boruvka rounds (joins and minima) reduce it to that.
+
+The tree, two ids and a length per distinct point, is read into the condensed
+hierarchy on the driver while it is counted to be small enough.  Beyond
+``TREE_ROWS`` distinct points the hierarchy is built over K-means summaries,
+which is an approximation.
 """
 
 from __future__ import annotations
@@ -10,12 +17,21 @@ from __future__ import annotations
 from collections import defaultdict
 
 import numpy as np
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 from segmentry import settings
-from segmentry.functions.vectors import squared_distances
+from segmentry.functions.graph import connected_components
+from segmentry.functions.ranks import lookup_join
+from segmentry.functions.vectors import row_chunks, squared_distances
+from segmentry.operators.dbscan import distinct_points
 from segmentry.operators.summaries import MAX_SUMMARIES, summarise
+from segmentry.session import materialize
 
+BLOCK_ROWS = 4_096
+TREE_ROWS = 2_000_000
+DRIVER_EDGES = 500_000
 _SMALLEST = 1e-12  # distance standing in for zero, so that densities stay finite
 
 
@@ -23,48 +39,181 @@ def hdbscan(
     df: DataFrame,
     min_cluster_size: int = settings.HDBSCAN_MIN_CLUSTER_SIZE,
     min_samples: int | None = None,
-    m: int = MAX_SUMMARIES,
     seed: int = settings.SEED,
 ) -> DataFrame:
-    """``(id, cluster)``; -1 is noise.  ``min_samples`` defaults to ``min_cluster_size``."""
-    summaries = summarise(df, m, seed)
+    """``(id, cluster)``; -1 is noise.  ``min_samples`` defaults to ``min_cluster_size``.
+
+    Clusters are numbered by their smallest member id.
+    """
     min_samples = min_cluster_size if min_samples is None else min_samples
-    return summaries.label(cluster_summaries(summaries.centers, summaries.weights, min_cluster_size, min_samples))
+    counts = distinct_points(df)
+    if counts.distinct > TREE_ROWS:
+        summaries = summarise(df, MAX_SUMMARIES, seed)
+        return summaries.label(cluster_summaries(summaries.centers, summaries.weights, min_cluster_size, min_samples))
+    points = counts.table.select("id", F.col("value").alias("features"), F.col("ties").alias("weight"))
+    points = core_distances(points, counts.distinct, counts.rows, min_samples).persist()
+    edges = spanning_tree(points, counts.distinct).toPandas()
+    nodes = points.select("id", "weight", "core").toPandas().sort_values("id", ignore_index=True)
+    at = pd.Series(np.arange(len(nodes)), index=nodes["id"])
+    tree = sorted(zip(edges["w"].tolist(), at[edges["a"]].tolist(), at[edges["b"]].tolist()))
+    labels = _flat_labels(tree, nodes["weight"].to_numpy(float), nodes["core"].to_numpy(), min_cluster_size)
+    named = pd.DataFrame({"id": nodes["id"], "cluster": labels.astype("int32")})
+    coded = df.sparkSession.createDataFrame(named, f"id {dict(df.dtypes)['id']}, cluster int")
+    if counts.distinct == counts.rows:
+        return coded
+    by_value = counts.table.join(coded, "id").select("value", "ties", "cluster")
+    return lookup_join(df.select("id", "features"), F.col("features"), counts, by_value, "cluster", F.col("id")).select(
+        "id", "cluster"
+    )
 
 
-def cluster_summaries(points: np.ndarray, weights: np.ndarray, min_cluster_size: int, min_samples: int) -> np.ndarray:
-    n = len(points)
-    if n < 2 or weights.sum() < min_cluster_size:
-        return np.full(n, -1)
-    gap = np.sqrt(squared_distances(points, points))
-    np.fill_diagonal(gap, 0.0)
-    core = _core_distances(gap, weights, min_samples)
-    reach = np.maximum(gap, np.maximum(core[:, None], core[None, :]))
-    tree = _Dendrogram(_spanning_tree(reach), weights)
-    return tree.flat_clusters(min_cluster_size, core)
+def _block_pairs(points: DataFrame, n: int) -> DataFrame:
+    """Every row once per block pair ``(lo, hi)`` that its hash block ``mine`` is part of."""
+    blocks = -(-n // BLOCK_ROWS)
+    mine = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
+    placed = points.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    return placed.withColumns({"lo": F.least("mine", "other"), "hi": F.greatest("mine", "other")}).drop("other")
 
 
-def _core_distances(gap: np.ndarray, weights: np.ndarray, min_samples: int) -> np.ndarray:
-    """Distance at which ``min_samples`` rows, the point's own included, are reached."""
-    order = np.argsort(gap, axis=1, kind="stable")
-    reached = np.cumsum(weights[order], axis=1) >= min(min_samples, weights.sum())
-    at = reached.argmax(axis=1)
-    return np.take_along_axis(gap, np.take_along_axis(order, at[:, None], axis=1), axis=1)[:, 0]
+def core_distances(points: DataFrame, n: int, rows: int, min_samples: int) -> DataFrame:
+    """Add ``core``: the distance at which ``min_samples`` rows, its own included, are reached."""
+    wanted = min(min_samples, rows)
+
+    def nearest(pdf: pd.DataFrame) -> pd.DataFrame:
+        lo, hi = pdf["lo"].iloc[0], pdf["hi"].iloc[0]
+        left, right = pdf[pdf["mine"] == lo], pdf[pdf["mine"] == hi]
+        sides = [(left, left)] if lo == hi else [(left, right), (right, left)]
+        return pd.concat([_nearest_rows(a, b, wanted) for a, b in sides], ignore_index=True)
+
+    id_type = dict(points.dtypes)["id"]
+    near = _block_pairs(points, n).groupBy("lo", "hi").applyInPandas(nearest, f"id {id_type}, d double, w bigint")
+    # At most min_samples rows per point and block.
+    upto = Window.partitionBy("id").orderBy("d").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    core = (
+        near.withColumn("reached", F.sum("w").over(upto))
+        .where(F.col("reached") >= wanted)
+        .groupBy("id")
+        .agg(F.min("d").alias("core"))
+    )
+    return points.join(core, "id")
+
+
+def _nearest_rows(rows: pd.DataFrame, others: pd.DataFrame, k: int) -> pd.DataFrame:
+    if not len(rows) or not len(others):
+        return pd.DataFrame({"id": [], "d": [], "w": []})
+    x, y = np.stack(rows["features"].to_numpy()), np.stack(others["features"].to_numpy())
+    ids, other_ids, weight = rows["id"].to_numpy(), others["id"].to_numpy(), others["weight"].to_numpy()
+    k, found, weights = min(k, len(y)), [], []
+    for part in row_chunks(len(x), len(y)):
+        d2 = squared_distances(x[part], y)
+        d2[ids[part][:, None] == other_ids[None, :]] = 0.0
+        at = np.argpartition(d2, k - 1, axis=1)[:, :k]
+        # The few kept distances are worked out exactly, so they do not depend on the blocks.
+        found.append(np.sqrt(((x[part][:, None, :] - y[at]) ** 2).sum(axis=2)))
+        weights.append(weight[at])
+    return pd.DataFrame({"id": np.repeat(ids, k), "d": np.concatenate(found).ravel(), "w": np.concatenate(weights).ravel()})
+
+
+def spanning_tree(points: DataFrame, n: int) -> DataFrame:
+    """Minimum spanning tree ``(a, b, w)`` of the mutual reachability distance."""
+
+    def local(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("id")
+        x, core, ids = np.stack(pdf["features"].to_numpy()), pdf["core"].to_numpy(), pdf["id"].to_numpy()
+        edges = _prim(len(x), lambda i: np.maximum(np.sqrt(((x - x[i]) ** 2).sum(axis=1)), np.maximum(core, core[i])))
+        w, a, b = zip(*edges) if edges else ((), (), ())
+        ends = ids[list(a)], ids[list(b)]
+        return pd.DataFrame({"a": np.minimum(*ends), "b": np.maximum(*ends), "w": np.array(w, float)})
+
+    id_type = dict(points.dtypes)["id"]
+    schema = f"a {id_type}, b {id_type}, w double"
+    forest = _block_pairs(points, n).groupBy("lo", "hi").applyInPandas(local, schema)
+    if n <= BLOCK_ROWS:
+        return forest
+    return _boruvka(materialize(forest.groupBy("a", "b").agg(F.min("w").alias("w"))))
+
 
+def _boruvka(edges: DataFrame) -> DataFrame:
+    """Spanning tree of ``(a, b, w)``; ends on the driver once few edges join components."""
+    spark, schema = edges.sparkSession, ", ".join(f"{n} {t}" for n, t in edges.dtypes)
+    live = edges.withColumns({"ca": F.col("a"), "cb": F.col("b")})
+    tree = edges.limit(0)
+    order = F.struct("w", "a", "b", "other")  # a total order, so that choices close no cycle
+    while True:
+        few = live.limit(DRIVER_EDGES + 1).collect()
+        if len(few) <= DRIVER_EDGES:
+            rest = _kruskal((r["w"], r["a"], r["b"], r["ca"], r["cb"]) for r in few)
+            return tree.union(spark.createDataFrame(rest, schema))
+        ends = live.select("a", "b", "w", F.col("ca").alias("c"), F.col("cb").alias("other")).union(
+            live.select("a", "b", "w", F.col("cb").alias("c"), F.col("ca").alias("other"))
+        )
+        chosen = materialize(ends.groupBy("c").agg(F.min(order).alias("e")).select("c", "e.*"))
+        tree = tree.union(chosen.select("a", "b", "w").distinct())
+        merged = materialize(connected_components(chosen.select(F.col("c").alias("a"), F.col("other").alias("b"))))
+        left = merged.withColumnsRenamed({"node": "ca", "component": "na"})
+        right = merged.withColumnsRenamed({"node": "cb", "component": "nb"})
+        live = live.join(left, "ca").join(right, "cb").where("na <> nb")
+        live = materialize(live.select("a", "b", "w", F.col("na").alias("ca"), F.col("nb").alias("cb")))
 
-def _spanning_tree(reach: np.ndarray) -> list[tuple[float, int, int]]:
-    """Minimum spanning tree edges, shortest first."""
-    n = len(reach)
-    best, via, outside = reach[0].copy(), np.zeros(n, int), np.ones(n, bool)
+
+def _kruskal(edges) -> list[tuple]:
+    top: dict = {}
+
+    def root(i):
+        while top.setdefault(i, i) != i:
+            top[i] = top[top[i]]
+            i = top[i]
+        return i
+
+    kept = []
+    for w, a, b, ca, cb in sorted(edges):
+        ra, rb = root(ca), root(cb)
+        if ra != rb:
+            top[ra] = rb
+            kept.append((a, b, w))
+    return kept
+
+
+def _prim(n: int, row) -> list[tuple[float, int, int]]:
+    """Tree edges ``(w, i, j)`` of a dense graph given by its rows.
+
+    Equal lengths are ordered by the ends, so the tree is unique and the trees
+    of overlapping blocks agree.
+    """
+    if n < 2:
+        return []
+    here, outside = np.arange(n), np.ones(n, bool)
+    best, low, high = np.array(row(0)), np.zeros(n, int), here.copy()
     outside[0] = False
     edges = []
     for _ in range(n - 1):
-        node = int(np.where(outside, best, np.inf).argmin())
-        edges.append((float(best[node]), int(via[node]), node))
+        shortest = best[outside].min()
+        tied = np.flatnonzero(outside & (best == shortest))
+        node = int(tied[np.lexsort((high[tied], low[tied]))[0]]) if len(tied) > 1 else int(tied[0])
+        edges.append((float(shortest), int(low[node]), int(high[node])))
         outside[node] = False
-        closer = outside & (reach[node] < best)
-        best[closer], via[closer] = reach[node][closer], node
-    return sorted(edges)
+        reach, lo, hi = row(node), np.minimum(here, node), np.maximum(here, node)
+        closer = outside & ((reach < best) | ((reach == best) & ((lo < low) | ((lo == low) & (hi < high)))))
+        best[closer], low[closer], high[closer] = reach[closer], lo[closer], hi[closer]
+    return edges
+
+
+def cluster_summaries(points: np.ndarray, weights: np.ndarray, min_cluster_size: int, min_samples: int) -> np.ndarray:
+    """Label per weighted summary (a bounded number of them)."""
+    gap = np.sqrt(squared_distances(points, points))
+    np.fill_diagonal(gap, 0.0)
+    order = np.argsort(gap, axis=1, kind="stable")
+    reached = np.cumsum(weights[order], axis=1) >= min(min_samples, weights.sum())
+    at = np.take_along_axis(order, reached.argmax(axis=1)[:, None], axis=1)
+    core = np.take_along_axis(gap, at, axis=1)[:, 0]
+    tree = sorted(_prim(len(points), lambda i: np.maximum(gap[i], np.maximum(core, core[i]))))
+    return _flat_labels(tree, weights, core, min_cluster_size)
+
+
+def _flat_labels(tree: list, weights: np.ndarray, core: np.ndarray, min_cluster_size: int) -> np.ndarray:
+    if len(weights) < 2 or weights.sum() < min_cluster_size:
+        return np.full(len(weights), -1)
+    return _Dendrogram(tree, weights).flat_clusters(min_cluster_size, core)
 
 
 class _Dendrogram:

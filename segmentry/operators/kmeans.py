@@ -107,57 +107,85 @@ def _weights(hashes: np.ndarray, specs) -> dict[int, np.ndarray]:
 
 
 def _seed_centers(points: _Points, streams: list[Spec]) -> dict[tuple[int, int], np.ndarray]:
-    """k-means++ centres of every (seed, bootstrap) stream, one pass per centre.
+    """Greedy k-means++ centres of every (seed, bootstrap) stream, one pass per centre.
 
     Drawing a row with probability proportional to weight x squared distance is
     an exponential race: the smallest ``-log(u) / (w d2)`` wins, which is a plain
-    minimum and needs no running totals.
+    minimum and needs no running totals.  Each step tries a few drawn candidates
+    and keeps the one that leaves the least total distance.  A pass measures that
+    for every candidate and also draws the next ones as if it were chosen.
     """
     chosen: list[list[np.ndarray]] = [[] for _ in streams]
-    for step in range(max(s.k for s in streams)):
-        live = [i for i, s in enumerate(streams) if step < s.k and len(chosen[i]) == step]
+    tried: list[list[np.ndarray]] = [[] for _ in streams]
+    trials, dims = [2 + int(np.log(s.k)) for s in streams], points.dims
+    for step in range(max(s.k for s in streams) + 1):
+        # Step 0 draws the first centre; step 1 draws candidates for the second.
+        live = [i for i, s in enumerate(streams) if len(chosen[i]) < s.k and (step < 2 or tried[i])]
         if not live:
             break
-        known = {i: np.array(chosen[i]) for i in live}
+        options = {i: [[*chosen[i], c] for c in tried[i]] or [list(chosen[i])] for i in live}
+        drawn = {i: 1 if step == 0 else trials[i] for i in live}
 
-        def race(batches: Iterator[pa.RecordBatch], known=known, live=live, step=step) -> Iterator[pa.RecordBatch]:
-            best = {i: (np.inf, None) for i in live}
+        def race(batches: Iterator[pa.RecordBatch], options=options, drawn=drawn, step=step) -> Iterator[pa.RecordBatch]:
+            best: dict[tuple[int, int, int], tuple[float, np.ndarray]] = {}
+            left: dict[tuple[int, int], float] = {}
             for batch in batches:
                 if not batch.num_rows:
                     continue
                 x, hashes = matrix(batch), batch.column("hash").to_numpy()
-                weights = _weights(hashes, [streams[i] for i in live])
-                for i in live:
+                weights = _weights(hashes, [streams[i] for i in options])
+                for i, sets in options.items():
                     s = streams[i]
-                    mass = weights[s.bootstrap]
-                    if step:
-                        mass = mass * squared_distances(x, known[i]).min(axis=1)
-                    draw = -np.log(uniforms(hashes, s.seed, s.bootstrap + 1, step))
-                    with np.errstate(divide="ignore", invalid="ignore"):
-                        key = np.where(mass > 1e-12, draw / mass, np.inf)
-                    at = int(key.argmin())
-                    if key[at] < best[i][0]:
-                        best[i] = (float(key[at]), x[at].copy())
-            won = [(i, key, x) for i, (key, x) in best.items() if x is not None]
-            if won:
+                    draws = [-np.log(uniforms(hashes, s.seed, s.bootstrap + 1, step, j)) for j in range(drawn[i])]
+                    for o, centers in enumerate(sets):
+                        mass = weights[s.bootstrap]
+                        if centers:
+                            mass = mass * squared_distances(x, np.array(centers)).min(axis=1)
+                        left[i, o] = left.get((i, o), 0.0) + float(mass.sum())
+                        with np.errstate(divide="ignore", invalid="ignore"):
+                            keys = [np.where(mass > 1e-12, draw / mass, np.inf) for draw in draws]
+                        for j, key in enumerate(keys):
+                            at = int(key.argmin())
+                            if key[at] < best.get((i, o, j), (np.inf, None))[0]:
+                                best[i, o, j] = float(key[at]), x[at].copy()
+            # A first draw always goes out, as it carries the distance left.
+            rows = [(i, o, 0, np.inf, np.zeros(dims)) for i, o in left if (i, o, 0) not in best]
+            rows += [(*at, key, x) for at, (key, x) in best.items()]
+            if rows:
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([i for i, _, _ in won], pa.int32()),
-                        pa.array([key for _, key, _ in won], pa.float64()),
-                        list_array(np.stack([x for _, _, x in won])),
+                        *[pa.array([r[c] for r in rows], pa.int32()) for c in range(3)],
+                        pa.array([r[3] for r in rows], pa.float64()),
+                        pa.array([left[r[0], r[1]] if r[2] == 0 else 0.0 for r in rows], pa.float64()),
+                        list_array(np.stack([r[4] for r in rows])),
                     ],
-                    names=["stream", "key", "features"],
+                    names=["stream", "option", "draw", "key", "left", "features"],
                 )
 
-        partial = points.df.mapInArrow(race, "stream int, key double, features array<double>")
-        if not points.few(len(live)):
-            partial = partial.groupBy("stream").agg(F.min("key").alias("key"), F.min_by("features", "key").alias("features"))
-        won: dict[int, tuple[float, np.ndarray]] = {}
+        partial = points.df.mapInArrow(
+            race, "stream int, option int, draw int, key double, left double, features array<double>"
+        )
+        if not points.few(sum(len(options[i]) * drawn[i] for i in live)):
+            partial = partial.groupBy("stream", "option", "draw").agg(
+                F.min("key").alias("key"), F.sum("left").alias("left"), F.min_by("features", "key").alias("features")
+            )
+        won: dict[tuple[int, int, int], tuple[float, np.ndarray]] = {}
+        total: dict[int, dict[int, float]] = {i: {} for i in live}
         for r in partial.collect():
-            if r["stream"] not in won or r["key"] < won[r["stream"]][0]:
-                won[r["stream"]] = (r["key"], np.array(r["features"]))
-        for i, (_, x) in won.items():
-            chosen[i].append(x)
+            at = r["stream"], r["option"], r["draw"]
+            if r["key"] < won.get(at, (np.inf, None))[0]:
+                won[at] = r["key"], np.array(r["features"])
+            sums = total[r["stream"]]
+            sums[r["option"]] = sums.get(r["option"], 0.0) + r["left"]
+        for i in live:
+            keep = min(total[i], key=lambda o: (total[i][o], o))
+            if tried[i]:
+                chosen[i].append(tried[i][keep])
+            found = [won[i, keep, j][1] for j in range(drawn[i]) if (i, keep, j) in won]
+            if step == 0:
+                chosen[i] = found
+            else:
+                tried[i] = found
     return {(s.seed, s.bootstrap): np.array(c) for s, c in zip(streams, chosen)}
 
 
