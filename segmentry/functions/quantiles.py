@@ -1,7 +1,7 @@
 """Exact quantiles that stay distributed.
 
 ``percentile`` keeps every distinct value of a column in one aggregation
-buffer, so it is only used while the row count is known to be small.  Beyond
+buffer, so it is only used while the number of values is known to be small.  Beyond
 that, order statistics are found by narrowing a bracket around each rank:
 an approximate-percentile sketch proposes a smaller bracket, an exact count
 accepts it, and the few values left inside are read at the end.  Every pass is
@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from segmentry.functions.expressions import number, quoted
 
-SMALL_ROWS = 1_000_000
+SMALL_CELLS = 2_000_000  # values that one aggregation buffer may have to hold
+COLUMNS_PER_PASS = 8
 SKETCH_ACCURACY = 10_000
 FINISH_ROWS = 1_000
 
@@ -62,7 +63,7 @@ class _Bracket:
 
 
 def order_statistics(
-    df: DataFrame, cols: Sequence[str], probs: Sequence[float], small_rows: int | None = None
+    df: DataFrame, cols: Sequence[str], probs: Sequence[float], small_cells: int | None = None
 ) -> dict[str, OrderStats]:
     """Exact neighbouring order statistics of each column at each probability (NULLs ignored)."""
     cols, probs = list(cols), [float(p) for p in probs]
@@ -72,9 +73,13 @@ def order_statistics(
     head = work.selectExpr(*[f"count(c{i})" for i in range(len(cols))]).first()
     counts = dict(zip(cols, head))
     wanted = {c: sorted({r for p in probs for r in _ranks(p, counts[c])}) if counts[c] else [] for c in cols}
-    limit = SMALL_ROWS if small_rows is None else small_rows
-    solve = _from_percentile if max(counts.values()) <= limit else _from_brackets
-    values = solve(work, cols, counts, wanted)
+    limit = SMALL_CELLS if small_cells is None else small_cells
+    if sum(counts.values()) <= limit:
+        values = _from_percentile(work, cols, counts, wanted)
+    else:
+        values = {}
+        for start in range(0, len(cols), COLUMNS_PER_PASS):
+            values |= _from_brackets(work, cols, cols[start : start + COLUMNS_PER_PASS], wanted)
     out = {}
     for c in cols:
         points = {}
@@ -88,10 +93,10 @@ def order_statistics(
 
 
 def exact_quantiles(
-    df: DataFrame, cols: Sequence[str], probs: Sequence[float], small_rows: int | None = None
+    df: DataFrame, cols: Sequence[str], probs: Sequence[float], small_cells: int | None = None
 ) -> dict[str, list[float | None]]:
     """Linear-interpolated quantiles per column; ``None`` where a column is all NULL."""
-    stats = order_statistics(df, cols, probs, small_rows)
+    stats = order_statistics(df, cols, probs, small_cells)
     return {c: [stats[c].quantile(float(p)) for p in probs] for c in cols}
 
 
@@ -114,9 +119,11 @@ def _from_percentile(work, cols, counts, wanted):
     return {(c, r): v for (i, c), vs in zip(used, row) for r, v in zip(wanted[c], vs)}
 
 
-def _from_brackets(work, cols, counts, wanted):
+def _from_brackets(work, cols, part, wanted):
     index = {c: i for i, c in enumerate(cols)}
-    live = [c for c in cols if wanted[c]]
+    live = [c for c in part if wanted[c]]
+    if not live:
+        return {}
     ends = work.agg(*[f(f"c{index[c]}") for c in live for f in (F.min, F.max)]).first()
     ends = {c: (ends[2 * j], ends[2 * j + 1]) for j, c in enumerate(live)}
     todo = [_Bracket(c, r, *ends[c]) for c in live for r in wanted[c]]

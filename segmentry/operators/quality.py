@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from segmentry import settings
 from segmentry.functions import numeric_columns
+from segmentry.functions.ranks import BROADCAST_ROWS
+from segmentry.session import materialize
 
 
 def check_events(df: DataFrame) -> DataFrame:
@@ -33,28 +35,29 @@ def event_type_distribution(df: DataFrame) -> DataFrame:
 
 
 def duplicate_count(df: DataFrame) -> DataFrame:
-    """Rows beyond the first of each set of equal rows (NULLs compare equal)."""
-    copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    return copies.agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicate_rows"))
-
-
-def quality_counts(df: DataFrame) -> DataFrame:
-    """One row: rows, negative prices, missing timestamps, duplicate rows.
+    """Rows beyond the first of each set of equal rows (NULLs compare equal).
 
-    Equal rows are folded together first, so the counts are weighted sums over
-    the folded rows and the log is read once.
+    Only a 64-bit hash of each row is shuffled to find the hashes seen twice;
+    whole rows are compared just for those, which also settles collisions.
     """
-    copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    cols = df.columns
+    hashed = df.withColumn("_hash", F.xxhash64(*cols))
+    twice = hashed.groupBy("_hash").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_hash")
+    twice = materialize(twice)
+    # Few suspects are broadcast, so the other rows are not shuffled again.
+    side = F.broadcast(twice) if twice.count() <= BROADCAST_ROWS else twice
+    copies = hashed.join(side, "_hash", "left_semi").groupBy(*cols).agg(F.count(F.lit(1)).alias("_copies"))
+    return copies.agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicate_rows"))
 
-    def rows_where(condition):
-        return F.coalesce(F.sum(F.when(condition, F.col("_copies"))), F.lit(0))
 
-    return copies.agg(
-        F.coalesce(F.sum("_copies"), F.lit(0)).alias("row_count"),
-        rows_where(F.col("price") < 0 if "price" in df.columns else F.lit(False)).alias("negative_prices"),
-        rows_where(F.col("event_time").isNull()).alias("invalid_timestamps"),
-        F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicate_rows"),
-    )
+def quality_counts(df: DataFrame) -> DataFrame:
+    """One row: rows, negative prices, missing timestamps, duplicate rows."""
+    duplicates = duplicate_count(df).scalar()
+    return df.agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count_if(F.col("price") < 0 if "price" in df.columns else F.lit(False)).alias("negative_prices"),
+        F.count_if(F.col("event_time").isNull()).alias("invalid_timestamps"),
+    ).withColumn("duplicate_rows", duplicates)
 
 
 def inf_null_row_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:

@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segmentry import settings
+from segmentry.functions import order_statistics
+from segmentry.session import materialize
+
+SMALL_LIMIT = 1_000_000
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema=None, **options) -> DataFrame:
@@ -33,22 +37,53 @@ def row_count(df: DataFrame) -> DataFrame:
 
 
 def take_rows(df: DataFrame, max_rows: int | None, order_by: Sequence[str] = ()) -> DataFrame:
-    """At most ``max_rows`` rows (0 or None = all); ordered input makes the choice repeatable."""
+    """At most ``max_rows`` rows (0 or None = all); ordered input makes the choice repeatable.
+
+    A large cap is not a ``limit``, which would move all its rows through one
+    task: rows per partition are counted, and a filter on the position keeps whole
+    partitions up to the one where the cap falls.
+    """
     if not max_rows:
         return df
-    return (df.orderBy(*order_by) if order_by else df).limit(max_rows)
+    df = df.orderBy(*order_by) if order_by else df
+    if max_rows <= SMALL_LIMIT:
+        return df.limit(max_rows)
+    placed = df.withColumn("_at", F.monotonically_increasing_id())
+    if order_by:
+        placed = materialize(placed)
+    part, row = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = placed.groupBy(part.alias("part")).count().orderBy("part").collect()
+    left = max_rows
+    for r in sizes:
+        if r["count"] >= left:
+            return placed.where((part < r["part"]) | ((part == r["part"]) & (row < left))).drop("_at")
+        left -= r["count"]
+    return df
 
 
 def exact_sample(df: DataFrame, fraction: float, seed: int = settings.SEED, order_key: str | None = None) -> DataFrame:
     """Seeded sample of exactly ``int(rows * fraction)`` rows, without replacement.
 
+    Every row draws a number from the hash of its key, and the rows below the
+    exact order statistic of the draws are kept, so no task gathers the sample.
     With ``order_key`` (a unique column) the choice depends on the key alone, not
     on how the input is partitioned.
     """
-    target = int(df.count() * fraction)
-    draw = F.xxhash64(F.lit(seed), F.col(order_key)) if order_key else F.rand(seed)
-    by = ["_draw", order_key] if order_key else ["_draw"]
-    return df.withColumn("_draw", draw).orderBy(*by).limit(target).drop("_draw")
+    key = F.col(order_key) if order_key else F.monotonically_increasing_id()
+    drawn = df.withColumn("_key", key).withColumn(
+        "_draw", F.pmod(F.xxhash64(F.lit(seed), "_key"), F.lit(1 << 53)).cast("double")
+    )
+    rows = drawn.count()
+    target = int(rows * fraction)
+    if target <= 0:
+        return df.limit(0)
+    stats = order_statistics(drawn, ["_draw"], [(target - 1) / max(rows - 1, 1)])["_draw"]
+    low, high, weight = next(iter(stats.points.values()))
+    last = high if weight > 0.5 else low
+    below = drawn.where(F.col("_draw") < last)
+    # Draws equal to the last one are a handful at most.
+    equal = drawn.where(F.col("_draw") == last).orderBy("_key").limit(target - below.count())
+    return below.unionByName(equal).drop("_key", "_draw")
 
 
 def coerce_events(df: DataFrame) -> DataFrame:

@@ -21,15 +21,16 @@ def frame(spark, **cols):
     return spark.createDataFrame(rows, "user_id bigint, " + ", ".join(f"{c} double" for c in cols)).repartition(4)
 
 
-@pytest.mark.parametrize("small_rows", [None, 0])
-def test_quantiles_match_numpy(spark, small_rows, monkeypatch):
+@pytest.mark.parametrize("small_cells", [None, 0])
+def test_quantiles_match_numpy(spark, small_cells, monkeypatch):
     monkeypatch.setattr(quantiles_module, "FINISH_ROWS", 20)
+    monkeypatch.setattr(quantiles_module, "COLUMNS_PER_PASS", 2)
     rng = np.random.default_rng(1)
     a = rng.normal(size=3000)
     b = np.where(rng.uniform(size=3000) < 0.4, 0.0, rng.exponential(size=3000))  # one hot value
     c = np.round(rng.uniform(0, 3, 3000))
     d = [None if i % 3 else v for i, v in enumerate(a)]
-    got = exact_quantiles(frame(spark, a=a, b=b, c=c, d=d, e=[None] * 3000), list("abcde"), PROBS, small_rows)
+    got = exact_quantiles(frame(spark, a=a, b=b, c=c, d=d, e=[None] * 3000), list("abcde"), PROBS, small_cells)
     for name, values in (("a", a), ("b", b), ("c", c), ("d", a[::3])):
         np.testing.assert_allclose(got[name], np.quantile(values, PROBS), rtol=1e-12, atol=1e-12)
     assert got["e"] == [None] * len(PROBS)

@@ -10,9 +10,9 @@ from segmentry.operators.preprocess import Preprocessor, PreprocessModel, correl
 def data():
     rng = np.random.default_rng(42)
     x = rng.normal(size=(300, 6)) * [1, 5, 1, 0.01, 1, 1]
+    x[:10, 1] = 1000.0
     x[:, 4] = x[:, 1] * 2  # copy of column 1
     x[:, 5] = 3.0  # constant
-    x[:10, 1] = 1000.0
     x[20:30, 0] = np.nan
     return x
 

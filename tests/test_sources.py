@@ -1,6 +1,7 @@
 """Sources, samples, sinks and the whole job."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from segmentry.operators import eda, profiles
 from segmentry.plans.pipeline import segment_customers, write_result
@@ -14,6 +15,7 @@ from segmentry.sources import (
     union_inputs,
     write_csv,
 )
+from segmentry.sources import events as events_module
 from segmentry.sources.warehouse import events_canonical
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -48,10 +50,20 @@ def test_caps_and_samples(spark, log):
     one = exact_sample(keyed, 0.25, order_key="event_id")
     two = exact_sample(keyed.repartition(5), 0.25, order_key="event_id")
     assert one.count() == int(n * 0.25) == one.select("event_id").distinct().count()
+    assert exact_sample(events, 0.5).count() == int(n * 0.5)
     assert one.select("event_id").exceptAll(two.select("event_id")).isEmpty()
     assert union_inputs([events, events.drop("brand")]).count() == 2 * n
 
 
+def test_large_caps_keep_whole_partitions(spark, monkeypatch):
+    monkeypatch.setattr(events_module, "SMALL_LIMIT", 0)
+    df = spark.range(0, 1000, 1, 7).withColumn("v", 1000 - F.col("id"))
+    for cap in (1, 142, 143, 500, 999, 1000, 5000):
+        assert take_rows(df, cap).count() == min(cap, 1000)
+    lowest = [r["id"] for r in take_rows(df, 10, ["v"]).orderBy("id").collect()]
+    assert lowest == list(range(990, 1000))
+
+
 def test_prepare(spark, log):
     events, report = prepare_events(spark, f"{log}/parquet")
     assert report.first()["row_count"] == events.count()
