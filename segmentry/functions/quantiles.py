@@ -73,13 +73,13 @@ def order_statistics(
     head = work.selectExpr(*[f"count(c{i})" for i in range(len(cols))]).first()
     counts = dict(zip(cols, head))
     wanted = {c: sorted({r for p in probs for r in _ranks(p, counts[c])}) if counts[c] else [] for c in cols}
-    limit = SMALL_CELLS if small_cells is None else small_cells
-    if sum(counts.values()) <= limit:
-        values = _from_percentile(work, cols, counts, wanted)
-    else:
-        values = {}
-        for start in range(0, len(cols), COLUMNS_PER_PASS):
-            values |= _from_brackets(work, cols, cols[start : start + COLUMNS_PER_PASS], wanted)
+    limit, most = SMALL_CELLS if small_cells is None else small_cells, max(counts.values())
+    step, solve = COLUMNS_PER_PASS, _from_brackets
+    if most <= limit:
+        step, solve = max(1, limit // max(most, 1)), _from_percentile
+    values = {}
+    for start in range(0, len(cols), step):
+        values |= solve(work, cols, cols[start : start + step], counts, wanted)
     out = {}
     for c in cols:
         points = {}
@@ -106,9 +106,9 @@ def _ranks(prob: float, n: int) -> tuple[int, int]:
     return low, min(low + 1, n - 1)
 
 
-def _from_percentile(work, cols, counts, wanted):
-    """One aggregate; used only below the row limit."""
-    used = [(i, c) for i, c in enumerate(cols) if wanted[c]]
+def _from_percentile(work, cols, part, counts, wanted):
+    """One aggregate over as many columns as the cell limit allows."""
+    used = [(i, c) for i, c in enumerate(cols) if c in part and wanted[c]]
     if not used:
         return {}
     aggs = []
@@ -119,45 +119,59 @@ def _from_percentile(work, cols, counts, wanted):
     return {(c, r): v for (i, c), vs in zip(used, row) for r, v in zip(wanted[c], vs)}
 
 
-def _from_brackets(work, cols, part, wanted):
+def _from_brackets(work, cols, part, counts, wanted):
     index = {c: i for i, c in enumerate(cols)}
     live = [c for c in part if wanted[c]]
     if not live:
         return {}
-    ends = work.agg(*[f(f"c{index[c]}") for c in live for f in (F.min, F.max)]).first()
+    ends = work.selectExpr(*[f"{f}(c{index[c]})" for c in live for f in ("min", "max")]).first()
     ends = {c: (ends[2 * j], ends[2 * j + 1]) for j, c in enumerate(live)}
     todo = [_Bracket(c, r, *ends[c]) for c in live for r in wanted[c]]
-    _count(work, index, todo, [(b, b.lo, b.hi) for b in todo])
+    _count(work, index, [(b, b.lo, b.hi) for b in todo])
     while True:
         wide = [b for b in todo if b.value is None and b.lt_hi - b.le_lo > FINISH_ROWS]
         if not wide:
             break
-        aggs = []
+        # Brackets with the same ends share one sketch.
+        shared: dict[tuple, list[_Bracket]] = {}
         for b in wide:
-            col, inside = F.col(f"c{index[b.col]}"), b.lt_hi - b.le_lo
-            centre, slack = (b.rank - b.le_lo) / inside, 2.0 / SKETCH_ACCURACY
+            shared.setdefault((b.col, b.lo, b.hi), []).append(b)
+        aggs = []
+        for (col, lo, hi), group in shared.items():
+            points = []
+            for b in group:
+                centre, slack = (b.rank - b.le_lo) / (b.lt_hi - b.le_lo), 2.0 / SKETCH_ACCURACY
+                points += [max(centre - slack, 0.0), min(centre + slack, 1.0)]
+            c = f"c{index[col]}"
             aggs.append(
-                F.percentile_approx(
-                    F.when((col > b.lo) & (col < b.hi), col),
-                    [max(centre - slack, 0.0), min(centre + slack, 1.0)],
-                    SKETCH_ACCURACY,
-                )
+                f"percentile_approx(CASE WHEN {c} > {number(lo)} AND {c} < {number(hi)} THEN {c} END, "
+                f"array({', '.join(map(repr, points))}), {SKETCH_ACCURACY})"
             )
-        proposals = work.agg(*aggs).first()
-        _count(work, index, wide, [(b, *p) for b, p in zip(wide, proposals)])
+        found = work.selectExpr(*aggs).first()
+        _count(
+            work,
+            index,
+            [
+                (b, *proposals[2 * j : 2 * j + 2])
+                for group, proposals in zip(shared.values(), found)
+                for j, b in enumerate(group)
+            ],
+        )
     _finish(work, index, [b for b in todo if b.value is None])
     return {(b.col, b.rank): b.value for b in todo}
 
 
-def _count(work, index, brackets, proposals) -> None:
+def _count(work, index, proposals) -> None:
     """Count rows at the proposed ends exactly, then keep the part holding the rank."""
+    marks = list(dict.fromkeys((b.col, v) for b, lo, hi in proposals for v in (lo, hi)))
     aggs = []
+    for col, v in marks:
+        c = f"c{index[col]}"
+        aggs += [f"count_if({c} < {number(v)})", f"count_if({c} <= {number(v)})"]
+    row = work.selectExpr(*aggs).first()
+    below = {m: (row[2 * j], row[2 * j + 1]) for j, m in enumerate(marks)}
     for b, lo, hi in proposals:
-        col = F.col(f"c{index[b.col]}")
-        aggs += [F.count_if(col < lo), F.count_if(col <= lo), F.count_if(col < hi), F.count_if(col <= hi)]
-    row = work.agg(*aggs).first()
-    for j, (b, lo, hi) in enumerate(proposals):
-        lt_lo, le_lo, lt_hi, le_hi = row[4 * j : 4 * j + 4]
+        (lt_lo, le_lo), (lt_hi, le_hi) = below[b.col, lo], below[b.col, hi]
         if b.rank < lt_lo:
             b.hi, b.lt_hi = lo, lt_lo
         elif b.rank >= le_hi:
