@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from segmentry.functions import exact_quantiles
+from segmentry.functions.ranks import BROADCAST_ROWS
+from segmentry.session import materialize
 
 
 def _row(spark, values: dict, schema: str) -> DataFrame:
@@ -161,7 +163,9 @@ def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
 def histogram_by_cluster(df: DataFrame, col: str, bins: int = 30, cluster: str = "cluster") -> DataFrame:
     """``(cluster, bin, n)`` over each cluster's own range; only filled bins are listed."""
     values = df.select(F.col(cluster).alias("cluster"), F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
-    ranges = values.groupBy("cluster").agg(F.min("v").alias("low"), F.max("v").alias("high"))
+    ranges = materialize(values.groupBy("cluster").agg(F.min("v").alias("low"), F.max("v").alias("high")))
+    if ranges.count() <= BROADCAST_ROWS:
+        ranges = F.broadcast(ranges)  # else adaptive execution splits the rows of a large cluster
     index = _bin_index(F.col("v"), F.col("low"), F.col("high"), bins)
     return (
         values.join(ranges, "cluster")

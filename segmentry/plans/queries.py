@@ -16,7 +16,7 @@ from segmentry.operators.dbscan import dbscan
 from segmentry.operators.kmeans import assign
 from segmentry.plans import oracles
 from segmentry.plans import pipeline as job
-from segmentry.sources import coerce_events, row_count
+from segmentry.sources import coerce_events, exact_sample, row_count, take_rows
 from segmentry.sources.warehouse import events_canonical, events_sparse, labelled_vectors, order_customers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,18 @@ def register(name: str, run: Query, sql: str | None = None) -> None:
 
 register("row_count", lambda s, d: row_count(events_canonical(s, d)), "SELECT count(*) AS row_count FROM events")
 
+register(
+    "first_rows",
+    lambda s, d: take_rows(events_canonical(s, d), 1000, ["event_time", "event_id"]).select("event_id", "event_time", "user_id"),
+    "SELECT event_id, ts AS event_time, user_id FROM events ORDER BY ts, event_id LIMIT 1000",
+)
+register(
+    "sampled_rows",
+    lambda s, d: exact_sample(events_canonical(s, d), 0.1, order_key="event_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("event_id").alias("n_ids")
+    ),
+    "SELECT CAST(floor(count(*) * 0.1) AS BIGINT) AS n_rows, CAST(floor(count(*) * 0.1) AS BIGINT) AS n_ids FROM events",
+)
 _LOG_COLUMNS = [
     "event_id", "event_time", "event_type", "product_id", "category_id", "category_code", "brand", "price",
     "user_id", "user_session",
