@@ -20,7 +20,14 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(docs, _vocabulary("word_bpe_49k.json"), end_id=1).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segmentry.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"))
+
+
 QUERIES = {
+    "op2_pack": op2_pack,
     "op10_token_files": op10_token_files,
 }
 
