@@ -13,6 +13,12 @@ def _vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segmentry.llm.jaccard import ngram_jaccard
+
+    return ngram_jaccard(table(spark, sf_dir, "documents"), n=3, percent=90)
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from segmentry.llm.binary_ids import token_files
 
@@ -28,6 +34,7 @@ def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_pack": op2_pack,
+    "op6_ngram_jaccard": op6_ngram_jaccard,
     "op10_token_files": op10_token_files,
 }
 
