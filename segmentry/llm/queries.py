@@ -13,6 +13,12 @@ def _vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_archived_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segmentry.llm.warc import archived
+
+    return archived(table(spark, sf_dir, "pages")).drop("url")
+
+
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from segmentry.llm.jaccard import ngram_jaccard
 
@@ -34,8 +40,21 @@ def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_pack": op2_pack,
+    "op3_archived_pages": op3_archived_pages,
     "op6_ngram_jaccard": op6_ngram_jaccard,
     "op10_token_files": op10_token_files,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_archived_pages": """
+        WITH p AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS digest FROM pages
+        ), t AS (
+            SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY digest, n) ELSE page_id END AS target FROM p
+        )
+        SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+               CASE WHEN page_id = target THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> target THEN target END AS refers_to
+        FROM t
+    """,
+}
