@@ -4,63 +4,111 @@ from __future__ import annotations
 
 import re
 import sys
+from itertools import compress
 
 import numpy as np
 
-#: A blank between two visible Latin characters.  Neither byte-level nor word-level
-#: pre-tokenizers join anything across it, so the pieces can be encoded one by one.
-BOUNDARY = re.compile("(?<=[!-~À-ɏ]) (?=[!-~À-ɏ])")
-#: Code points that are split at a time; only bounds memory.
+#: Without U+0130, whose lower case is two characters.
+LATIN = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
+VISIBLE = "!-~À-ɏ"
+#: Pieces that can be encoded one by one, as no pre-tokenizer of the byte-level or word-level kind joins
+#: anything across their ends: a run of Latin letters before a blank or plain punctuation, with the
+#: blank that leads it; or whatever else there is up to a blank between two visible Latin characters.
+PIECES = re.compile(f" ?[{LATIN}]+(?=[ ,.;:!?*#$%&|\\n]|\\Z)|[\\s\\S]+?(?=(?<=[{VISIBLE}]) [{VISIBLE}]|\\Z)")
+CUT = re.compile(f"(?<=[{VISIBLE}])(?= [{VISIBLE}])")
+WORD = re.compile(f" [{LATIN}]+\\Z")
+#: Code points that are encoded at a time; only bounds memory.
 SEGMENT = 1 << 20
-#: Marks the piece that no blank precedes; never the first character of another piece.
-FIRST = "\0"
 
 
 class PieceEncoder:
     """Encodes texts as ``Tokenizer.encode(text, add_special_tokens=False)`` does.
 
-    Texts are cut at ``BOUNDARY``; the ids of a piece come from the tokenizer and are kept
-    for its next occurrence.  The kept pieces are dropped when there are ``max_pieces``.
+    The ids of a piece come from the tokenizer and are kept for its next occurrence.  Beyond
+    ``max_pieces``, the pieces that were met only once are forgotten, then all.  Strings of
+    special tokens in a text are ordinary text.
     """
 
-    def __init__(self, path: str, max_pieces: int = 300_000):
+    def __init__(self, path: str, max_pieces: int = 600_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.max_pieces = max_pieces
-        self._forget()
+        self.letters = self._letters()
+        self._keep([], np.zeros(0, np.uint32), np.zeros(0, np.int64))
+
+    def _keep(self, pieces: list[str], flat: np.ndarray, size: np.ndarray) -> None:
+        self.slot = dict(zip(pieces, range(len(pieces))))
+        self.flat, self.size, self.first = flat, size, np.cumsum(size) - size
+        self.met = np.zeros(len(pieces), np.int64)
 
     def _forget(self) -> None:
-        self.slot: dict[str, int] = {}
-        self.flat = np.zeros(0, np.uint32)
-        self.first = np.zeros(0, np.int64)
-        self.size = np.zeros(0, np.int64)
+        often = self.met > 1
+        if often.sum() > self.max_pieces // 2:
+            often[:] = False
+        flat = self.flat[np.repeat(often, self.size)]
+        self._keep(list(compress(self.slot, often)), flat, self.size[often])
+
+    def _letters(self) -> dict[int, str] | None:
+        """What the tokenizer turns each Latin letter into; a line break for the blank.  None if not one by one."""
+        table = {}
+        for c in (chr(k) for k in range(0x250) if re.match(f"[{LATIN}]", chr(k))):
+            tokens = self._tokens(c)
+            if len(tokens) != 1:
+                return None
+            table[ord(c)] = tokens[0][0]
+        for pair in ("aZ", "éß", "Éz", "ǆa"):
+            if self._tokens(pair) != [(pair.translate(table), (0, len(pair)))]:
+                return None
+        ((self.lead, _),) = self._tokens(" a")
+        self.lead = self.lead.removesuffix("a")
+        return table | {ord(" "): "\n"}
+
+    def _tokens(self, text: str) -> list[tuple[str, tuple[int, int]]]:
+        if self.tokenizer.normalizer is not None:
+            text = self.tokenizer.normalizer.normalize_str(text)
+        return self.tokenizer.pre_tokenizer.pre_tokenize_str(text)
+
+    def _words(self, words: list[str]) -> tuple[list[int], list[int]]:
+        """Ids and their number for pieces that are a blank and a Latin word each."""
+        split, ids, size = self.tokenizer.model.tokenize, [], []
+        for token in "".join(words).translate(self.letters).split("\n")[1:]:
+            own = [t.id for t in split(self.lead + token)]
+            size.append(len(own))
+            ids += own
+        return ids, size
 
     def _learn(self, pieces: list[str]) -> None:
-        words = [p[1:] if p[0] == FIRST else " " + p for p in pieces]
-        encoded = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
-        ids = np.array(encoded.ids, np.uint32)
-        size = np.bincount(np.array(encoded.word_ids, np.int64), minlength=len(words)).astype(np.int64)
-        first = len(self.flat) + np.cumsum(size) - size
+        plain = [p for p in pieces if WORD.match(p)] if self.letters else []
+        rest = [p for p in pieces if not WORD.match(p)] if self.letters else pieces
+        known = self._words(plain)
+        ids, size = np.array(known[0], np.uint32), np.array(known[1], np.int64)
+        if rest:
+            encoded = self.tokenizer.encode(rest, is_pretokenized=True, add_special_tokens=False)
+            ids = np.concatenate([ids, np.array(encoded.ids, np.uint32)])
+            size = np.concatenate([size, np.bincount(np.array(encoded.word_ids, np.int64), minlength=len(rest))])
         start = len(self.slot)
-        self.slot.update(zip(pieces, range(start, start + len(pieces))))
+        self.slot.update(zip(plain + rest, range(start, start + len(pieces))))
+        self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(size) - size])
         self.flat = np.concatenate([self.flat, ids])
-        self.first = np.concatenate([self.first, first])
         self.size = np.concatenate([self.size, size])
+        self.met = np.concatenate([self.met, np.zeros(len(pieces), np.int64)])
 
     def _ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the pieces, and where each piece ends among them."""
-        missing = [p for p in dict.fromkeys(pieces) if p not in self.slot]
-        if missing:
-            if len(self.slot) + len(missing) > self.max_pieces:
-                self._forget()
-                missing = list(dict.fromkeys(pieces))
-            self._learn(missing)
-        slots = np.fromiter(map(self.slot.__getitem__, pieces), np.int64, len(pieces))
+        if len(self.slot) > self.max_pieces:
+            self._forget()
+        slots = list(map(self.slot.get, pieces))
+        if None in slots:
+            self._learn(list(dict.fromkeys(p for p, k in zip(pieces, slots) if k is None)))
+            slots = list(map(self.slot.__getitem__, pieces))
+        slots = np.array(slots, np.int64)
+        self.met += np.bincount(slots, minlength=len(self.met))
         size = self.size[slots]
         ends = np.cumsum(size)
-        take = np.repeat(self.first[slots] - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
+        take = np.repeat(self.first[slots] - ends + size, size)
+        take += np.arange(len(take))
         return self.flat[take], ends
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
@@ -72,8 +120,7 @@ class PieceEncoder:
         def flush():
             nonlocal pieces, ends, chars
             ids, stops = self._ids(pieces)
-            stops = np.concatenate([[0], stops])
-            marks = stops[np.array([0, *ends], np.int64)]
+            marks = np.concatenate([[0], stops])[np.array([0, *ends], np.int64)].tolist()
             out.extend(ids[a:b] for a, b in zip(marks[:-1], marks[1:]))
             pieces, ends, chars = [], [], 0
 
@@ -82,26 +129,21 @@ class PieceEncoder:
                 flush()
                 out.append(self._long(text))
                 continue
-            if text:
-                own = BOUNDARY.split(text)
-                own[0] = FIRST + own[0]
-                pieces += own
-                chars += len(text)
+            pieces += PIECES.findall(text)
             ends.append(len(pieces))
+            chars += len(text)
             if chars >= SEGMENT:
                 flush()
         flush()
         return out
 
     def _long(self, text: str) -> np.ndarray:
-        parts, at, lead = [], 0, True
+        parts, at = [], 0
         while at < len(text):
-            cut = BOUNDARY.search(text, at + SEGMENT)
-            own = BOUNDARY.split(text[at : cut.start() if cut else len(text)])
-            if lead:
-                own[0] = FIRST + own[0]
-            parts.append(self._ids(own)[0])
-            at, lead = cut.end() if cut else len(text), False
+            cut = CUT.search(text, at + SEGMENT)
+            end = cut.start() if cut else len(text)
+            parts.append(self._ids(PIECES.findall(text[at:end]))[0])
+            at = end
         return np.concatenate(parts)
 
 
