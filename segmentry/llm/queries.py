@@ -19,6 +19,12 @@ def op3_archived_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived(table(spark, sf_dir, "pages")).drop("url")
 
 
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segmentry.llm.pii import found_data
+
+    return found_data(table(spark, sf_dir, "documents"))
+
+
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from segmentry.llm.jaccard import ngram_jaccard
 
@@ -41,6 +47,7 @@ def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_pack": op2_pack,
     "op3_archived_pages": op3_archived_pages,
+    "op5_personal_data": op5_personal_data,
     "op6_ngram_jaccard": op6_ngram_jaccard,
     "op10_token_files": op10_token_files,
 }
