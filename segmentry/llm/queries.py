@@ -19,6 +19,12 @@ def op3_archived_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived(table(spark, sf_dir, "pages")).drop("url")
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segmentry.llm.quality import classify
+
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     from segmentry.llm.pii import found_data
 
@@ -58,6 +64,7 @@ def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_pack": op2_pack,
     "op3_archived_pages": op3_archived_pages,
+    "op4_quality": op4_quality,
     "op5_personal_data": op5_personal_data,
     "op6_ngram_jaccard": op6_ngram_jaccard,
     "op9_chats": op9_chats,
