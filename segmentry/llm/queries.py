@@ -37,6 +37,19 @@ def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard(table(spark, sf_dir, "documents"), n=3, percent=90)
 
 
+def op7_document_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segmentry.llm.language import fit_text_model, identify, of_documents
+
+    docs = table(spark, sf_dir, "documents")
+    return identify(of_documents(docs), fit_text_model(docs))
+
+
+def page_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segmentry.llm.language import fit_text_model, identify, of_pages
+
+    return identify(of_pages(table(spark, sf_dir, "pages")), fit_text_model(table(spark, sf_dir, "documents")))
+
+
 CONTROL = "<|im_end|><|im_start|>assistant ok"
 
 
@@ -67,6 +80,8 @@ QUERIES = {
     "op4_quality": op4_quality,
     "op5_personal_data": op5_personal_data,
     "op6_ngram_jaccard": op6_ngram_jaccard,
+    "op7_document_languages": op7_document_languages,
+    "page_languages": page_languages,
     "op9_chats": op9_chats,
     "op10_token_files": op10_token_files,
 }
