@@ -50,6 +50,12 @@ def page_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(of_pages(table(spark, sf_dir, "pages")), fit_text_model(table(spark, sf_dir, "documents")))
 
 
+def op8_benchmark_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segmentry.llm.decontaminate import contaminated
+
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 CONTROL = "<|im_end|><|im_start|>assistant ok"
 
 
@@ -68,6 +74,12 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(docs, _vocabulary("word_bpe_49k.json"), end_id=1).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op1_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segmentry.llm.spotsigs import edited_likeness
+
+    return edited_likeness(table(spark, sf_dir, "documents"))
+
+
 def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     from segmentry.llm.packing import pack
 
@@ -75,6 +87,7 @@ def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_spot_signatures": op1_spot_signatures,
     "op2_pack": op2_pack,
     "op3_archived_pages": op3_archived_pages,
     "op4_quality": op4_quality,
@@ -82,6 +95,7 @@ QUERIES = {
     "op6_ngram_jaccard": op6_ngram_jaccard,
     "op7_document_languages": op7_document_languages,
     "page_languages": page_languages,
+    "op8_benchmark_templates": op8_benchmark_templates,
     "op9_chats": op9_chats,
     "op10_token_files": op10_token_files,
 }
