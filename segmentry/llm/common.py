@@ -60,3 +60,12 @@ def write_bytes(rows: DataFrame, folder: str) -> None:
     the files of lost or repeated attempts disappear, on every file system Spark can write.
     """
     rows.select(F.col("value").cast("string").alias("value")).write.text(folder)
+
+
+#: Rows of keys that are broadcast at most (16 to 32 bytes each).
+BROADCAST_ROWS = 2_000_000
+
+
+def sized(keys: DataFrame) -> DataFrame:
+    """Narrow written rows, broadcast if they are counted to be at most ``BROADCAST_ROWS``; else joined by shuffle."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from segmentry.llm.common import text_or_empty, written
+from segmentry.llm.common import sized, text_or_empty, written
 
 #: Tokens of a window, and least number of them in an item's window that are no placeholder.
 WINDOW, LITERAL = 8, 4
@@ -87,7 +87,7 @@ def contaminated(
     covered: float = COVERED,
     consistent: float = CONSISTENT,
 ) -> DataFrame:
-    """``(doc_id, item_id, windows, item_windows, slots, consistent)`` for each row of ``docs`` that holds an item.
+    """``(doc_id, text_key, item_id, windows, item_windows, slots, consistent)`` for each row of ``docs`` that holds an item.
 
     ``docs`` has ``doc_id, text``, ``benchmark`` has ``item_id, text``.  A row is contaminated by an item if enough of the
     item's windows are in it and the placeholder values agree; exact copies agree always.  Null and empty
@@ -131,4 +131,10 @@ def contaminated(
     )
     held = written(held.where(F.col("consistent") >= consistent), "held-items")
     ids = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text_or_empty()).alias("key"))
-    return ids.join(held, "key").drop("key")
+    return ids.join(held, "key").withColumnRenamed("key", "text_key")
+
+
+def decontaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` that hold no benchmark item."""
+    held = written(contaminated(docs, benchmark, **options).select(F.col("text_key").alias("__key")).distinct(), "contaminated-texts")
+    return docs.join(sized(held), F.xxhash64(text_or_empty()) == F.col("__key"), "left_anti")

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from segmentry.functions.graph import connected_components
-from segmentry.llm.common import text_or_empty, written
+from segmentry.llm.common import sized, text_or_empty, written
 
 #: 64-bit words of a bitmap.
 WORDS = 16
@@ -126,29 +126,29 @@ def bitmap(shingles: np.ndarray) -> np.ndarray:
 
 def _described(docs: DataFrame, n: int, percent: int) -> DataFrame:
     schema = pa.schema(
-        [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64())]
+        [("doc_id", pa.int64()), ("text_key", pa.int64()), ("n_shingles", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64())]
         + [("bits", pa.list_(pa.int64())), ("keys", pa.list_(pa.int64()))]
     )
 
     def describe(batches):
         hashes, tiles, seen = WordHashes(), Tiles(percent), set()
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            ids, texts, keys = (batch.column(k).to_pylist() for k in range(3))
             for k in range(0, len(texts), 256):
                 rows = []
-                for doc_id, text in zip(ids[k : k + 256], texts[k : k + 256]):
+                for doc_id, text, key in zip(ids[k : k + 256], texts[k : k + 256], keys[k : k + 256]):
                     shingles = shingle_set(text, n, hashes)
                     if not len(shingles):
-                        rows.append((doc_id, 0, 0, 0, None, None))
+                        rows.append((doc_id, key, 0, 0, 0, None, None))
                         continue
                     with np.errstate(over="ignore"):
                         h1, h2 = (int(mix(shingles + np.uint64(k)).sum(dtype=np.uint64).view(np.int64)) for k in (1, 2))
                     first = h1 not in seen  # copies within a task bring their tiles once
                     seen.add(h1)
-                    rows.append((doc_id, len(shingles), h1, h2, bitmap(shingles), tiles.keys(shingles).view(np.int64) if first else None))
+                    rows.append((doc_id, key, len(shingles), h1, h2, bitmap(shingles), tiles.keys(shingles).view(np.int64) if first else None))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
-    kinds = "doc_id bigint, n_shingles bigint, h1 bigint, h2 bigint, bits array<bigint>, keys array<bigint>"
+    kinds = "doc_id bigint, text_key bigint, n_shingles bigint, h1 bigint, h2 bigint, bits array<bigint>, keys array<bigint>"
     return docs.mapInArrow(describe, kinds)
 
 
@@ -243,16 +243,17 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, perce
 
 
 def ngram_jaccard(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """``(doc_id, n_shingles, component_id)`` for each row of ``docs(doc_id, text)``.
+    """``(doc_id, n_shingles, component_id, text_key, group)`` for each row of ``docs(doc_id, text)``.
 
     Two rows link when their sets of ``n``-word shingles have a Jaccard similarity of at least
     ``percent`` / 100; ``component_id`` is the smallest ``doc_id`` that links reach.  Words are runs without
     ASCII white space, with A-Z in lower case.  A text with fewer words is one shingle; null texts
     and texts without words have no shingle, link with nothing and keep their own ``doc_id``.  Rows that share
     a ``doc_id`` are rows of their own; a null ``doc_id`` takes part but is never the smallest.  Other
-    columns are ignored, and an empty table gives no rows.
+    columns are ignored, and an empty table gives no rows.  ``text_key`` is ``xxhash64`` of the text, ``group`` a
+    number of the component (null without shingles).
     """
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"))
+    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"), F.xxhash64(text_or_empty()).alias("text_key"))
     rows = written(_described(docs, n, percent).withColumn("row", F.monotonically_increasing_id()), "shingle-sets")
 
     # A node stands for all rows with the same set.
@@ -294,7 +295,30 @@ def ngram_jaccard(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     # Smallest doc_id of each component, by way of the nodes.
     placed = nodes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    of_set = placed.select("h1", "h2", "component").join(smallest, "component").select("h1", "h2", "component_id")
-    linked = rows.where("n_shingles > 0").join(of_set, ["h1", "h2"]).select("doc_id", "n_shingles", "component_id")
-    alone = rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    of_set = placed.select("h1", "h2", "component").join(smallest, "component").select("h1", "h2", "component_id", "component")
+    linked = rows.where("n_shingles > 0").join(of_set, ["h1", "h2"])
+    linked = linked.select("doc_id", "n_shingles", "component_id", "text_key", F.col("component").alias("group"))
+    none = F.lit(None).cast("bigint").alias("group")
+    alone = rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "text_key", none)
     return linked.union(alone)
+
+
+def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` that stay when one of each group does: the smallest ``doc_id``, nulls last.
+
+    Texts without words are no group and all stay.  Of rows with the same ``doc_id`` and text, one stays.
+    """
+    found = ngram_jaccard(docs, n, percent).where("group is not null").groupBy("group", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("times"))
+    found = written(found, "grouped-rows")
+    best = found.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")).alias("best"))
+    marked = found.join(best, "group").withColumn("stays", F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("text_key") == F.col("best.text_key")))
+    marked = written(marked.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "times", "stays"), "kept-rows")
+    key = F.xxhash64(text_or_empty())
+    same = F.col("__id").eqNullSafe(F.col("doc_id").cast("bigint")) & (F.col("__key") == key)
+    gone = sized(written(marked.where("not stays or times > 1").select("__id", "__key"), "dropped-rows"))
+    rows = docs.join(gone, same, "left_anti")
+    again = written(marked.where("stays and times > 1").select("__id", "__key"), "repeated-rows")
+    if again.isEmpty():
+        return rows
+    repeated = docs.join(sized(again), same, "left_semi").withColumn("__key", key).dropDuplicates(["doc_id", "__key"])
+    return rows.union(repeated.drop("__key"))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from segmentry.llm.common import written
+from segmentry.llm.common import sized, text_or_empty, written
 
 #: n-gram buckets: the model has this many numbers per language, whatever the corpus.
 BUCKETS = 1 << 16
@@ -191,6 +191,14 @@ def of_documents(docs: DataFrame) -> DataFrame:
     )
 
 
+def identified(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs(doc_id, text, lang, source)`` whose language is known.  Whether it is depends on the text alone."""
+    items = of_documents(docs).withColumn("__key", F.xxhash64(text_or_empty()))
+    gone = identify(items, fit_text_model(docs)).where(~F.col("keep")).select("__key").distinct()
+    gone = sized(written(gone, "unknown-language"))
+    return docs.join(gone, F.xxhash64(text_or_empty()) == F.col("__key"), "left_anti")
+
+
 def of_pages(pages: DataFrame) -> DataFrame:
     """Items of ``pages(page_id, url, html)``: the ``lang`` of the markup, and the parts of the address."""
     host = F.lower(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from corpus_pipeline import ORACLE_SQL, run
 from segmentry.llm.common import table
 
 
@@ -34,7 +35,8 @@ def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from segmentry.llm.jaccard import ngram_jaccard
 
-    return ngram_jaccard(table(spark, sf_dir, "documents"), n=3, percent=90)
+    found = ngram_jaccard(table(spark, sf_dir, "documents"), n=3, percent=90)
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 def op7_document_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,7 +55,7 @@ def page_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_benchmark_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from segmentry.llm.decontaminate import contaminated
 
-    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
 
 
 CONTROL = "<|im_end|><|im_start|>assistant ok"
@@ -87,6 +89,7 @@ def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "pipeline": run,
     "op1_spot_signatures": op1_spot_signatures,
     "op2_pack": op2_pack,
     "op3_archived_pages": op3_archived_pages,
@@ -130,3 +133,6 @@ ORACLES: dict[str, str] = {
         FROM w GROUP BY conv_id
     """,
 }
+
+if ORACLE_SQL is not None:
+    ORACLES["pipeline"] = ORACLE_SQL
