@@ -120,6 +120,9 @@ def identify(items: DataFrame, model: TextModel) -> DataFrame:
     rows, and further columns pass through.
     """
     k = len(model.languages)
+    if not k:  # nothing is known of any language
+        unknown = [F.lit(UNKNOWN).alias("language"), F.lit(0.0).alias("confidence"), F.lit(UNKNOWN).alias("text_language")]
+        return items.drop("text", "declared", "suffix", "domain", "host").select("*", *unknown, F.lit(False).alias("keep"))
     passed = [c for c in items.columns if c not in ("text", "declared", "suffix", "domain", "host")]
     # An unknown place is null throughout; declared languages count by their primary subtag.
     items = items.withColumn("declared", F.lower(F.regexp_extract("declared", r"^\s*([A-Za-z]+)", 1)))
@@ -162,11 +165,10 @@ def identify(items: DataFrame, model: TextModel) -> DataFrame:
         told = [F.coalesce(F.log(F.get(c, F.lit(i))), F.lit(0.0)) for c in ("of_declared", "of_suffix")]
         return like[i] + F.log(prior) + told[0] + told[1]
 
-    fused = F.array(*(evidence(i) for i in range(k))) if k else F.array().cast("array<double>")
-    joined = joined.withColumn("fused", fused)
+    joined = joined.withColumn("fused", F.array(*(evidence(i) for i in range(k))))
     top = F.array_max("fused")
     sum_exp = F.aggregate("fused", F.lit(0.0), lambda s, v: s + F.exp(v - top))
-    known = (F.col("ngrams") > 0) & (F.greatest(*like[:k], F.lit(-1e300)) >= like[k]) if k else F.lit(False)
+    known = (F.col("ngrams") > 0) & (F.greatest(*like[:k], F.lit(-1e300)) >= like[k])
     names = F.array(*map(F.lit, model.languages), F.lit(UNKNOWN))
     language = F.get(names, (F.array_position("fused", top) - 1).cast("int"))
     return joined.select(
