@@ -27,9 +27,8 @@ HEADLINE = [
     "quality_rows",
     "dbscan",
     "kmeans",
-    "hierarchical",
+    "bisecting",
     "spectral",
-    "hdbscan",
     "k_selection",
 ]
 

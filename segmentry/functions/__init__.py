@@ -8,13 +8,14 @@ from segmentry.functions.expressions import (
     ratio,
     right_closed_bins,
 )
-from segmentry.functions.quantiles import OrderStats, exact_quantiles, order_statistics
+from segmentry.functions.quantiles import OrderStats, element_at, exact_quantiles, order_statistics
 from segmentry.functions.ranks import average_rank_share, count_values, lookup_join, value_ranks, value_share
 
 __all__ = [
     "OrderStats",
     "average_rank_share",
     "count_values",
+    "element_at",
     "exact_quantiles",
     "finite_or_null",
     "finite_sql",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, NumericType
@@ -27,8 +29,9 @@ def quoted(name: str) -> str:
 
 
 def number(value: float) -> str:
-    """SQL literal of exactly this double."""
-    return f"{float(value)!r}D"
+    """SQL literal of exactly this double, infinities and NaN included."""
+    value = float(value)
+    return f"{value!r}D" if math.isfinite(value) else f"DOUBLE('{value}')"
 
 
 def finite_sql(name: str) -> str:

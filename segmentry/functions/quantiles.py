@@ -1,11 +1,10 @@
-"""Exact quantiles that stay distributed.
+"""Exact quantiles that stay distributed, by one route for every size.
 
-``percentile`` keeps every distinct value of a column in one aggregation
-buffer, so it is only used while the number of values is known to be small.  Beyond
-that, order statistics are found by narrowing a bracket around each rank:
-an approximate-percentile sketch proposes a smaller bracket, an exact count
+Order statistics are found by narrowing a bracket around each rank: an
+approximate-percentile sketch proposes a smaller bracket, an exact count
 accepts it, and the few values left inside are read at the end.  Every pass is
-one map-side-combined aggregate for all columns and ranks together.
+one map-side-combined aggregate for several columns and all their ranks.  What
+is returned are elements of the column, infinite ones too.
 """
 
 from __future__ import annotations
@@ -19,10 +18,9 @@ from pyspark.sql import functions as F
 
 from segmentry.functions.expressions import number, quoted
 
-SMALL_CELLS = 2_000_000  # values that one aggregation buffer may have to hold
-COLUMNS_PER_PASS = 8
+COLUMNS_PER_PASS = 16
 SKETCH_ACCURACY = 10_000
-FINISH_ROWS = 1_000
+FINISH_ROWS = 4_096
 
 
 @dataclass(frozen=True)
@@ -42,6 +40,8 @@ class OrderStats:
             return None
         low, high, weight = self.points[prob]
         low, high = via(low), via(high)
+        if low == high or weight == 0.0:  # no difference of infinities
+            return low
         return low + (high - low) * weight
 
 
@@ -62,24 +62,15 @@ class _Bracket:
             self.value = self.hi
 
 
-def order_statistics(
-    df: DataFrame, cols: Sequence[str], probs: Sequence[float], small_cells: int | None = None
-) -> dict[str, OrderStats]:
-    """Exact neighbouring order statistics of each column at each probability (NULLs ignored)."""
+def order_statistics(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, OrderStats]:
+    """Neighbouring order statistics of each column at each probability (NULLs ignored)."""
     cols, probs = list(cols), [float(p) for p in probs]
     if not cols:
         return {}
-    work = df.selectExpr(*[f"CAST({quoted(c)} AS DOUBLE) AS c{i}" for i, c in enumerate(cols)])
-    head = work.selectExpr(*[f"count(c{i})" for i in range(len(cols))]).first()
-    counts = dict(zip(cols, head))
+    work, ends = _numbered(df, cols)
+    counts = {c: n for c, (n, _, _) in ends.items()}
     wanted = {c: sorted({r for p in probs for r in _ranks(p, counts[c])}) if counts[c] else [] for c in cols}
-    limit, most = SMALL_CELLS if small_cells is None else small_cells, max(counts.values())
-    step, solve = COLUMNS_PER_PASS, _from_brackets
-    if most <= limit:
-        step, solve = max(1, limit // max(most, 1)), _from_percentile
-    values = {}
-    for start in range(0, len(cols), step):
-        values |= solve(work, cols, cols[start : start + step], counts, wanted)
+    values = _elements(work, cols, ends, wanted)
     out = {}
     for c in cols:
         points = {}
@@ -92,42 +83,50 @@ def order_statistics(
     return out
 
 
-def exact_quantiles(
-    df: DataFrame, cols: Sequence[str], probs: Sequence[float], small_cells: int | None = None
-) -> dict[str, list[float | None]]:
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, list[float | None]]:
     """Linear-interpolated quantiles per column; ``None`` where a column is all NULL."""
-    stats = order_statistics(df, cols, probs, small_cells)
+    stats = order_statistics(df, cols, probs)
     return {c: [stats[c].quantile(float(p)) for p in probs] for c in cols}
 
 
+def element_at(df: DataFrame, col: str, rank: int) -> float | None:
+    """The element with ``rank`` smaller or equal ones before it, in ascending order; ``None`` beyond the last."""
+    work, ends = _numbered(df, [col])
+    if not 0 <= rank < ends[col][0]:
+        return None
+    return _elements(work, [col], ends, {col: [rank]})[col, rank]
+
+
+def _numbered(df: DataFrame, cols: list[str]) -> tuple[DataFrame, dict[str, tuple[int, int, int]]]:
+    """Columns ``c0, c1, ...`` as doubles, and per column: values, those that are -inf, those below inf."""
+    work = df.selectExpr(*[f"CAST({quoted(c)} AS DOUBLE) AS c{i}" for i, c in enumerate(cols)])
+    low, high = number(-math.inf), number(math.inf)
+    aggs = [a for i in range(len(cols)) for a in (f"count(c{i})", f"count_if(c{i} = {low})", f"count_if(c{i} < {high})")]
+    row = work.selectExpr(*aggs).first()
+    return work, {c: tuple(row[3 * i : 3 * i + 3]) for i, c in enumerate(cols)}
+
+
+def _elements(work: DataFrame, cols: list[str], ends: dict, wanted: dict[str, list[int]]) -> dict[tuple[str, int], float]:
+    values = {}
+    for start in range(0, len(cols), COLUMNS_PER_PASS):
+        values |= _from_brackets(work, cols, cols[start : start + COLUMNS_PER_PASS], ends, wanted)
+    return values
+
+
 def _ranks(prob: float, n: int) -> tuple[int, int]:
     position = prob * (n - 1)
     low = min(math.floor(position + 1e-9), n - 1)
     return low, min(low + 1, n - 1)
 
 
-def _from_percentile(work, cols, part, counts, wanted):
-    """One aggregate over as many columns as the cell limit allows."""
-    used = [(i, c) for i, c in enumerate(cols) if c in part and wanted[c]]
-    if not used:
-        return {}
-    aggs = []
-    for i, c in used:
-        points = ", ".join(number(r / max(counts[c] - 1, 1)) for r in wanted[c])
-        aggs.append(f"percentile(c{i}, array({points}))")
-    row = work.selectExpr(*aggs).first()
-    return {(c, r): v for (i, c), vs in zip(used, row) for r, v in zip(wanted[c], vs)}
-
-
-def _from_brackets(work, cols, part, counts, wanted):
+def _from_brackets(work, cols, part, ends, wanted):
     index = {c: i for i, c in enumerate(cols)}
     live = [c for c in part if wanted[c]]
     if not live:
         return {}
-    ends = work.selectExpr(*[f"{f}(c{index[c]})" for c in live for f in ("min", "max")]).first()
-    ends = {c: (ends[2 * j], ends[2 * j + 1]) for j, c in enumerate(live)}
-    todo = [_Bracket(c, r, *ends[c]) for c in live for r in wanted[c]]
-    _count(work, index, [(b, b.lo, b.hi) for b in todo])
+    todo = [_Bracket(c, r, -math.inf, math.inf, ends[c][1], ends[c][2]) for c in live for r in wanted[c]]
+    for b in todo:
+        b.settle()
     while True:
         wide = [b for b in todo if b.value is None and b.lt_hi - b.le_lo > FINISH_ROWS]
         if not wide:
@@ -182,16 +181,16 @@ def _count(work, index, proposals) -> None:
 
 
 def _finish(work, index, brackets) -> None:
-    """Read the values left inside each bracket (at most FINISH_ROWS per bracket)."""
+    """Read the values left inside each bracket (at most FINISH_ROWS of a bracket, shared ones once)."""
     if not brackets:
         return
+    shared: dict[tuple, list[_Bracket]] = {}
+    for b in brackets:
+        shared.setdefault((b.col, b.lo, b.hi), []).append(b)
     tagged = F.array(
         *[
-            F.when(
-                (F.col(f"c{index[b.col]}") > b.lo) & (F.col(f"c{index[b.col]}") < b.hi),
-                F.struct(F.lit(j).alias("j"), F.col(f"c{index[b.col]}").alias("v")),
-            )
-            for j, b in enumerate(brackets)
+            F.when((F.col(f"c{index[col]}") > lo) & (F.col(f"c{index[col]}") < hi), F.struct(F.lit(j).alias("j"), F.col(f"c{index[col]}").alias("v")))
+            for j, (col, lo, hi) in enumerate(shared)
         ]
     )
     rows = (
@@ -200,10 +199,12 @@ def _finish(work, index, brackets) -> None:
         .count()
         .collect()
     )
-    for j, b in enumerate(brackets):
-        seen = b.le_lo
-        for v, n in sorted((r["v"], r["count"]) for r in rows if r["j"] == j):
+    values: dict[int, list] = {}
+    for r in rows:
+        values.setdefault(r["j"], []).append((r["v"], r["count"]))
+    for j, group in enumerate(shared.values()):
+        seen, waiting = group[0].le_lo, sorted(group, key=lambda b: b.rank)
+        for v, n in sorted(values.get(j, [])):
             seen += n
-            if b.rank < seen:
-                b.value = v
-                break
+            while waiting and waiting[0].rank < seen:
+                waiting.pop(0).value = v

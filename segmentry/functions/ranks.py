@@ -12,8 +12,9 @@ from segmentry.session import materialize
 
 RANK_BUCKETS = 1_000
 HOT_SHARE = 1_000  # a value is hot when it holds more than 1/HOT_SHARE of the rows
-BROADCAST_ROWS = 100_000
 SALTS = 64
+#: Fixed-width rows (hashes, ranges) that callers broadcast after counting them; the same join runs shuffled beyond.
+BROADCAST_ROWS = 100_000
 
 
 @dataclass(frozen=True)
@@ -24,10 +25,6 @@ class ValueCounts:
     distinct: int
     rows: int
 
-    @property
-    def small(self) -> bool:
-        return self.distinct <= BROADCAST_ROWS
-
 
 def count_values(df: DataFrame, value: Column) -> ValueCounts:
     """Copies of a value collapse map-side, so a hot value costs one row per task."""
@@ -40,15 +37,11 @@ def count_values(df: DataFrame, value: Column) -> ValueCounts:
 def lookup_join(df: DataFrame, value: Column, counts: ValueCounts, table: DataFrame, out: str, spread: Column) -> DataFrame:
     """Left join ``df`` to ``table`` (``value``, ``ties``, ``out``) on ``value``.
 
-    The table is broadcast while its counted size is small.  Beyond that its hot
-    values, of which there can be at most ``HOT_SHARE``, are broadcast, and the
-    rest is a shuffled join in which rows of hot values and of NULL keys are
+    The hot values, of which there can be at most ``HOT_SHARE``, are broadcast; the
+    others are joined by key, where rows of hot values and of NULL keys are
     spread over salts instead of meeting in one task.
     """
     df = df.withColumn("_value", value)
-    plain = table.select(F.col("value").alias("_value"), out)
-    if counts.small:
-        return df.join(F.broadcast(plain), "_value", "left").drop("_value")
     is_hot = F.col("ties") * HOT_SHARE > counts.rows
     hot = table.where(is_hot).select(F.col("value").alias("_value"), F.lit(True).alias("_hot"), F.col(out).alias("_hot_out"))
     cold = table.where(~is_hot).select(
@@ -66,17 +59,13 @@ def lookup_join(df: DataFrame, value: Column, counts: ValueCounts, table: DataFr
 def value_ranks(counts: ValueCounts) -> DataFrame:
     """``(value, ties, avg_rank)``, average-tie rank from 1.
 
-    A small table is ranked in one ordered window.  A large one is cut into
-    buckets at approximate quantiles of the distinct values and cumulated inside
-    each bucket; bucket totals, at most ``RANK_BUCKETS`` rows, give the offsets.
+    The distinct values are cut into buckets at their approximate quantiles and cumulated
+    inside each bucket; bucket totals, at most ``RANK_BUCKETS`` rows, give the offsets.
     """
     upto = F.col("_upto") - (F.col("ties") - 1) / 2
     running = (Window.unboundedPreceding, Window.currentRow)
-    if counts.small:
-        ranked = counts.table.withColumn("_upto", F.sum("ties").over(Window.orderBy("value").rowsBetween(*running)))
-        return ranked.select("value", "ties", upto.alias("avg_rank"))
     grid = [i / RANK_BUCKETS for i in range(1, RANK_BUCKETS)]
-    edges = sorted(set(counts.table.agg(F.percentile_approx("value", grid, 10_000)).first()[0]))
+    edges = sorted(set(counts.table.agg(F.percentile_approx("value", grid, 10_000)).first()[0] or []))
     # Number of edges at or below the value; rows of one value share a bucket.
     bucket = F.size(F.filter(F.array(*[F.lit(float(e)) for e in edges]), lambda e: e <= F.col("value")))
     table = counts.table.withColumn("_bucket", bucket)

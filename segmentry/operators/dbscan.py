@@ -12,6 +12,8 @@ Equal rows are one weighted point, and the labels go back to them by value.
 
 from __future__ import annotations
 
+import math
+
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,8 +29,6 @@ from segmentry.session import materialize
 
 HOME_ROWS = 4_096
 CANDIDATE_ROWS = 8_192
-MAX_PIVOTS = 2_048
-DRIVER_EDGES = 200_000
 
 
 def distinct_points(df: DataFrame) -> ValueCounts:
@@ -49,7 +49,7 @@ class _Blocks:
             # Everything fits one block: no pivot has to be found.
             self.pivots, self.radii, self.splits = None, None, [(0, 1, 1)]
             return
-        picked = points.orderBy(F.xxhash64("id"), "id").limit(min(wanted, MAX_PIVOTS)).select("features").collect()
+        picked = points.orderBy(F.xxhash64("id"), "id").limit(min(wanted, math.isqrt(n) + 1)).select("features").collect()
         self.pivots, self.splits = np.array([r["features"] for r in picked]), None
         home = points.transform(self._with_home)
         stats = home.groupBy("home").agg(F.max("distance").alias("radius")).collect()
@@ -182,33 +182,13 @@ def _local_links(eps: float):
     return link
 
 
-def _cluster_numbers(links: DataFrame, id_type: str) -> DataFrame:
+def _cluster_numbers(links: DataFrame) -> DataFrame:
     """``(rep, cluster)`` for every local component, numbered by smallest core id.
 
-    Local components that share a core belong together.  That graph has one node
-    per local component; while it is counted to be small its components are found
-    on the driver, beyond that by joins.
+    Local components that share a core belong together; that graph has one node per local component.
     """
-    spark = links.sparkSession
     reps = links.where("not border").groupBy("a").agg(F.collect_set("b").alias("reps"))
     edges = reps.select(F.array_min("reps").alias("a"), F.explode("reps").alias("b")).distinct()
-    few = edges.limit(DRIVER_EDGES + 1).collect()
-    if len(few) <= DRIVER_EDGES:
-        lowest: dict = {}
-
-        def root(i):
-            while lowest[i] != i:
-                lowest[i] = lowest[lowest[i]]
-                i = lowest[i]
-            return i
-
-        for a, b in few:
-            lowest.setdefault(a, a), lowest.setdefault(b, b)
-            a, b = root(a), root(b)
-            lowest[max(a, b)] = min(a, b)
-        roots = {i: root(i) for i in lowest}
-        number = {r: n for n, r in enumerate(sorted(set(roots.values())))}
-        return spark.createDataFrame([(i, number[r]) for i, r in roots.items()], f"b {id_type}, cluster int").hint("broadcast")
     components = materialize(connected_components(edges))
     return dense_codes(components, "component", "cluster", "node").select(F.col("node").alias("b"), "cluster")
 
@@ -238,7 +218,7 @@ def dbscan(df: DataFrame, eps: float, min_samples: int) -> DataFrame:
         .applyInPandas(_local_links(eps), f"a {id_type}, b {id_type}, border boolean")
         .persist()
     )
-    numbers = _cluster_numbers(links, id_type)
+    numbers = _cluster_numbers(links)
     labels = links.join(numbers, "b").groupBy(F.col("a").alias("id")).agg(F.min("cluster").alias("cluster"))
     coded = flagged.select("id").join(labels, "id", "left").fillna(-1, ["cluster"])
     if counts.distinct == counts.rows:

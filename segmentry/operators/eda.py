@@ -161,17 +161,15 @@ def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
 
 
 def histogram_by_cluster(df: DataFrame, col: str, bins: int = 30, cluster: str = "cluster") -> DataFrame:
-    """``(cluster, bin, n)`` over each cluster's own range; only filled bins are listed."""
+    """``(cluster, bin, n)`` over each cluster's own range, empty bins included."""
     values = df.select(F.col(cluster).alias("cluster"), F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
     ranges = materialize(values.groupBy("cluster").agg(F.min("v").alias("low"), F.max("v").alias("high")))
-    if ranges.count() <= BROADCAST_ROWS:
-        ranges = F.broadcast(ranges)  # else adaptive execution splits the rows of a large cluster
+    # Beyond the bound, adaptive execution splits the rows of a large cluster.
+    side = F.broadcast(ranges) if ranges.count() <= BROADCAST_ROWS else ranges
     index = _bin_index(F.col("v"), F.col("low"), F.col("high"), bins)
-    return (
-        values.join(ranges, "cluster")
-        .groupBy("cluster", index.alias("bin"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    filled = values.join(side, "cluster").groupBy("cluster", index.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    every = ranges.select("cluster", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    return every.join(filled, ["cluster", "bin"], "left").select("cluster", "bin", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def box_stats(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -1,82 +1,13 @@
-"""Agglomerative clustering over summaries, and bisecting K-means as the native option."""
+"""Hierarchical clustering from the top down: bisecting K-means."""
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.ml.clustering import BisectingKMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from segmentry import settings
-from segmentry.functions.vectors import squared_distances
-from segmentry.operators.summaries import MAX_SUMMARIES, summarise
-
-
-def hierarchical(
-    df: DataFrame, k: int = settings.DEFAULT_K, linkage: str = "ward", m: int = MAX_SUMMARIES, seed: int = settings.SEED
-) -> DataFrame:
-    """``(id, cluster)`` with ``k`` clusters by ward, complete or average linkage.
-
-    Exact up to ``m`` distinct points; beyond that the linkage joins ``m``
-    weighted K-means summaries and every row follows its summary.
-    """
-    if linkage not in settings.LINKAGES:
-        raise ValueError(f"Unknown linkage: {linkage}")
-    summaries = summarise(df, m, seed)
-    return summaries.label(cut(merge(summaries.centers, summaries.weights, linkage), len(summaries.centers), k))
-
-
-def merge(centers: np.ndarray, weights: np.ndarray, linkage: str) -> list[tuple[float, int, int]]:
-    """Merges ``(height, i, j)`` of the summaries, found along nearest-neighbour chains."""
-    size = weights.astype(float).copy()
-    gap = squared_distances(centers, centers)
-    if linkage == "ward":
-        gap *= 2 * np.outer(size, size) / (size[:, None] + size[None, :])
-    else:
-        gap = np.sqrt(gap)
-    np.fill_diagonal(gap, np.inf)
-    merges: list[tuple[float, int, int]] = []
-    alive, chain = np.ones(len(size), bool), []
-    for _ in range(len(size) - 1):
-        if not chain:
-            chain.append(int(np.flatnonzero(alive)[0]))
-        while True:
-            tip = chain[-1]
-            nearest = int(gap[tip].argmin())
-            if len(chain) > 1 and gap[tip, chain[-2]] <= gap[tip, nearest]:
-                nearest = chain[-2]
-                break
-            chain.append(nearest)
-        i, j = chain.pop(), chain.pop()
-        height, a, b = gap[i, j], gap[i], gap[j]
-        if linkage == "ward":
-            joined = ((size[i] + size) * a + (size[j] + size) * b - size * height) / (size[i] + size[j] + size)
-        elif linkage == "complete":
-            joined = np.maximum(a, b)
-        else:
-            joined = (size[i] * a + size[j] * b) / (size[i] + size[j])
-        merges.append((float(height), i, j))
-        joined[i] = joined[j] = np.inf
-        joined[~alive] = np.inf
-        gap[i, :], gap[:, i] = joined, joined
-        gap[j, :], gap[:, j] = np.inf, np.inf
-        size[i] += size[j]
-        alive[j] = False
-    return merges
-
-
-def cut(merges: list[tuple[float, int, int]], n: int, k: int) -> np.ndarray:
-    """Labels 0..k-1 after the lowest ``n - k`` merges, numbered by first member."""
-    label = np.arange(n)
-    for _, i, j in sorted(merges)[: max(n - k, 0)]:
-        label[label == label[j]] = label[i]
-    return np.unique(label, return_inverse=True)[1] if not n else _by_first(label)
-
-
-def _by_first(label: np.ndarray) -> np.ndarray:
-    _, first, inverse = np.unique(label, return_index=True, return_inverse=True)
-    return np.argsort(np.argsort(first))[inverse]
 
 
 def bisecting(df: DataFrame, k: int = settings.DEFAULT_K, seed: int = settings.SEED) -> DataFrame:

@@ -57,9 +57,6 @@ class KMeansFit:
         return KMeansFit(Spec(len(rows), rows[0]["seed"]), centers, rows[0]["cost"], rows[0]["iterations"])
 
 
-DRIVER_SUM_VALUES = 4_000_000
-
-
 @dataclass
 class _Points:
     """Cached ``(id, hash, features)`` rows with their size and mean variance."""
@@ -68,14 +65,6 @@ class _Points:
     dims: int
     rows: int
     variance: float
-    partitions: int
-
-    def few(self, centers: int) -> bool:
-        """Whether the sums of all tasks are small enough to add up on the driver.
-
-        Otherwise a grouped aggregate adds them up first.
-        """
-        return self.partitions * centers * (self.dims + 2) <= DRIVER_SUM_VALUES
 
 
 def _prepare(df: DataFrame) -> _Points:
@@ -83,7 +72,7 @@ def _prepare(df: DataFrame) -> _Points:
     dims = vector_size(points)
     vector = array_to_vector("features")
     stats = points.agg(Summarizer.metrics("variance", "count").summary(vector).alias("s")).select("s.*").first()
-    return _Points(points, dims, stats["count"], float(np.mean(stats["variance"].toArray())), points.rdd.getNumPartitions())
+    return _Points(points, dims, stats["count"], float(np.mean(stats["variance"].toArray())))
 
 
 def poisson_weights(hashes: np.ndarray, bootstrap: int, rate: float = settings.BOOTSTRAP_FRACTION) -> np.ndarray:
@@ -165,10 +154,9 @@ def _seed_centers(points: _Points, streams: list[Spec]) -> dict[tuple[int, int],
         partial = points.df.mapInArrow(
             race, "stream int, option int, draw int, key double, left double, features array<double>"
         )
-        if not points.few(sum(len(options[i]) * drawn[i] for i in live)):
-            partial = partial.groupBy("stream", "option", "draw").agg(
-                F.min("key").alias("key"), F.sum("left").alias("left"), F.min_by("features", "key").alias("features")
-            )
+        partial = partial.groupBy("stream", "option", "draw").agg(
+            F.min("key").alias("key"), F.sum("left").alias("left"), F.min_by("features", "key").alias("features")
+        )
         won: dict[tuple[int, int, int], tuple[float, np.ndarray]] = {}
         total: dict[int, dict[int, float]] = {i: {} for i in live}
         for r in partial.collect():
@@ -204,16 +192,17 @@ def _lloyd_sums(points: _Points, specs: list[Spec], centers: list[np.ndarray]):
             x, hashes = matrix(batch), batch.column("hash").to_numpy()
             row_weights = _weights(hashes, specs)
             d2 = squared_distances(x, stacked)
-            member = np.zeros_like(d2)
             every = np.arange(len(x))
             for m, spec in enumerate(specs):
                 block = slice(starts[m], starts[m + 1])
                 nearest = d2[:, block].argmin(axis=1) + starts[m]
                 w = row_weights[spec.bootstrap]
-                member[every, nearest] = w
                 cost += np.bincount(nearest, w * d2[every, nearest], len(stacked))
-            weight += member.sum(axis=0)
-            total += member.T @ x
+                weight += np.bincount(nearest, w, len(stacked))
+                # Sums of the rows in order of their centre.
+                order = np.argsort(nearest, kind="stable")
+                used, first = np.unique(nearest[order], return_index=True)
+                total[used] += np.add.reduceat(x[order] * w[order, None], first, axis=0)
         used = np.nonzero(weight)[0]
         if len(used):
             yield pa.RecordBatch.from_arrays(
@@ -222,12 +211,12 @@ def _lloyd_sums(points: _Points, specs: list[Spec], centers: list[np.ndarray]):
             )
 
     partial = points.df.mapInArrow(step, "at int, weight double, cost double, total array<double>")
-    if not points.few(len(stacked)):
-        partial = partial.groupBy("at").agg(
-            F.sum("weight").alias("weight"),
-            F.sum("cost").alias("cost"),
-            vector_to_array(Summarizer.sum(array_to_vector("total"))).alias("total"),
-        )
+    # Added up on the executors: one row per centre comes back.
+    partial = partial.groupBy("at").agg(
+        F.sum("weight").alias("weight"),
+        F.sum("cost").alias("cost"),
+        vector_to_array(Summarizer.sum(array_to_vector("total"))).alias("total"),
+    )
     weight, cost, total = np.zeros(len(stacked)), np.zeros(len(stacked)), np.zeros_like(stacked)
     for r in partial.collect():
         weight[r["at"]] += r["weight"]
@@ -273,6 +262,21 @@ def fit_many(
         points.df.unpersist()
 
 
+def lloyd(df: DataFrame, centers: np.ndarray, steps: int) -> KMeansFit:
+    """A fixed number of steps from given centres; an empty cluster keeps its centre."""
+    points, spec = _prepare(df), Spec(len(centers), settings.SEED)
+    fit = KMeansFit(spec, np.asarray(centers, float))
+    try:
+        for _ in range(steps):
+            ((weight, _, total),) = _lloyd_sums(points, [spec], [fit.centers])
+            moved = np.where(weight[:, None] > 0, total / np.maximum(weight, 1e-300)[:, None], fit.centers)
+            fit = replace(fit, centers=moved, iterations=fit.iterations + 1)
+        ((_, cost, _),) = _lloyd_sums(points, [spec], [fit.centers])
+        return replace(fit, cost=float(cost.sum()))
+    finally:
+        points.df.unpersist()
+
+
 def best_of(fits: list[KMeansFit]) -> KMeansFit:
     return min(fits, key=lambda f: f.cost)
 

@@ -14,7 +14,7 @@ from segmentry.functions.vectors import matrix, squared_distances
 from segmentry.operators.kmeans import KMeansFit, Spec, assign, fit_many, poisson_weights, sweep
 from segmentry.operators.metrics import adjusted_rand, quality_table
 
-METHODS = ("silhouette", "davies_bouldin", "calinski_harabasz", "stability", "elbow")
+METHODS = ("silhouette", "silhouette_sq", "davies_bouldin", "calinski_harabasz", "stability", "elbow")
 
 
 def label_every_k(df: DataFrame, fits: dict[int, KMeansFit]) -> DataFrame:
@@ -29,14 +29,15 @@ def evaluate_k(
     k_range: list[int] | None = None,
     n_init: int = settings.N_INIT,
     seed: int = settings.SEED,
-    stability: bool | str = "auto",
-    silhouette: str = "auto",
+    stability: bool = True,
+    silhouette: str = "exact",
 ) -> tuple[DataFrame, dict[int, KMeansFit]]:
-    """``(n_clusters, inertia, silhouette_score, davies_bouldin, calinski_harabasz, stability)``.
+    """``(n_clusters, inertia, silhouette_score, silhouette_sq, davies_bouldin, calinski_harabasz, stability)``.
 
-    Every K is trained once and all scores come from that labelling.  Silhouette,
+    Every K is trained once and all scores come from that labelling.  Silhouettes,
     Davies-Bouldin and Calinski-Harabasz are NULL where K is not below the number
-    of rows.  Stability is worked out below 5,000 rows unless asked for.
+    of rows.  ``silhouette`` names which is worked out, as in ``quality_table``; the
+    exact one is quadratic in the rows.  Stability is NULL if switched off.
     """
     k_range = list(k_range or settings.K_RANGE)
     df = df.select("id", "features").persist()
@@ -46,19 +47,17 @@ def evaluate_k(
     scores = {}
     if scored:
         scores = {int(r["labelling"]): r for r in quality_table(label_every_k(df, scored), silhouette=silhouette).collect()}
-    if stability == "auto":
-        stability = rows < settings.STABILITY_ROW_LIMIT
     stable = {}
     if stability:
         stable = {r["k"]: r["stability"] for r in stability_scores(df, k_range, seed=seed).collect()}
     table = []
     for k in k_range:
         s = scores.get(k)
-        values = (s["silhouette_score"], s["davies_bouldin"], s["calinski_harabasz"]) if s else (None, None, None)
+        values = (s["silhouette_score"], s["silhouette_sq"], s["davies_bouldin"], s["calinski_harabasz"]) if s else (None,) * 4
         table.append((k, fits[k].cost, *values, stable.get(k)))
     df.unpersist()
     schema = (
-        "n_clusters int, inertia double, silhouette_score double, davies_bouldin double, "
+        "n_clusters int, inertia double, silhouette_score double, silhouette_sq double, davies_bouldin double, "
         "calinski_harabasz double, stability double"
     )
     return df.sparkSession.createDataFrame(table, schema), fits
@@ -156,5 +155,6 @@ def select_optimal_k(df: DataFrame, method: str = "silhouette", k_range: list[in
     """Train the K range and return the favoured K."""
     if method not in METHODS:
         raise ValueError(f"Unknown method: {method}")
-    table, _ = evaluate_k(df, k_range, stability=method == "stability", **options)
+    kind = "squared" if method == "silhouette_sq" else "exact"
+    table, _ = evaluate_k(df, k_range, stability=method == "stability", **{"silhouette": kind, **options})
     return pick_k(table, method)

@@ -14,6 +14,8 @@ from segmentry import settings
 
 MAX_ITER = 100
 TOL = 1e-3
+#: What Spark says of a start that collapses onto a singular covariance.
+SINGULAR = "no non-zero singular values"
 
 
 def fit_mixture(
@@ -33,7 +35,9 @@ def fit_mixture(
         try:
             model = GaussianMixture(k=k, seed=seed + i, maxIter=MAX_ITER, tol=TOL).fit(rows)
             return model.summary.logLikelihood, model
-        except Exception as problem:  # a start can collapse onto a singular covariance
+        except Exception as problem:
+            if SINGULAR not in str(problem):  # anything but a collapsed start is a failure of the job
+                raise
             return None, problem
 
     try:

@@ -91,20 +91,19 @@ def business_summary(df: DataFrame, cluster: str = "cluster") -> DataFrame:
     return out.withColumn("share", share)
 
 
-def grade(scores: DataFrame) -> DataFrame:
-    """Verdicts on ``silhouette_score`` and ``davies_bouldin`` of a metrics table."""
+def grade(scores: DataFrame, silhouette: str = "silhouette_score") -> DataFrame:
+    """``silhouette_grade`` and ``separation_grade`` of a metrics table."""
 
-    def first_match(score, steps, last):
+    def graded(hit, steps, last):
         out = F.lit(last)
         for limit, label in reversed(steps):
-            hit = score > limit if steps is settings.SILHOUETTE_GRADES else score < limit
-            out = F.when(hit, label).otherwise(out)
+            out = F.when(hit(limit), label).otherwise(out)
         return out
 
     return scores.withColumns(
         {
-            "silhouette_grade": first_match(F.col("silhouette_score"), settings.SILHOUETTE_GRADES, "Fair"),
-            "separation_grade": first_match(F.col("davies_bouldin"), settings.DB_GRADES, "Clusters may overlap"),
+            "silhouette_grade": graded(lambda v: F.col(silhouette) > v, *settings.SILHOUETTE_GRADES),
+            "separation_grade": graded(lambda v: F.col("davies_bouldin") < v, *settings.DB_GRADES),
         }
     )
 

@@ -2,24 +2,25 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.ml.clustering import GaussianMixtureModel
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segmentry import settings
 from segmentry.operators import kselect
 from segmentry.operators.dbscan import dbscan
-from segmentry.operators.hdbscan import hdbscan
-from segmentry.operators.hierarchical import bisecting, hierarchical
-from segmentry.operators.kmeans import kmeans
+from segmentry.operators.hierarchical import bisecting
+from segmentry.operators.kmeans import KMeansFit, kmeans
 from segmentry.operators.metrics import one_labelling, quality_table
 from segmentry.operators.mixture import fit_mixture, predict_mixture
 from segmentry.operators.spectral import spectral
 from segmentry.session import materialize
 
-ALGORITHMS = ("kmeans", "dbscan", "hierarchical", "gmm", "spectral", "hdbscan", "bisecting")
+ALGORITHMS = ("kmeans", "dbscan", "bisecting", "gmm", "spectral")
 
 
 @dataclass
@@ -33,14 +34,27 @@ class Segmentation:
     metrics: dict[str, Any] = field(default_factory=dict)
 
     def save(self, path: str) -> None:
-        """Labels as a table; K-means and mixture models next to it."""
+        """Labels as a table, parameters and metrics as text; K-means and mixture models next to them."""
         spark = self.labels.sparkSession
         self.labels.write.mode("overwrite").parquet(f"{path}/labels")
+        about = json.dumps({"algorithm": self.algorithm, "params": self.params, "metrics": self.metrics})
+        spark.createDataFrame([(about,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/about")
         if self.algorithm == "kmeans":
             self.model.save(spark, f"{path}/model")
         elif self.algorithm == "gmm":
             self.model.write().overwrite().save(f"{path}/model")
 
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> Segmentation:
+        about = json.loads(spark.read.text(f"{path}/about").first()["value"])
+        model = None
+        if about["algorithm"] == "kmeans":
+            model = KMeansFit.load(spark, f"{path}/model")
+        elif about["algorithm"] == "gmm":
+            model = GaussianMixtureModel.load(f"{path}/model")
+        labels = spark.read.parquet(f"{path}/labels")
+        return Segmentation(about["algorithm"], labels, about["params"], model, about["metrics"])
+
     def predict(self, df: DataFrame) -> DataFrame:
         """Clusters of new ``(id, features)`` rows."""
         if self.algorithm == "kmeans":
@@ -63,16 +77,10 @@ def segment(df: DataFrame, algorithm: str, k: int | None = None, **params) -> Se
     if algorithm == "dbscan":
         params = {"eps": settings.DBSCAN_EPS[0], "min_samples": settings.DBSCAN_MIN_SAMPLES[0], **params}
         return Segmentation(algorithm, dbscan(df, **params), params)
-    if algorithm == "hierarchical":
-        params = {"linkage": settings.LINKAGES[0], **params}
-        return Segmentation(algorithm, hierarchical(df, k, **params), {"k": k, **params})
     if algorithm == "bisecting":
         return Segmentation(algorithm, bisecting(df, k, **params), {"k": k, **params})
     if algorithm == "spectral":
         return Segmentation(algorithm, spectral(df, k, **params), {"k": k, "affinity": "rbf", **params})
-    if algorithm == "hdbscan":
-        params = {"min_cluster_size": settings.HDBSCAN_MIN_CLUSTER_SIZE, "min_samples": None, **params}
-        return Segmentation(algorithm, hdbscan(df, **params), params)
     raise ValueError(f"Unknown algorithm: {algorithm}")
 
 
@@ -83,6 +91,7 @@ def fit_segments(
     auto_select_k: bool = False,
     method: str = "silhouette",
     exclude_noise: bool = False,
+    silhouette: str = "exact",
     **params,
 ) -> Segmentation:
     """Choose K if asked to, cluster, score."""
@@ -97,7 +106,7 @@ def fit_segments(
     result.params |= chosen
     result.labels = materialize(result.labels)
     labelled = df.select("id", "features").join(result.labels, "id")
-    row = quality_table(one_labelling(labelled, algorithm), exclude_noise).first().asDict()
+    row = quality_table(one_labelling(labelled, algorithm), exclude_noise, silhouette).first().asDict()
     if algorithm == "kmeans":
         row["inertia"] = result.model.cost
     else:
@@ -109,31 +118,30 @@ def fit_segments(
 def compare_algorithms(
     df: DataFrame,
     k: int | None = None,
-    spectral_row_limit: int | None = settings.SPECTRAL_ROW_LIMIT,
+    with_spectral: bool = True,
+    silhouette: str = "exact",
     n_init: int = settings.N_INIT,
     seed: int = settings.SEED,
 ) -> tuple[DataFrame, dict[str, Segmentation]]:
     """Metric rows of every algorithm, and the segmentations they belong to.
 
     The segmentations are kept, so the best one needs no second fit.  All of them
-    are scored in the same passes.  Spectral clustering is left out from
-    ``spectral_row_limit`` rows on (None: never).
+    are scored in the same passes, by the silhouette that ``silhouette`` names.
+    ``with_spectral=False`` leaves spectral clustering out.
     """
     df = df.select("id", "features").persist()
-    rows = df.count()
     if k is None:
-        k = kselect.select_optimal_k(df, "silhouette", n_init=n_init, seed=seed)
+        k = kselect.select_optimal_k(df, "silhouette" if silhouette != "squared" else "silhouette_sq", n_init=n_init, seed=seed)
     runs = {
         "kmeans": segment(df, "kmeans", k, n_init=n_init, seed=seed),
-        "hierarchical": segment(df, "hierarchical", k, seed=seed),
+        "bisecting": segment(df, "bisecting", k, seed=seed),
     }
     for eps in settings.DBSCAN_EPS[:2]:
         for min_samples in settings.DBSCAN_MIN_SAMPLES[:2]:
             runs[f"dbscan_eps{eps}_min{min_samples}"] = segment(df, "dbscan", eps=eps, min_samples=min_samples)
     runs["gmm"] = segment(df, "gmm", k, n_init=n_init, seed=seed)
-    if spectral_row_limit is None or rows < spectral_row_limit:
+    if with_spectral:
         runs["spectral"] = segment(df, "spectral", k, n_init=n_init, seed=seed)
-    runs["hdbscan"] = segment(df, "hdbscan", seed=seed)
     tagged = None
     for name, run in runs.items():
         run.labels = materialize(run.labels)
@@ -141,7 +149,7 @@ def compare_algorithms(
         tagged = part if tagged is None else tagged.union(part)
     # One entry per algorithm and row, so the collected maps are small.
     maps = tagged.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("name", "cluster"))).alias("labels"))
-    table = quality_table(df.join(maps, "id"))
+    table = quality_table(df.join(maps, "id"), silhouette=silhouette)
     order = F.array_position(F.array(*[F.lit(n) for n in runs]), F.col("labelling"))
     # Only K-means reports an inertia; it is the cost of its own centres.
     inertia = F.when(F.col("labelling") == "kmeans", F.lit(runs["kmeans"].model.cost))
@@ -149,7 +157,7 @@ def compare_algorithms(
     return table.withColumnRenamed("labelling", "algorithm"), runs
 
 
-def best_algorithm(table: DataFrame) -> str | None:
-    """Highest silhouette above -1; the earlier algorithm on ties."""
-    best = table.where("silhouette_score > -1").orderBy(F.desc("silhouette_score"), "position").first()
+def best_algorithm(table: DataFrame, by: str = "silhouette_score") -> str | None:
+    """Highest silhouette ``by`` above -1; the earlier algorithm on ties."""
+    best = table.where(F.col(by) > -1).orderBy(F.desc(by), "position").first()
     return best["algorithm"] if best else None

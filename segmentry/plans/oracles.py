@@ -23,13 +23,12 @@ SPARSE = (
     CANONICAL
     + """,
 sparse AS (
-  SELECT * EXCLUDE (rn) REPLACE (CASE WHEN user_id % 10 = 8 THEN date_trunc('hour', event_time) ELSE event_time END AS event_time)
-  FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_time) AS rn FROM canonical)
-  WHERE NOT (user_id % 10 = 1 AND event_type = 'view')
-    AND NOT (user_id % 10 IN (2, 5, 6) AND event_type = 'purchase')
-    AND NOT (user_id % 10 = 3 AND event_type = 'cart')
-    AND NOT (user_id % 10 = 4 AND rn > 1)
-    AND NOT (user_id % 10 = 7 AND event_type = 'view' AND rn > 20)
+  SELECT * REPLACE (
+    CASE WHEN user_id % 10 = 1 AND event_type = 'view' THEN 'cart' WHEN user_id % 10 IN (2, 5, 6) AND event_type = 'purchase' THEN 'view'
+         WHEN user_id % 10 = 3 AND event_type = 'cart' THEN 'view' ELSE event_type END AS event_type,
+    CASE WHEN user_id % 10 = 8 THEN date_trunc('hour', event_time) ELSE event_time END AS event_time,
+    CASE WHEN user_id % 10 = 4 THEN 1000000000 + event_id ELSE user_id END AS user_id)
+  FROM canonical
 )"""
 )
 
@@ -139,8 +138,12 @@ RFM = {source: _rfm(CUSTOMERS[source]) for source in EVENTS}
 
 
 def r6(expr: str, name: str | None = None) -> str:
-    """Rounded double; infinities become NULL and negative zero becomes zero."""
-    return f"CASE WHEN isfinite(CAST({expr} AS DOUBLE)) THEN round(CAST({expr} AS DOUBLE), 6) + 0.0 END AS {name or expr}"
+    """Rounded double; infinities become 1e300 of their sign, NaN NULL and negative zero zero."""
+    value = f"CAST({expr} AS DOUBLE)"
+    return (
+        f"CASE WHEN isfinite({value}) THEN round({value}, 6) + 0.0 WHEN {value} = CAST('inf' AS DOUBLE) THEN 1e300 "
+        f"WHEN {value} = CAST('-inf' AS DOUBLE) THEN -1e300 END AS {name or expr}"
+    )
 
 
 ENGINEERED = {
@@ -200,17 +203,20 @@ def from_table(ctes: str, table: str, cols: list[str]) -> str:
 # --- preprocessing over the customer columns ---------------------------------
 
 
-def _filled(cols: list[str], source: str) -> str:
-    """CTEs ending in ``filled``: finite values, NULLs replaced by the column median."""
+def _filled(cols: list[str], source: str, strategy: str = "median") -> str:
+    """CTEs ending in ``filled``: finite values, NULLs replaced by the column's median, mean or mode, or their rows dropped."""
     finite = ", ".join(f"CASE WHEN isfinite(CAST({c} AS DOUBLE)) THEN CAST({c} AS DOUBLE) END AS {c}" for c in cols)
-    medians = ", ".join(f"median({c}) AS md_{c}" for c in cols)
+    mode = "(SELECT {c} FROM finite_x WHERE {c} IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)"
+    fill = {"median": "median({c})", "mean": "avg({c})", "mode": f"any_value({mode})", "drop": "max(CAST(NULL AS DOUBLE))"}[strategy]
+    medians = ", ".join(f"{fill.format(c=c)} AS md_{c}" for c in cols)
+    whole = f"WHERE {' AND '.join(f'{c} IS NOT NULL' for c in cols)}" if strategy == "drop" else ""
     filled = ", ".join(f"coalesce({c}, md_{c}) AS {c}" for c in cols)
     return (
         CUSTOMERS[source]
         + f""",
 finite_x AS (SELECT user_id, {finite} FROM cust),
 medians AS (SELECT {medians} FROM finite_x),
-filled AS (SELECT user_id, {filled} FROM finite_x, medians)"""
+filled AS (SELECT user_id, {filled} FROM finite_x, medians {whole})"""
     )
 
 
@@ -238,22 +244,40 @@ def doubles(cols: list[str], table: str) -> str:
     return f"SELECT user_id, {', '.join(r6(c) for c in cols)} FROM {table}"
 
 
-def imputed(cols: list[str], source: str) -> str:
-    return f"WITH {_filled(cols, source)} {doubles(cols, 'filled')}"
+def imputed(cols: list[str], source: str, strategy: str = "median") -> str:
+    return f"WITH {_filled(cols, source, strategy)} {doubles(cols, 'filled')}"
 
 
 def capped(cols: list[str], source: str) -> str:
     return f"WITH {_capped(cols, source)} {doubles(cols, 'capped')}"
 
 
-def scaled(cols: list[str], source: str, method: str) -> str:
+def scaled_ctes(cols: list[str], source: str, method: str) -> str:
+    """CTEs ending in ``scaled``, unrounded."""
     if method == "robust":
         center, spread = "median({c})", "quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25)"
     else:
         center, spread = "avg({c})", "stddev_pop({c})"
     stats = ", ".join(f"{center.format(c=c)} AS ce_{c}, {spread.format(c=c)} AS sp_{c}" for c in cols)
-    out = ", ".join(r6(f"(({c} - ce_{c}) / (CASE WHEN sp_{c} > 1e-12 THEN sp_{c} ELSE 1.0 END))", c) for c in cols)
-    return f"WITH {_capped(cols, source)}, stats AS (SELECT {stats} FROM capped) SELECT user_id, {out} FROM capped, stats"
+    out = ", ".join(f"({c} - ce_{c}) / (CASE WHEN sp_{c} > 1e-12 THEN sp_{c} ELSE 1.0 END) AS {c}" for c in cols)
+    return f"{_capped(cols, source)}, stats AS (SELECT {stats} FROM capped), scaled AS (SELECT user_id, {out} FROM capped, stats)"
+
+
+def scaled(cols: list[str], source: str, method: str) -> str:
+    return f"WITH {scaled_ctes(cols, source, method)} {doubles(cols, 'scaled')}"
+
+
+def preprocessed(cols: list[str], source: str) -> str:
+    """Robustly scaled features that are not dropped for correlation or variance, in long form."""
+    variance = " UNION ALL ".join(f"SELECT '{c}' AS feature, var_pop({c}) AS v FROM capped" for c in cols)
+    rows = " UNION ALL ".join(f"SELECT user_id, '{c}' AS feature, {r6(c, 'scaled')} FROM scaled" for c in cols)
+    wide = ", ".join(f"corr({a}, {b}) AS r_{i}_{j}" for i, a in enumerate(cols) for j, b in enumerate(cols[:i]))
+    pairs = ", ".join(f"('{a}', '{b}', r_{i}_{j})" for i, a in enumerate(cols) for j, b in enumerate(cols[:i]))
+    return f"""WITH {scaled_ctes(cols, source, 'robust')}, corrs AS (SELECT {wide} FROM capped),
+      pairs AS (SELECT t[1] AS feature, t[3] AS r FROM (SELECT unnest([{pairs}]) AS t FROM corrs)),
+      vars AS ({variance}), long AS ({rows})
+    SELECT long.* FROM long JOIN vars USING (feature)
+    WHERE v > 0.01 AND feature NOT IN (SELECT feature FROM pairs WHERE isfinite(r) AND abs(r) > 0.95)"""
 
 
 def variances(cols: list[str], source: str) -> str:
@@ -347,3 +371,38 @@ def dbscan(points: str, eps: float, min_samples: int) -> str:
                WHERE near.a NOT IN (SELECT id FROM core) GROUP BY 1)
     SELECT pts.id, CAST(coalesce(cored.cluster, border.cluster, -1) AS INTEGER) AS cluster
     FROM pts LEFT JOIN cored USING (id) LEFT JOIN border USING (id)"""
+
+
+def three_lloyd_steps() -> str:
+    """Sizes and total cost after three Lloyd steps from the vectors 0, 1 and 2."""
+    steps = ["vecs AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)"]
+    steps.append("c0 AS (SELECT CAST(id AS INTEGER) AS cluster, e AS c FROM vecs WHERE id < 3)")
+    for i in range(4):
+        near = f"SELECT id, any_value(e) AS e, arg_min(cluster, list_distance(e, c)) AS cluster, min(list_distance(e, c)) AS d FROM vecs, c{i} GROUP BY id"
+        steps.append(f"n{i} AS ({near})")
+        long = f"SELECT cluster, unnest(e) AS x, generate_subscripts(e, 1) AS pos FROM n{i}"
+        means = f"SELECT cluster, pos, avg(x) AS m FROM ({long}) GROUP BY 1, 2"
+        steps.append(f"c{i + 1} AS (SELECT cluster, list(m ORDER BY pos) AS c FROM ({means}) GROUP BY 1)")
+    body = ",\n".join(steps)
+    return f"""WITH {body}
+    SELECT CAST(cluster AS INTEGER) AS cluster, count(*) AS n_rows, {r6('(SELECT sum(d * d) FROM n3)', 'cost')} FROM n3 GROUP BY 1"""
+
+
+def picked_k(inertia_ctes: str) -> str:
+    """The K that each rule picks from the scores of the labellings ``id % k``."""
+    scores = []
+    for k in range(2, 11):
+        square = SILHOUETTE.replace("sum(list_distance(a.e, b.e))", "sum(list_distance(a.e, b.e) ** 2)")
+        for name in ("dist", "ab", "sil"):
+            square = square.replace(f"{name} AS", f"{name}2 AS").replace(f"FROM {name}", f"FROM {name}2")
+        ctes = ", ".join([labelled(f"vec_id % {k}"), SILHOUETTE, square, CENTROIDS, DAVIES_BOULDIN, CALINSKI])
+        scores.append(f"SELECT {k} AS k, * FROM (WITH {ctes} SELECT sil.s AS s, sil2.s AS q, db.v AS d, ch.v AS c FROM sil, sil2, db, ch)")
+    return f"""WITH {inertia_ctes}, rated AS ({' UNION ALL '.join(scores)}),
+      dr AS (SELECT k, inertia - lead(inertia) OVER (ORDER BY k) AS fall, lead(k) OVER (ORDER BY k) AS next_k FROM scores),
+      rt AS (SELECT *, CASE WHEN lead(fall) OVER (ORDER BY k) > 0 THEN fall / lead(fall) OVER (ORDER BY k)
+                          WHEN lead(fall) OVER (ORDER BY k) IS NOT NULL THEN 0 END AS rate FROM dr)
+    SELECT 'silhouette' AS method, CAST((SELECT k FROM rated ORDER BY s DESC, k LIMIT 1) AS INTEGER) AS k
+    UNION ALL SELECT 'silhouette_sq', CAST((SELECT k FROM rated ORDER BY q DESC, k LIMIT 1) AS INTEGER)
+    UNION ALL SELECT 'davies_bouldin', CAST((SELECT k FROM rated ORDER BY d, k LIMIT 1) AS INTEGER)
+    UNION ALL SELECT 'calinski_harabasz', CAST((SELECT k FROM rated ORDER BY c DESC, k LIMIT 1) AS INTEGER)
+    UNION ALL SELECT 'elbow', CAST(coalesce((SELECT next_k FROM rt WHERE rate < 0.5 ORDER BY k LIMIT 1), (SELECT k FROM scores ORDER BY k LIMIT 1 OFFSET 1)) AS INTEGER)"""

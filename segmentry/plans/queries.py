@@ -13,7 +13,8 @@ from segmentry import settings
 from segmentry.functions import finite_or_null
 from segmentry.operators import customers, eda, engineer, kselect, metrics, preprocess, profiles, quality, rfm, segments
 from segmentry.operators.dbscan import dbscan
-from segmentry.operators.kmeans import assign
+from segmentry.functions.vectors import squared_distance
+from segmentry.operators.kmeans import assign, lloyd
 from segmentry.plans import oracles
 from segmentry.plans import pipeline as job
 from segmentry.sources import coerce_events, exact_sample, row_count, take_rows
@@ -26,9 +27,13 @@ SOURCES = {"canonical": events_canonical, "sparse": events_sparse}
 
 
 def comparable(df: DataFrame) -> DataFrame:
-    """Doubles rounded to six places, infinities as NULL, no negative zero."""
+    """Doubles rounded to six places, infinities as 1e300 of their sign, NaN as NULL, no negative zero."""
+    inf = F.lit(float("inf"))
     cols = [
-        (F.round(finite_or_null(F.col(f.name)), 6) + F.lit(0.0)).alias(f.name)
+        F.when(F.col(f.name) == inf, 1e300)
+        .when(F.col(f.name) == -inf, -1e300)
+        .otherwise(F.round(finite_or_null(F.col(f.name)), 6) + F.lit(0.0))
+        .alias(f.name)
         if isinstance(f.dataType, (DoubleType, FloatType))
         else F.col(f.name)
         for f in df.schema.fields
@@ -53,10 +58,10 @@ register(
 )
 register(
     "sampled_rows",
-    lambda s, d: exact_sample(events_canonical(s, d), 0.1, order_key="event_id").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("event_id").alias("n_ids")
-    ),
-    "SELECT CAST(floor(count(*) * 0.1) AS BIGINT) AS n_rows, CAST(floor(count(*) * 0.1) AS BIGINT) AS n_ids FROM events",
+    lambda s, d: exact_sample(events_canonical(s, d), 0.1, order_key="event_id").select("event_id", "event_time", "user_id"),
+    """WITH d AS (SELECT *, CAST('0x' || substr(md5('42:' || CAST(event_id AS VARCHAR)), 1, 13) AS BIGINT) AS draw FROM events),
+      r AS (SELECT *, row_number() OVER (ORDER BY draw, event_id) AS pos FROM d)
+    SELECT event_id, ts AS event_time, user_id FROM r WHERE pos <= (SELECT floor(count(*) * 0.1) FROM events)""",
 )
 _LOG_COLUMNS = [
     "event_id", "event_time", "event_type", "product_id", "category_id", "category_code", "brand", "price",
@@ -254,6 +259,22 @@ register(
     lambda s, d: rfm.rfm_scores(order_customers(s, d).persist()).select("user_id", *_RFM_OUTPUT),
     oracles.from_table(oracles._rfm(_ORDERS_CTE), "rfm", _RFM_OUTPUT),
 )
+_TIES_CTE = _ORDERS_CTE + """,
+ties AS (SELECT * REPLACE (purchase_count % 3 AS purchase_count, floor(total_spending / 1000000) AS total_spending) FROM cust)"""
+
+
+def _tied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order customers with few different counts and amounts, so that ties lie across the score edges."""
+    return order_customers(spark, sf_dir).withColumns(
+        {"purchase_count": F.col("purchase_count") % 3, "total_spending": F.floor(F.col("total_spending") / 1000000).cast("double")}
+    )
+
+
+register(
+    "rfm_scores_ties",
+    lambda s, d: rfm.rfm_scores(_tied(s, d).persist()).select("user_id", *_RFM_OUTPUT),
+    oracles.from_table(oracles._rfm(_TIES_CTE, source="ties"), "rfm", _RFM_OUTPUT),
+)
 register(
     "rfm_recency_as_of",
     lambda s, d: rfm.add_rfm_columns(order_customers(s, d), "as_of").select("user_id", "recency"),
@@ -369,55 +390,55 @@ _register_per_source(
     lambda source: oracles.from_table(oracles.ENGINEERED[source], "eng", _ENGINEERED_COLUMNS),
 )
 _SELECTED = [c for c in _ENGINEERED_COLUMNS if not c.endswith(("_level", "_category"))]
-register(
+_register_per_source(
     "selected_features",
-    lambda s, d: engineer.select_features(_engineered(events_sparse(s, d))).select("user_id", *_SELECTED),
-    f"WITH {oracles.ENGINEERED['sparse']} {oracles.doubles(_SELECTED, 'eng')}",
+    lambda ev: engineer.select_features(_engineered(ev)).select("user_id", *_SELECTED),
+    lambda source: f"WITH {oracles.ENGINEERED[source]} {oracles.doubles(_SELECTED, 'eng')}",
 )
-register(
+_register_per_source(
     "inf_null_rows",
-    lambda s, d: quality.inf_null_row_counts(customers.customer_features(events_sparse(s, d))),
-    f"""WITH {oracles.CUSTOMERS['sparse']} SELECT count(*) FILTER (browse_to_buy_ratio = CAST('inf' AS DOUBLE)) AS rows_with_inf,
+    lambda ev: quality.inf_null_row_counts(customers.customer_features(ev)),
+    lambda source: f"""WITH {oracles.CUSTOMERS[source]} SELECT count(*) FILTER (browse_to_buy_ratio = CAST('inf' AS DOUBLE)) AS rows_with_inf,
       count(*) FILTER ({' OR '.join(f'{c} IS NULL' for c in customers.CUSTOMER_COLUMNS)}) AS rows_with_null FROM cust""",
 )
-_DESCRIBED = ["total_events", "purchase_count", "total_spending", "avg_order_value", "time_span_hours", "price_std"]
-
 
-def _described(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = customers.customer_features(events_sparse(spark, sf_dir), columns=_DESCRIBED).persist()
-    return eda.describe(kept, _DESCRIBED)
 
+def _describe_sql(source: str) -> str:
+    """Infinities are carried as 1e300; a column that has one has no standard deviation."""
 
-register(
-    "describe_customers",
-    _described,
-    f"WITH {oracles.CUSTOMERS['sparse']} "
-    + " UNION ALL ".join(
-        f"SELECT '{c}' AS feature, count({c}) AS count, {oracles.r6(f'avg({c})', 'mean')}, {oracles.r6(f'stddev_samp({c})', 'std')}, "
-        f"{oracles.r6(f'min({c})', 'min')}, {oracles.r6(f'quantile_cont({c}, 0.25)', 'q25')}, {oracles.r6(f'median({c})', 'median')}, "
-        f"{oracles.r6(f'quantile_cont({c}, 0.75)', 'q75')}, {oracles.r6(f'max({c})', 'max')} FROM cust"
-        for c in _DESCRIBED
-    ),
-)
-
+    def big(expr: str, name: str) -> str:
+        return f"CASE WHEN {expr} > 1e200 THEN 1e300 ELSE round({expr}, 6) + 0.0 END AS {name}"
 
-def _spend_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spenders = customers.customer_features(events_sparse(spark, sf_dir), columns=["total_spending"])
-    return eda.histogram(spenders.where("total_spending > 0").persist(), "total_spending")
+    parts = []
+    for c in customers.CUSTOMER_COLUMNS:
+        parts.append(
+            f"SELECT '{c}' AS feature, count(v) AS count, {big('avg(v)', 'mean')}, "
+            f"CASE WHEN max(v) < 1e200 THEN round(stddev_samp(CASE WHEN v < 1e200 THEN v END), 6) + 0.0 END AS std, {big('min(v)', 'min')}, "
+            f"{big('quantile_cont(v, 0.25)', 'q25')}, {big('median(v)', 'median')}, {big('quantile_cont(v, 0.75)', 'q75')}, {big('max(v)', 'max')} "
+            f"FROM (SELECT CASE WHEN {c} > 1e300 THEN 1e300 ELSE CAST({c} AS DOUBLE) END AS v FROM cust)"
+        )
+    return f"WITH {oracles.CUSTOMERS[source]} " + " UNION ALL ".join(parts)
 
 
-register(
+_register_per_source(
+    "describe_customers",
+    lambda ev: eda.describe(customers.customer_features(ev).persist(), customers.CUSTOMER_COLUMNS),
+    _describe_sql,
+)
+_register_per_source(
     "histogram_spending",
-    _spend_histogram,
-    _histogram_sql(oracles.CUSTOMERS["sparse"] + ", vals AS (SELECT total_spending AS v FROM cust WHERE total_spending > 0)", 50),
+    lambda ev: eda.histogram(
+        customers.customer_features(ev, columns=["total_spending"]).where("total_spending > 0").persist(), "total_spending"
+    ),
+    lambda source: _histogram_sql(
+        oracles.CUSTOMERS[source] + ", vals AS (SELECT total_spending AS v FROM cust WHERE total_spending > 0)", 50
+    ),
 )
 for _col in ("total_events", "purchase_count", "purchase_conversion_rate"):
-    register(
+    _register_per_source(
         f"histogram_{_col}",
-        lambda s, d, col=_col: eda.histogram(
-            customers.customer_features(events_sparse(s, d), columns=[col]).persist(), col
-        ),
-        _histogram_sql(oracles.CUSTOMERS["sparse"] + f", vals AS (SELECT CAST({_col} AS DOUBLE) AS v FROM cust)", 50),
+        lambda ev, col=_col: eda.histogram(customers.customer_features(ev, columns=[col]).persist(), col),
+        lambda source, col=_col: _histogram_sql(oracles.CUSTOMERS[source] + f", vals AS (SELECT CAST({col} AS DOUBLE) AS v FROM cust)", 50),
     )
 
 # --- preprocessing ------------------------------------------------------------
@@ -425,84 +446,110 @@ for _col in ("total_events", "purchase_count", "purchase_conversion_rate"):
 _PRE = customers.CUSTOMER_COLUMNS
 
 
-def _pre_input(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return customers.customer_features(events_sparse(spark, sf_dir)).persist()
-
-
-def _fitted(spark: SparkSession, sf_dir: str, **options) -> tuple[preprocess.PreprocessModel, DataFrame]:
-    df = _pre_input(spark, sf_dir)
+def _fitted(events: DataFrame, **options) -> tuple[preprocess.PreprocessModel, DataFrame]:
+    df = customers.customer_features(events).persist()
     return preprocess.Preprocessor(**options).fit(df), df
 
 
-def _keep_all(spark: SparkSession, sf_dir: str, method: str) -> DataFrame:
+def _keep_all(events: DataFrame, method: str) -> DataFrame:
     """Scaled columns with both column filters switched off."""
-    model, df = _fitted(spark, sf_dir, scaling_method=method, correlation_threshold=2.0, variance_threshold=-1.0)
+    model, df = _fitted(events, scaling_method=method, correlation_threshold=2.0, variance_threshold=-1.0)
     return model.transform(df)
 
 
-def _stage(spark: SparkSession, sf_dir: str, stage: str) -> DataFrame:
-    model, df = _fitted(spark, sf_dir)
+def _stage(events: DataFrame, stage: str, **options) -> DataFrame:
+    model, df = _fitted(events, **options)
     return model.stage(df, getattr(model, stage), _PRE)
 
 
-register("imputed_features", lambda s, d: _stage(s, d, "filled"), oracles.imputed(_PRE, "sparse"))
-register("capped_features", lambda s, d: _stage(s, d, "capped"), oracles.capped(_PRE, "sparse"))
-register("robust_scaled", lambda s, d: _keep_all(s, d, "robust"), oracles.scaled(_PRE, "sparse", "robust"))
-register("standard_scaled", lambda s, d: _keep_all(s, d, "standard"), oracles.scaled(_PRE, "sparse", "standard"))
+_register_per_source("imputed_features", lambda ev: _stage(ev, "filled"), lambda source: oracles.imputed(_PRE, source))
+for _strategy in ("mean", "mode", "drop"):
+    _register_per_source(
+        f"imputed_{_strategy}",
+        lambda ev, strategy=_strategy: _stage(ev, "filled", missing_value_strategy=strategy),
+        lambda source, strategy=_strategy: oracles.imputed(_PRE, source, strategy),
+    )
+_register_per_source("capped_features", lambda ev: _stage(ev, "capped"), lambda source: oracles.capped(_PRE, source))
+for _method in ("robust", "standard"):
+    _register_per_source(
+        f"{_method}_scaled",
+        lambda ev, method=_method: _keep_all(ev, method),
+        lambda source, method=_method: oracles.scaled(_PRE, source, method),
+    )
 
 
-def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model, df = _fitted(spark, sf_dir)
+def _pairs(events: DataFrame) -> DataFrame:
+    model, df = _fitted(events)
     return preprocess.correlation_pairs(model.stage(df, model.capped, _PRE), _PRE)
 
 
-def _drops(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model, _ = _fitted(spark, sf_dir)
-    return spark.createDataFrame([(c,) for c in model.correlated], "feature string")
+def _drops(events: DataFrame) -> DataFrame:
+    model, _ = _fitted(events)
+    return events.sparkSession.createDataFrame([(c,) for c in model.correlated], "feature string")
 
 
-def _variance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model, df = _fitted(spark, sf_dir, correlation_threshold=2.0)
+def _variance(events: DataFrame) -> DataFrame:
+    model, df = _fitted(events, correlation_threshold=2.0)
     wide = model.stage(df, model.capped, _PRE).agg(*[F.var_pop(c).alias(c) for c in _PRE])
     long = wide.unpivot([], _PRE, "feature", "variance")
     return long.withColumn("kept", F.col("feature").isin(model.kept))
 
 
-register("correlation_pairs", _pairs, oracles.correlation_pairs(_PRE, "sparse"))
-register("correlation_drop_list", _drops, oracles.correlation_drops(_PRE, "sparse"))
-register("variance_filter", _variance, oracles.variances(_PRE, "sparse"))
+_register_per_source("correlation_pairs", _pairs, lambda source: oracles.correlation_pairs(_PRE, source))
+_register_per_source("correlation_drop_list", _drops, lambda source: oracles.correlation_drops(_PRE, source))
+_register_per_source("variance_filter", _variance, lambda source: oracles.variances(_PRE, source))
 
 
-def _pca(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model, _ = _fitted(spark, sf_dir, use_pca=True)
-    rows = [(name, r) for name, r in zip(model.feature_names, model.pca_ratio)]
-    return spark.createDataFrame(rows, "component string, explained_ratio double")
+def _pca(events: DataFrame) -> DataFrame:
+    """Explained ratio per component, beside the one recomputed from the projected rows."""
+    model, df = _fitted(events, use_pca=True)
+    spark, names = events.sparkSession, model.feature_names
+    seen = model.transform(df).agg(*[F.var_pop(c).alias(c) for c in names]).unpivot([], names, "component", "variance")
+    plain = preprocess.Preprocessor().fit(df).transform(df)
+    cols = [c for c in plain.columns if c != "user_id"]
+    total = plain.agg(sum((F.var_pop(c) for c in cols), F.lit(0.0)).alias("total"))
+    told = spark.createDataFrame(list(zip(names, model.pca_ratio)), "component string, explained_ratio double")
+    rows = told.join(seen, "component").withColumn("total", total.scalar())
+    return rows.select("component", "explained_ratio", (F.col("variance") / F.col("total")).alias("recomputed_ratio"))
 
 
-def _preprocessed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model, df = _fitted(spark, sf_dir)
-    return model.transform(df)
+def _preprocessed(events: DataFrame) -> DataFrame:
+    """The whole preprocessing, one row per customer and surviving feature."""
+    model, df = _fitted(events)
+    wide = model.transform(df)
+    return wide.unpivot(["user_id"], [c for c in wide.columns if c != "user_id"], "feature", "scaled")
 
 
-register("pca_explained", _pca)
-register("preprocessed_features", _preprocessed)
+_register_per_source("pca_explained", _pca, None)
+_register_per_source("preprocessed_features", _preprocessed, lambda source: oracles.preprocessed(_PRE, source))
 _BOXED = ["total_events", "view_count", "cart_count", "purchase_count", "total_spending"]
 
 
-def _box_sql() -> str:
+def _box_sql(ctes: str, table: str) -> str:
     parts = []
     for c in _BOXED:
         parts.append(
             f"""SELECT '{c}' AS feature, {oracles.r6('q[1]', 'q25')}, {oracles.r6('q[2]', 'median')}, {oracles.r6('q[3]', 'q75')},
-          {oracles.r6(f'(SELECT min({c}) FROM cust WHERE {c} >= q[1] - 1.5 * (q[3] - q[1]))', 'whisker_low')},
-          {oracles.r6(f'(SELECT max({c}) FROM cust WHERE {c} <= q[3] + 1.5 * (q[3] - q[1]))', 'whisker_high')},
-          (SELECT count(*) FROM cust WHERE {c} < q[1] - 1.5 * (q[3] - q[1]) OR {c} > q[3] + 1.5 * (q[3] - q[1])) AS n_outliers
-        FROM (SELECT quantile_cont({c}, [0.25, 0.5, 0.75]) AS q FROM cust)"""
+          {oracles.r6(f'(SELECT min({c}) FROM {table} WHERE {c} >= q[1] - 1.5 * (q[3] - q[1]))', 'whisker_low')},
+          {oracles.r6(f'(SELECT max({c}) FROM {table} WHERE {c} <= q[3] + 1.5 * (q[3] - q[1]))', 'whisker_high')},
+          (SELECT count(*) FROM {table} WHERE {c} < q[1] - 1.5 * (q[3] - q[1]) OR {c} > q[3] + 1.5 * (q[3] - q[1])) AS n_outliers
+        FROM (SELECT quantile_cont({c}, [0.25, 0.5, 0.75]) AS q FROM {table})"""
         )
-    return f"WITH {oracles.CUSTOMERS['sparse']} " + " UNION ALL ".join(parts)
+    return f"WITH {ctes} " + " UNION ALL ".join(parts)
 
 
-register("box_stats", lambda s, d: eda.box_stats(_pre_input(s, d), _BOXED), _box_sql())
+_register_per_source(
+    "box_stats",
+    lambda ev: eda.box_stats(customers.customer_features(ev, columns=_BOXED).persist(), _BOXED),
+    lambda source: _box_sql(oracles.CUSTOMERS[source], "cust"),
+)
+_register_per_source(
+    "box_stats_scaled",
+    lambda ev: eda.box_stats(comparable(_keep_all(ev, "standard")).persist(), _BOXED),
+    lambda source: _box_sql(
+        f"{oracles.scaled_ctes(_PRE, source, 'standard')}, rounded AS ({oracles.doubles(_BOXED, 'scaled')})", "rounded"
+    ),
+)
 
 # --- quality of given labels, on the embeddings -------------------------------
 
@@ -549,7 +596,7 @@ def _quality_sql(name: str, label: str) -> str:
     return f"""SELECT * FROM (WITH {oracles.labelled(label)}, {oracles.SILHOUETTE}, {oracles.CENTROIDS}, {oracles.DAVIES_BOULDIN}, {oracles.CALINSKI}
       SELECT '{name}' AS labelling, (SELECT count(DISTINCT cluster) FROM vecs) AS n_clusters,
         (SELECT count(*) FROM vecs WHERE cluster = -1) AS n_noise, (SELECT count(*) FROM vecs) AS n_samples,
-        {oracles.r6('(SELECT s FROM sil)', 'silhouette_score')}, 'exact' AS silhouette_kind,
+        {oracles.r6('(SELECT s FROM sil)', 'silhouette_score')}, CAST(NULL AS DOUBLE) AS silhouette_sq, 'exact' AS silhouette_kind,
         {oracles.r6('(SELECT v FROM db)', 'davies_bouldin')}, {oracles.r6('(SELECT v FROM ch)', 'calinski_harabasz')},
         {oracles.r6('(SELECT sum(ss) FROM spread)', 'inertia')},
         (SELECT min(n) FROM {sizes}) AS min_cluster_size, (SELECT max(n) FROM {sizes}) AS max_cluster_size,
@@ -652,8 +699,7 @@ register(
         )
     ).select("labelling", "silhouette_grade", "separation_grade"),
     f"""SELECT labelling, CASE WHEN silhouette_score > 0.5 THEN 'Excellent' WHEN silhouette_score > 0.3 THEN 'Good' ELSE 'Fair' END AS silhouette_grade,
-      CASE WHEN davies_bouldin < 1 THEN 'Well-separated clusters' WHEN davies_bouldin < 2 THEN 'Reasonably separated clusters'
-           ELSE 'Clusters may overlap' END AS separation_grade FROM ({ORACLES['quality_rows']})""",
+      CASE WHEN davies_bouldin < 1 THEN 'separate' WHEN davies_bouldin < 2 THEN 'touching' ELSE 'mixed' END AS separation_grade FROM ({ORACLES['quality_rows']})""",
 )
 
 # --- profiles of given clusters over the customers ----------------------------
@@ -665,55 +711,57 @@ _PROFILED = [
 ]
 
 
-def _clustered(spark: SparkSession, sf_dir: str, columns: list[str] | None = None) -> DataFrame:
+def _clustered(events: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Customers with a given cluster, the user id modulo 4."""
-    kept = customers.customer_features(events_sparse(spark, sf_dir), columns=columns or _PROFILED)
+    kept = customers.customer_features(events, columns=columns or _PROFILED)
     return kept.withColumn("cluster", (F.col("user_id") % 4).cast("int"))
 
 
-_CLUSTERED_CTES = f"{oracles.CUSTOMERS['sparse']}, cl AS (SELECT *, CAST(user_id % 4 AS INTEGER) AS cluster FROM cust)"
-_PROFILE_LONG = (
-    f"{_CLUSTERED_CTES}, prof AS ("
-    + " UNION ALL ".join(f"SELECT cluster, '{c}' AS feature, avg({c}) AS mean FROM cl GROUP BY 1" for c in _PROFILED)
-    + ")"
-)
+def _clustered_ctes(source: str) -> str:
+    return f"{oracles.CUSTOMERS[source]}, cl AS (SELECT *, CAST(user_id % 4 AS INTEGER) AS cluster FROM cust)"
 
 
-def _profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profiles.cluster_profiles(_clustered(spark, sf_dir), _PROFILED)
+def _profile_long(source: str) -> str:
+    means = " UNION ALL ".join(f"SELECT cluster, '{c}' AS feature, avg({c}) AS mean FROM cl GROUP BY 1" for c in _PROFILED)
+    return f"{_clustered_ctes(source)}, prof AS ({means})"
 
 
-register(
+def _profiles(events: DataFrame) -> DataFrame:
+    return profiles.cluster_profiles(_clustered(events), _PROFILED)
+
+
+_register_per_source(
     "cluster_profiles",
     _profiles,
-    f"WITH {_CLUSTERED_CTES} SELECT cluster, {', '.join(oracles.r6(f'avg({c})', c) for c in _PROFILED)}, count(*) AS cluster_size FROM cl GROUP BY 1",
+    lambda source: f"WITH {_clustered_ctes(source)} SELECT cluster, {', '.join(oracles.r6(f'avg({c})', c) for c in _PROFILED)}, "
+    "count(*) AS cluster_size FROM cl GROUP BY 1",
 )
-register(
+_register_per_source(
     "top_variance_features",
-    lambda s, d: profiles.top_variance_features(_profiles(s, d), 10),
-    f"WITH {_PROFILE_LONG}, v AS (SELECT feature, var_samp(mean) AS v FROM prof GROUP BY 1) "
+    lambda ev: profiles.top_variance_features(_profiles(ev), 10),
+    lambda source: f"WITH {_profile_long(source)}, v AS (SELECT feature, var_samp(mean) AS v FROM prof GROUP BY 1) "
     f"SELECT feature, {oracles.r6('v', 'variance')} FROM v ORDER BY v DESC NULLS LAST, feature LIMIT 10",
 )
 _NORMALISED_SQL = (
     f"SELECT cluster, feature, {oracles.r6('mean')}, {oracles.r6('((mean - min(mean) OVER w) / (max(mean) OVER w - min(mean) OVER w + 1e-8))', 'normalised')} "
     "FROM prof {where} WINDOW w AS (PARTITION BY feature)"
 )
-register(
+_register_per_source(
     "profile_minmax",
-    lambda s, d: profiles.normalised_profiles(_profiles(s, d)),
-    f"WITH {_PROFILE_LONG} " + _NORMALISED_SQL.format(where=""),
+    lambda ev: profiles.normalised_profiles(_profiles(ev)),
+    lambda source: f"WITH {_profile_long(source)} " + _NORMALISED_SQL.format(where=""),
 )
-register(
+_register_per_source(
     "radar_profiles",
-    lambda s, d: profiles.radar_profiles(_profiles(s, d), _PROFILED),
-    f"WITH {_PROFILE_LONG} "
+    lambda ev: profiles.radar_profiles(_profiles(ev), _PROFILED),
+    lambda source: f"WITH {_profile_long(source)} "
     + _NORMALISED_SQL.format(where="WHERE feature IN (" + ", ".join(f"'{c}'" for c in _PROFILED[:8]) + ")"),
 )
 
 
-def _business(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _business(events: DataFrame) -> DataFrame:
     needs = [*_RFM_INPUT, "purchase_conversion_rate", "unique_products_viewed", "unique_categories"]
-    kept = customers.customer_features(events_sparse(spark, sf_dir), columns=needs).persist()
+    kept = customers.customer_features(events, columns=needs).persist()
     return profiles.business_summary(rfm.rfm_scores(kept).withColumn("cluster", (F.col("user_id") % 4).cast("int")))
 
 
@@ -725,19 +773,21 @@ _BUSINESS = {
     "avg_frequency_score": "avg(frequency_score)", "avg_monetary_score": "avg(monetary_score)",
     "share": "(count(*) / (SELECT count(*) FROM rfm))",
 }
-register(
+_register_per_source(
     "cluster_business_summary",
     _business,
-    f"WITH {oracles.RFM['sparse']} SELECT CAST(user_id % 4 AS INTEGER) AS cluster, count(*) AS cluster_size, "
+    lambda source: f"WITH {oracles.RFM[source]} SELECT CAST(user_id % 4 AS INTEGER) AS cluster, count(*) AS cluster_size, "
     + ", ".join(oracles.r6(f"({expr})", name) for name, expr in _BUSINESS.items())
     + " FROM rfm GROUP BY 1",
 )
-register(
+_register_per_source(
     "histogram_by_cluster",
-    lambda s, d: eda.histogram_by_cluster(_clustered(s, d, ["total_spending"]).persist(), "total_spending"),
-    f"""WITH {_CLUSTERED_CTES}, ends AS (SELECT cluster, min(total_spending) AS lo, max(total_spending) AS hi FROM cl GROUP BY 1)
-    SELECT cluster, CASE WHEN hi > lo THEN least(CAST(floor((total_spending - lo) / (hi - lo) * 30) AS INTEGER), 29) ELSE 15 END AS bin,
-      count(*) AS n FROM cl JOIN ends USING (cluster) GROUP BY ALL""",
+    lambda ev: eda.histogram_by_cluster(_clustered(ev, ["total_spending"]).persist(), "total_spending"),
+    lambda source: f"""WITH {_clustered_ctes(source)}, ends AS (SELECT cluster, min(total_spending) AS lo, max(total_spending) AS hi FROM cl GROUP BY 1),
+    filled AS (SELECT cluster, CASE WHEN hi > lo THEN least(CAST(floor((total_spending - lo) / (hi - lo) * 30) AS INTEGER), 29) ELSE 15 END AS bin,
+      count(*) AS n FROM cl JOIN ends USING (cluster) GROUP BY ALL)
+    SELECT e.cluster, CAST(b AS INTEGER) AS bin, coalesce(n, 0) AS n FROM ends e JOIN range(30) AS t(b) ON true
+      LEFT JOIN filled f ON f.cluster = e.cluster AND f.bin = b""",
 )
 
 # --- clustering ---------------------------------------------------------------
@@ -749,7 +799,7 @@ def _embedding_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _customer_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scaled customer vectors, as the clustering step of the whole job sees them."""
-    features = engineer.select_features(_engineered(events_sparse(spark, sf_dir)), engineer.RECOMMENDED_EXCLUDES)
+    features = engineer.select_features(_engineered(events_canonical(spark, sf_dir)), engineer.RECOMMENDED_EXCLUDES)
     return preprocess.Preprocessor().fit(features).vectors(features).persist()
 
 
@@ -760,22 +810,65 @@ register(
 )
 
 
-def _dbscan_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = customers.customer_features(events_sparse(spark, sf_dir), columns=["view_count", "cart_count", "purchase_count"])
+def _dbscan_customers(events: DataFrame) -> DataFrame:
+    kept = customers.customer_features(events, columns=["view_count", "cart_count", "purchase_count"])
     return dbscan(preprocess.to_vectors(kept, "user_id", ["view_count", "cart_count", "purchase_count"]), 2.0, 4)
 
 
-register(
+_register_per_source(
     "dbscan_customers",
     _dbscan_customers,
-    oracles.dbscan(
-        f"{oracles.CUSTOMERS['sparse']}, pts AS (SELECT user_id AS id, [CAST(view_count AS DOUBLE), cart_count, purchase_count] AS e FROM cust)",
+    lambda source: oracles.dbscan(
+        f"{oracles.CUSTOMERS[source]}, pts AS (SELECT user_id AS id, [CAST(view_count AS DOUBLE), cart_count, purchase_count] AS e FROM cust)",
         2.0,
         4,
     ),
 )
 
 
+def _three_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three Lloyd steps from the vectors 0, 1 and 2, and the clusters they lead to."""
+    rows = _embedding_points(spark, sf_dir)
+    first = rows.where("id < 3").orderBy("id").collect()  # the three given centres
+    fit = lloyd(rows, np.array([r["features"] for r in first]), 3)
+    sizes = fit.assign(rows).groupBy("cluster").agg(F.count(F.lit(1)).alias("n_rows"))
+    return sizes.withColumn("cost", F.lit(fit.cost))
+
+
+register("kmeans_three_steps", _three_steps, oracles.three_lloyd_steps())
+
+
+def _picked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The K that each rule picks from the scores of the labellings ``id % k``."""
+    rows = labelled_vectors(spark, sf_dir)
+    entries = [x for k in settings.K_RANGE for x in (F.lit(str(k)), (F.col("id") % k).cast("int"))]
+    table = metrics.quality_table(rows.select("id", "features", F.create_map(*entries).alias("labels")), silhouette="both")
+    table = table.withColumn("n_clusters", F.col("labelling").cast("int")).persist()
+    methods = [m for m in kselect.METHODS if m != "stability"]
+    return spark.createDataFrame([(m, kselect.pick_k(table, m)) for m in methods], "method string, k int")
+
+
+register("picked_k", _picked, oracles.picked_k(_INERTIA_CTES))
+register(
+    "adjusted_rand_by_k",
+    lambda s, d: metrics.adjusted_rand(
+        labelled_vectors(s, d)
+        .withColumn("k", F.explode(F.array(*map(F.lit, settings.K_RANGE))))
+        .withColumn("other", F.col("id") % F.col("k")),
+        "cluster",
+        "other",
+        by=["k"],
+    ),
+    f"""WITH t AS (SELECT k, label AS a, vec_id % k AS b FROM embeddings, range(2, 11) AS ks(k)),
+      c AS (SELECT k, sum(n * (n - 1) / 2) AS s FROM (SELECT k, count(*) AS n FROM t GROUP BY k, a, b) GROUP BY 1),
+      ra AS (SELECT k, sum(n * (n - 1) / 2) AS s FROM (SELECT k, count(*) AS n FROM t GROUP BY k, a) GROUP BY 1),
+      rb AS (SELECT k, sum(n * (n - 1) / 2) AS s FROM (SELECT k, count(*) AS n FROM t GROUP BY k, b) GROUP BY 1),
+      p AS (SELECT k, count(*) * (count(*) - 1) / 2 AS s FROM t GROUP BY 1)
+    SELECT CAST(k AS INTEGER) AS k, {oracles.r6('((c.s - ra.s * rb.s / p.s) / ((ra.s + rb.s) / 2 - ra.s * rb.s / p.s))', 'adjusted_rand')}
+    FROM c JOIN ra USING (k) JOIN rb USING (k) JOIN p USING (k)""",
+)
+
+
 def _labels(algorithm: str, points=_customer_points, **params) -> Query:
     return lambda s, d: segments.segment(points(s, d), algorithm, **params).labels
 
@@ -784,18 +877,55 @@ register("kmeans", _labels("kmeans", k=5))
 register("kmeans_embeddings", _labels("kmeans", _embedding_points, k=10))
 register("gmm", _labels("gmm", k=3))
 register("bisecting", _labels("bisecting", k=5))
-register("hierarchical", _labels("hierarchical", k=5))
-register("hierarchical_complete", _labels("hierarchical", k=5, linkage="complete"))
-register("hierarchical_average", _labels("hierarchical", k=5, linkage="average"))
 register("spectral", _labels("spectral", k=5))
-register("hdbscan", _labels("hdbscan"))
-register("k_selection", lambda s, d: kselect.evaluate_k(_customer_points(s, d), stability=False)[0])
+register("k_selection", lambda s, d: kselect.evaluate_k(_customer_points(s, d))[0])
+
+
+def _label_facts(algorithm: str, points: Query, n: str, **params) -> None:
+    """What must hold of any labelling: every row once, k clusters numbered from 0; and for K-means that
+    no row is nearer to another centre and the cost is that of the labels."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = points(spark, sf_dir)
+        made = segments.segment(rows, algorithm, **params)
+        labels = made.labels.persist()
+        facts = labels.agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            F.count_distinct("id").alias("n_ids"),
+            F.count_distinct("cluster").alias("n_clusters"),
+            F.min("cluster").alias("lowest"),
+            F.max("cluster").alias("highest"),
+        )
+        if algorithm != "kmeans":
+            return facts
+        centres = made.model.centers
+        d2 = [squared_distance(F.col("features"), F.array(*map(F.lit, map(float, c)))) for c in centres]
+        near = rows.join(labels, "id").select("cluster", F.array(*d2).alias("d2"))
+        own = F.get("d2", F.col("cluster"))
+        more = near.agg(F.count_if(own > F.array_min("d2") + 1e-9).alias("misplaced"), F.sum(own).alias("cost")).first()
+        agrees = bool(abs(more["cost"] - made.model.cost) <= 1e-6 * made.model.cost)
+        return facts.withColumns({"misplaced": F.lit(more["misplaced"]), "cost_agrees": F.lit(agrees)})
+
+    k = params["k"]
+    extra = ", CAST(0 AS BIGINT) AS misplaced, true AS cost_agrees" if algorithm == "kmeans" else ""
+    register(
+        f"{algorithm}_facts",
+        run,
+        f"SELECT {n} AS n_rows, {n} AS n_ids, CAST({k} AS BIGINT) AS n_clusters, CAST(0 AS INTEGER) AS lowest, CAST({k - 1} AS INTEGER) AS highest{extra}",
+    )
+
+
+_USERS = "(SELECT count(DISTINCT user_id) FROM events)"
+_label_facts("kmeans", _customer_points, _USERS, k=5)
+_label_facts("gmm", _customer_points, _USERS, k=3)
+_label_facts("bisecting", _customer_points, _USERS, k=5)
+_label_facts("spectral", _customer_points, _USERS, k=5)
 register("k_stability", lambda s, d: kselect.stability_scores(_customer_points(s, d), settings.K_RANGE))
 register("algorithm_comparison", lambda s, d: segments.compare_algorithms(_customer_points(s, d), 4)[0])
 
 
 def _projection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model, df = _fitted(spark, sf_dir)
+    model, df = _fitted(events_canonical(spark, sf_dir))
     scaled = model.transform(df)
     return profiles.pca_projection(scaled, model.feature_names, 2, keep=("user_id",))[0]
 
@@ -804,7 +934,7 @@ register("pca_projection", _projection)
 
 
 def _segmented(spark: SparkSession, sf_dir: str) -> DataFrame:
-    result = job.segment_customers(events_canonical(spark, sf_dir), algorithm="kmeans", stability=False)
+    result = job.segment_customers(events_canonical(spark, sf_dir), algorithm="kmeans")
     return profiles.business_summary(result.customers)
 
 
@@ -812,7 +942,7 @@ register("customer_segments", _segmented)
 
 
 def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    result = job.segment_customers(events_canonical(spark, sf_dir), algorithm="hierarchical", k=4, k_range=[3, 4], stability=False)
+    result = job.segment_customers(events_canonical(spark, sf_dir), algorithm="bisecting")
     return spark.createDataFrame([(i, line) for i, line in enumerate(result.report.split("\n"))], "line_no int, line string")
 
 

@@ -1,4 +1,4 @@
-"""Markdown report over the small result tables."""
+"""A text report of one segmentation, made of the small result tables."""
 
 from __future__ import annotations
 
@@ -6,56 +6,38 @@ from typing import Any
 
 from pyspark.sql import DataFrame
 
-SILHOUETTE_TEXT = {
-    "Excellent": "**Silhouette Score > 0.5**: Excellent clustering quality",
-    "Good": "**Silhouette Score > 0.3**: Good clustering quality",
-    "Fair": "**Silhouette Score < 0.3**: Clustering quality could be improved",
-}
-SEPARATION_TEXT = {
-    "Well-separated clusters": "**Davies-Bouldin < 1.0**: Well-separated clusters",
-    "Reasonably separated clusters": "**Davies-Bouldin < 2.0**: Reasonably separated clusters",
-    "Clusters may overlap": "**Davies-Bouldin > 2.0**: Clusters may overlap",
+#: What the report lists of a metrics row, in groups.
+MEASURES = {
+    "scores": ["silhouette_score", "silhouette_sq", "davies_bouldin", "calinski_harabasz", "inertia"],
+    "grades": ["silhouette_grade", "separation_grade"],
+    "shape": ["n_clusters", "n_noise", "n_samples", "min_cluster_size", "avg_cluster_size", "max_cluster_size"],
 }
 
 
-def markdown_table(columns: list[str], rows: list[tuple]) -> str:
-    def text(v: Any) -> str:
+def text_table(columns: list[str], rows: list[tuple]) -> list[str]:
+    """Markdown lines; NULL is an empty cell."""
+
+    def cell(v: Any) -> str:
         return "" if v is None else f"{v:.4g}" if isinstance(v, float) else str(v)
 
-    lines = [columns, ["---"] * len(columns), *[[text(v) for v in row] for row in rows]]
-    return "\n".join("| " + " | ".join(line) + " |" for line in lines)
+    lines = [columns, ["---"] * len(columns), *[[cell(v) for v in row] for row in rows]]
+    return ["| " + " | ".join(line) + " |" for line in lines]
 
 
 def cluster_report(
-    graded: dict[str, Any], sizes: DataFrame, profiles: DataFrame | None = None, model_info: dict[str, Any] | None = None
+    graded: dict[str, Any], sizes: DataFrame, profiles: DataFrame | None = None, run: dict[str, Any] | None = None
 ) -> str:
-    """Report of one segmentation; every input has at most one row per cluster."""
-    parts = ["# Clustering Evaluation Report", ""]
-    if model_info:
-        parts += ["## Model Information", "", *[f"- **{k}**: {v}" for k, v in model_info.items()], ""]
-    parts += ["## Evaluation Metrics", "", "### Internal Metrics", ""]
-    parts.append(f"- **Silhouette Score**: {graded['silhouette_score']:.4f}")
-    parts.append(f"- **Davies-Bouldin Index**: {graded['davies_bouldin']:.4f}")
-    parts.append(f"- **Calinski-Harabasz Index**: {graded['calinski_harabasz']:.4f}")
-    if graded.get("inertia") is not None:
-        parts.append(f"- **Inertia (Within-cluster SS)**: {graded['inertia']:.2f}")
-    parts += ["", "### Cluster Statistics", ""]
-    for label, key in (
-        ("Number of Clusters", "n_clusters"),
-        ("Number of Noise Points", "n_noise"),
-        ("Total Samples", "n_samples"),
-        ("Min Cluster Size", "min_cluster_size"),
-        ("Max Cluster Size", "max_cluster_size"),
-    ):
-        parts.append(f"- **{label}**: {graded[key]}")
-    parts.append(f"- **Average Cluster Size**: {graded['avg_cluster_size']:.0f}")
-    parts += ["", "### Cluster Size Distribution", ""]
-    for r in sizes.orderBy("cluster").collect():
-        parts.append(f"- **Cluster {r['cluster']}**: {r['cluster_size']} customers ({r['share']:.1%})")
+    """How the segments were found, one table per group of ``MEASURES``, and the segments themselves.
+
+    Every input has at most one row per cluster.
+    """
+    lines = ["# Segments", "", *text_table(["setting", "value"], list((run or {}).items()))]
+    for title, names in MEASURES.items():
+        rows = [(n, graded[n]) for n in names if graded.get(n) is not None]
+        lines += ["", f"## {title.capitalize()}", "", *text_table(["measure", "value"], rows)]
+    rows = [(r["cluster"], r["cluster_size"], round(100.0 * r["share"], 1)) for r in sizes.orderBy("cluster").collect()]
+    lines += ["", "## Segment by segment", "", *text_table(["segment", "customers", "percent"], rows)]
     if profiles is not None:
         rows = [tuple(r) for r in profiles.orderBy("cluster").collect()]
-        parts += ["", "## Cluster Profiles", "", "### Feature Means by Cluster", "", markdown_table(profiles.columns, rows)]
-    parts += ["", "## Interpretation", ""]
-    parts.append("- " + SILHOUETTE_TEXT[graded["silhouette_grade"]])
-    parts.append("- " + SEPARATION_TEXT[graded["separation_grade"]])
-    return "\n".join(parts) + "\n"
+        lines += ["", "## Feature means", "", *text_table(profiles.columns, rows)]
+    return "\n".join(lines) + "\n"

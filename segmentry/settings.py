@@ -24,16 +24,12 @@ MAX_ITER = 300
 TOL = 1e-4
 SEED = 42
 DEFAULT_K = 5
-DBSCAN_EPS = [0.5, 1.0, 1.5, 2.0, 2.5, 3.0]
-DBSCAN_MIN_SAMPLES = [3, 5, 10, 15, 20]
-LINKAGES = ["ward", "complete", "average"]
-HDBSCAN_MIN_CLUSTER_SIZE = 5
-SPECTRAL_ROW_LIMIT = 10_000
-STABILITY_ROW_LIMIT = 5_000
+DBSCAN_EPS = [0.5, 1.0]
+DBSCAN_MIN_SAMPLES = [3, 5]
 N_BOOTSTRAP = 20
 BOOTSTRAP_FRACTION = 0.8
 
 # --- report -----------------------------------------------------------------
 NORMALISE_EPSILON = 1e-8
-SILHOUETTE_GRADES = [(0.5, "Excellent"), (0.3, "Good")]
-DB_GRADES = [(1.0, "Well-separated clusters"), (2.0, "Reasonably separated clusters")]
+SILHOUETTE_GRADES = ([(0.5, "Excellent"), (0.3, "Good")], "Fair")  # above the limit
+DB_GRADES = ([(1.0, "separate"), (2.0, "touching")], "mixed")  # below the limit

@@ -5,15 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segmentry import settings
-from segmentry.functions import order_statistics
+from segmentry.functions.quantiles import element_at
 from segmentry.session import materialize
 
-SMALL_LIMIT = 1_000_000
-
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema=None, **options) -> DataFrame:
     """Partitioned scan of any Spark source (parquet, orc, csv, json, jdbc, ...).
@@ -37,49 +35,47 @@ def row_count(df: DataFrame) -> DataFrame:
 
 
 def take_rows(df: DataFrame, max_rows: int | None, order_by: Sequence[str] = ()) -> DataFrame:
-    """At most ``max_rows`` rows (0 or None = all); ordered input makes the choice repeatable.
+    """At most ``max_rows`` rows (0 or None = all); an order that is total makes the choice repeatable.
 
-    A large cap is not a ``limit``, which would move all its rows through one
-    task: rows per partition are counted, and a filter on the position keeps whole
-    partitions up to the one where the cap falls.
+    Not a ``limit``, which would move all its rows through one task: rows per
+    partition are counted, and a filter on the position keeps whole partitions up to
+    the one where the cap falls.
     """
     if not max_rows:
         return df
     df = df.orderBy(*order_by) if order_by else df
-    if max_rows <= SMALL_LIMIT:
-        return df.limit(max_rows)
-    placed = df.withColumn("_at", F.monotonically_increasing_id())
-    if order_by:
-        placed = materialize(placed)
+    placed = materialize(df.withColumn("_at", F.monotonically_increasing_id()))
     part, row = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
-    sizes = placed.groupBy(part.alias("part")).count().orderBy("part").collect()
     left = max_rows
-    for r in sizes:
+    for r in placed.groupBy(part.alias("part")).count().orderBy("part").collect():  # one row per partition
         if r["count"] >= left:
             return placed.where((part < r["part"]) | ((part == r["part"]) & (row < left))).drop("_at")
         left -= r["count"]
-    return df
+    return placed.drop("_at")
+
+
+def draw(seed: int, key: Column) -> Column:
+    """A number below 2^52 from the md5 of seed and key, which other engines can work out too."""
+    return F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), key.cast("string"))), 1, 13), 16, 10).cast("bigint")
 
 
 def exact_sample(df: DataFrame, fraction: float, seed: int = settings.SEED, order_key: str | None = None) -> DataFrame:
     """Seeded sample of exactly ``int(rows * fraction)`` rows, without replacement.
 
-    Every row draws a number from the hash of its key, and the rows below the
-    exact order statistic of the draws are kept, so no task gathers the sample.
-    With ``order_key`` (a unique column) the choice depends on the key alone, not
-    on how the input is partitioned.
+    Every row draws an integer from its key; the rows below the draw of the wanted rank are
+    kept, and of those that equal it the ones with the smallest keys.  No task gathers the
+    sample.  With ``order_key`` (a unique column) the choice depends on the key alone; without,
+    rows are numbered once and kept, so that all passes see the same numbers.
     """
-    key = F.col(order_key) if order_key else F.monotonically_increasing_id()
-    drawn = df.withColumn("_key", key).withColumn(
-        "_draw", F.pmod(F.xxhash64(F.lit(seed), "_key"), F.lit(1 << 53)).cast("double")
-    )
-    rows = drawn.count()
-    target = int(rows * fraction)
+    if order_key:
+        drawn = df.withColumn("_key", F.col(order_key))
+    else:
+        drawn = materialize(df.withColumn("_key", F.monotonically_increasing_id()))
+    drawn = drawn.withColumn("_draw", draw(seed, F.col("_key")))
+    target = int(drawn.count() * fraction)
     if target <= 0:
         return df.limit(0)
-    stats = order_statistics(drawn, ["_draw"], [(target - 1) / max(rows - 1, 1)])["_draw"]
-    low, high, weight = next(iter(stats.points.values()))
-    last = high if weight > 0.5 else low
+    last = int(element_at(drawn, "_draw", target - 1))  # below 2^53, so exact as a double
     below = drawn.where(F.col("_draw") < last)
     # Draws equal to the last one are a handful at most.
     equal = drawn.where(F.col("_draw") == last).orderBy("_key").limit(target - below.count())
@@ -120,14 +116,18 @@ def load_events(
     convert_types: bool = True,
     seed: int = settings.SEED,
     schema=None,
+    order_key: str | None = None,
     **options,
 ) -> DataFrame:
-    """Scan, optionally cap or sample, and coerce.  A row cap wins over a fraction."""
+    """Scan, optionally cap or sample, and coerce.  A row cap wins over a fraction.
+
+    The sample has exactly ``int(rows * sample_fraction)`` rows; ``order_key`` names a unique column to draw by.
+    """
     df = read_table(spark, path, fmt, schema, **options)
     if max_rows:
         df = take_rows(df, max_rows)
     elif sample_fraction and sample_fraction < 1.0:
-        df = df.sample(withReplacement=False, fraction=sample_fraction, seed=seed)
+        df = exact_sample(df, sample_fraction, seed, order_key)
     return coerce_events(df) if convert_types else df
 
 

@@ -6,10 +6,8 @@ from conftest import labels_of, points, same_partition
 from pyspark.sql import functions as F
 
 from segmentry.operators import dbscan as dbscan_module
-from segmentry.operators import hdbscan as hdbscan_module
 from segmentry.operators import hierarchical, kmeans, kselect, metrics, mixture, segments, spectral
 from segmentry.operators.dbscan import dbscan
-from segmentry.operators.hdbscan import hdbscan
 
 
 def brute_dbscan(x, eps, min_samples):
@@ -29,11 +27,10 @@ def brute_dbscan(x, eps, min_samples):
 
 
 @pytest.mark.parametrize("eps,min_samples", [(0.3, 5), (1.0, 10)])
-@pytest.mark.parametrize("home,candidates,edges", [(4096, 8192, 200_000), (60, 130, 200_000), (60, 130, 0)])
-def test_dbscan(spark, blobs, monkeypatch, eps, min_samples, home, candidates, edges):
+@pytest.mark.parametrize("home,candidates", [(4096, 8192), (60, 130)])
+def test_dbscan(spark, blobs, monkeypatch, eps, min_samples, home, candidates):
     monkeypatch.setattr(dbscan_module, "HOME_ROWS", home)
     monkeypatch.setattr(dbscan_module, "CANDIDATE_ROWS", candidates)
-    monkeypatch.setattr(dbscan_module, "DRIVER_EDGES", edges)
     x, _ = blobs
     assert (labels_of(dbscan(points(spark, x), eps, min_samples)) == brute_dbscan(x, eps, min_samples)).all()
 
@@ -43,79 +40,10 @@ def test_dbscan_all_noise(spark):
     assert (labels_of(dbscan(points(spark, x), 1.0, 2)) == -1).all()
 
 
-def naive_linkage(x, k, linkage):
-    groups = [[i] for i in range(len(x))]
-    gap = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
-
-    def distance(a, b):
-        if linkage == "complete":
-            return gap[np.ix_(a, b)].max()
-        if linkage == "average":
-            return gap[np.ix_(a, b)].mean()
-        centre = x[a].mean(0) - x[b].mean(0)
-        return len(a) * len(b) / (len(a) + len(b)) * (centre**2).sum()
-
-    while len(groups) > k:
-        pairs = [(distance(a, b), i, j) for i, a in enumerate(groups) for j, b in enumerate(groups) if i < j]
-        _, i, j = min(pairs)
-        groups[i] += groups.pop(j)
-    label = np.zeros(len(x), int)
-    for n, members in enumerate(groups):
-        label[members] = n
-    return label
-
-
-@pytest.mark.parametrize("linkage", ["ward", "complete", "average"])
-def test_hierarchical(spark, linkage):
-    rng = np.random.default_rng(9)
-    x = rng.normal(size=(40, 3))
-    x = np.vstack([x, x[:3], x[:1]])  # copies
-    got = labels_of(hierarchical.hierarchical(points(spark, x), 5, linkage))
-    assert same_partition(got, naive_linkage(x, 5, linkage))
-
-
-def test_hierarchical_over_summaries(spark, blobs):
-    x, truth = blobs
-    got = labels_of(hierarchical.hierarchical(points(spark, x[:450]), 3, m=60))
-    assert same_partition(got, truth)
-    with pytest.raises(ValueError):
-        hierarchical.hierarchical(points(spark, x), 3, "single")
-
-
-def test_hdbscan_does_not_depend_on_blocks(spark, blobs, monkeypatch):
-    x, truth = blobs
-    want = labels_of(hdbscan(points(spark, x), 10))
-    for i in range(3):
-        group = want[:450][truth == i]
-        assert (group == np.bincount(group[group >= 0]).argmax()).mean() > 0.8 and len(set(group) - {-1}) <= 2
-    monkeypatch.setattr(hdbscan_module, "BLOCK_ROWS", 150)
-    assert (labels_of(hdbscan(points(spark, x, 5), 10)) == want).all()
-    monkeypatch.setattr(hdbscan_module, "DRIVER_EDGES", 200)
-    assert (labels_of(hdbscan(points(spark, x), 10)) == want).all()
-
-
-def test_hdbscan_core_distances_and_tree(spark, monkeypatch):
-    monkeypatch.setattr(hdbscan_module, "BLOCK_ROWS", 20)
-    x = np.random.default_rng(11).normal(size=(60, 3))
-    df = points(spark, x).withColumn("weight", F.lit(1).cast("bigint"))
-    rows = hdbscan_module.core_distances(df, 60, 60, 4)
-    gap = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
-    core = np.sort(gap, axis=1)[:, 3]
-    got = np.array([r["core"] for r in rows.orderBy("id").collect()])
-    np.testing.assert_allclose(got, core)
-    reach = np.maximum(gap, np.maximum(core[:, None], core[None]))
-    inside, total = {0}, 0.0
-    while len(inside) < 60:
-        outside = [i for i in range(60) if i not in inside]
-        block = reach[np.ix_(sorted(inside), outside)]
-        total += block.min()
-        inside.add(outside[block.min(axis=0).argmin()])
-    tree = hdbscan_module.spanning_tree(rows, 60).collect()
-    assert len(tree) == 59 and sum(r["w"] for r in tree) == pytest.approx(total)
-
-
-def test_hdbscan_on_few_points(spark):
-    assert (labels_of(hdbscan(points(spark, np.zeros((3, 2))))) == -1).all()
+def test_dbscan_in_many_dimensions(spark, monkeypatch):
+    monkeypatch.setattr(dbscan_module, "HOME_ROWS", 60)
+    x = np.random.default_rng(8).normal(size=(300, 64)) + np.repeat(np.eye(64)[:3] * 9, 100, axis=0)
+    assert (labels_of(dbscan(points(spark, x), 10.5, 4)) == brute_dbscan(x, 10.5, 4)).all()
 
 
 def test_kmeans_recovers_groups_and_repeats(spark, blobs, tmp_path):
@@ -138,11 +66,14 @@ def test_more_starts_never_cost_more(spark, blobs):
     assert kmeans.kmeans(df, 6, n_init=5).cost == pytest.approx(min(costs))
 
 
-def test_kmeans_sums_on_executors_agree(spark, blobs, monkeypatch):
-    df = points(spark, blobs[0])
-    want = kmeans.kmeans(df, 4, n_init=2)
-    monkeypatch.setattr(kmeans, "DRIVER_SUM_VALUES", 0)
-    np.testing.assert_allclose(kmeans.kmeans(df, 4, n_init=2).centers, want.centers)
+def test_lloyd_from_given_centres(spark, blobs):
+    x, _ = blobs
+    centres = x[[0, 200, 400]]
+    fit = kmeans.lloyd(points(spark, x), centres, 2)
+    for _ in range(2):
+        near = ((x[:, None] - centres[None]) ** 2).sum(2).argmin(1)
+        centres = np.array([x[near == c].mean(0) for c in range(3)])
+    np.testing.assert_allclose(fit.centers, centres)
 
 
 def test_poisson_weights_have_the_asked_rate():
@@ -168,7 +99,11 @@ def test_mixture_and_spectral_and_bisecting(spark, blobs):
 def test_k_selection(spark, blobs):
     x, _ = blobs
     table, fits = kselect.evaluate_k(points(spark, x[:450]), [2, 3, 4], n_init=3)
-    for method in kselect.METHODS:
+    linear, _ = kselect.evaluate_k(points(spark, x[:450]), [2, 3, 4], n_init=3, stability=False, silhouette="squared")
+    assert kselect.pick_k(linear, "silhouette_sq") == 3
+    assert all(r["silhouette_score"] is None and r["stability"] is None for r in linear.collect())
+    assert all(r["silhouette_sq"] is None for r in table.collect())
+    for method in set(kselect.METHODS) - {"silhouette_sq"}:
         assert kselect.pick_k(table, method) == 3
     assert set(fits) == {2, 3, 4}
     rows = {r["n_clusters"]: r for r in table.collect()}
@@ -235,7 +170,21 @@ def test_quality_fallbacks_and_noise(spark):
     flat = metrics.quality_table(metrics.one_labelling(df.withColumn("cluster", F.lit(0)))).first()
     assert (flat["silhouette_score"], flat["davies_bouldin"], flat["calinski_harabasz"]) == (-1.0, float("inf"), 0.0)
     squared = metrics.quality_table(metrics.one_labelling(df.where("cluster >= 0")), silhouette="squared").first()
-    assert squared["silhouette_kind"] == "squared" and squared["silhouette_score"] > 0.9
+    assert squared["silhouette_kind"] == "squared" and squared["silhouette_sq"] > 0.9 and squared["silhouette_score"] is None
+
+
+def test_davies_bouldin_over_blocks_of_centroids(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    x, label = rng.normal(size=(400, 3)), np.arange(400) % 150
+    rows = [(i, [float(v) for v in p], int(c)) for i, (p, c) in enumerate(zip(x, label))]
+    long = metrics.exploded(metrics.one_labelling(spark.createDataFrame(rows, "id bigint, features array<double>, cluster int")))
+    centre = np.array([x[label == c].mean(0) for c in range(150)])
+    s = np.array([np.sqrt(((x[label == c] - centre[c]) ** 2).sum(1)).mean() for c in range(150)])
+    gap = np.sqrt(((centre[:, None] - centre[None]) ** 2).sum(2)) + np.diag(np.full(150, np.inf))
+    want = ((s[:, None] + s[None]) / gap).max(1).mean()
+    assert metrics.between_scores(long).first()["davies_bouldin"] == pytest.approx(want)
+    monkeypatch.setattr(metrics, "BLOCK_ROWS", 40)
+    assert metrics.between_scores(long).first()["davies_bouldin"] == pytest.approx(want)
 
 
 def test_adjusted_rand(spark):
@@ -251,7 +200,9 @@ def test_fit_segments(spark, blobs, tmp_path):
     assert run.metrics["n_clusters"] == 3 and run.params["selection_method"] == "silhouette"
     assert same_partition(labels_of(run.predict(df)), truth)
     run.save(str(tmp_path / "s"))
-    assert spark.read.parquet(str(tmp_path / "s/labels")).count() == 450
+    back = segments.Segmentation.load(spark, str(tmp_path / "s"))
+    assert back.labels.count() == 450 and back.params == run.params and back.metrics["n_clusters"] == 3
+    assert same_partition(labels_of(back.predict(df)), truth)
     with pytest.raises(ValueError):
         segments.fit_segments(df, "other")
     with pytest.raises(ValueError):
@@ -263,8 +214,8 @@ def test_comparison(spark, blobs):
     table, runs = segments.compare_algorithms(points(spark, x[:450]), 3, n_init=2)
     names = [r["algorithm"] for r in table.orderBy("position").collect()]
     assert names == [
-        "kmeans", "hierarchical", "dbscan_eps0.5_min3", "dbscan_eps0.5_min5", "dbscan_eps1.0_min3",
-        "dbscan_eps1.0_min5", "gmm", "spectral", "hdbscan",
+        "kmeans", "bisecting", "dbscan_eps0.5_min3", "dbscan_eps0.5_min5", "dbscan_eps1.0_min3",
+        "dbscan_eps1.0_min5", "gmm", "spectral",
     ]
     best = segments.best_algorithm(table)
     assert best in runs and runs[best].labels.count() == 450

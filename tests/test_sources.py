@@ -15,7 +15,6 @@ from segmentry.sources import (
     union_inputs,
     write_csv,
 )
-from segmentry.sources import events as events_module
 from segmentry.sources.warehouse import events_canonical
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -45,7 +44,7 @@ def test_caps_and_samples(spark, log):
     assert load_events(spark, f"{log}/parquet", max_rows=100).count() == 100
     assert take_rows(events, 0).count() == n
     sampled = load_events(spark, f"{log}/parquet", sample_fraction=0.3)
-    assert 0 < sampled.count() < n
+    assert sampled.count() == int(n * 0.3)
     keyed = events_canonical(spark, SF_DIR)
     one = exact_sample(keyed, 0.25, order_key="event_id")
     two = exact_sample(keyed.repartition(5), 0.25, order_key="event_id")
@@ -55,8 +54,7 @@ def test_caps_and_samples(spark, log):
     assert union_inputs([events, events.drop("brand")]).count() == 2 * n
 
 
-def test_large_caps_keep_whole_partitions(spark, monkeypatch):
-    monkeypatch.setattr(events_module, "SMALL_LIMIT", 0)
+def test_caps_keep_whole_partitions(spark):
     df = spark.range(0, 1000, 1, 7).withColumn("v", 1000 - F.col("id"))
     for cap in (1, 142, 143, 500, 999, 1000, 5000):
         assert take_rows(df, cap).count() == min(cap, 1000)
@@ -64,6 +62,14 @@ def test_large_caps_keep_whole_partitions(spark, monkeypatch):
     assert lowest == list(range(990, 1000))
 
 
+@pytest.mark.parametrize("fraction", [0.05, 0.1, 0.25, 0.5, 0.99])
+def test_samples_have_the_exact_size(spark, fraction):
+    for rows, seeds in ((50, range(3)), (10_000, range(20) if fraction == 0.1 else range(2))):
+        df = spark.range(rows)
+        for seed in seeds:
+            assert exact_sample(df, fraction, seed, "id").count() == int(rows * fraction)
+
+
 def test_prepare(spark, log):
     events, report = prepare_events(spark, f"{log}/parquet")
     assert report.first()["row_count"] == events.count()
@@ -95,11 +101,13 @@ def test_whole_job(spark, log, tmp_path):
     users = events.select("user_id").distinct().count()
     assert result.customers.count() == users
     assert result.customers.where("cluster IS NULL").isEmpty()
-    assert result.comparison.count() == 9
+    assert result.comparison.count() == 8
     assert result.best.algorithm in result.report or "dbscan" in result.report
-    assert "## Cluster Profiles" in result.report and "## Interpretation" in result.report
+    assert "| k chosen by | silhouette |" in result.report and "| silhouette | exact |" in result.report
+    given = segment_customers(events, "kmeans", k=3, n_init=2)
+    assert given.k_table is None and "| k chosen by | given |" in given.report
     out = str(tmp_path / "out")
     write_result(spark, result, out)
     assert read_feature_names(spark, f"{out}/feature_names") == result.preprocessor.feature_names
-    assert "# Clustering Evaluation Report" in [r["value"] for r in spark.read.text(f"{out}/cluster_report").collect()]
+    assert "# Segments" in [r["value"] for r in spark.read.text(f"{out}/cluster_report").collect()]
     assert spark.read.parquet(f"{out}/customers").count() == users
