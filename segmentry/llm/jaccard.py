@@ -7,8 +7,9 @@ that share a tile are compared: by size, by the bit counts of hashed bitmaps (an
 the overlap), and last by exact intersection of the sorted arrays.  No pair above the threshold is
 lost, up to collisions of 64-bit hashes.
 
-Pairs are tried in two rounds: every set with the set it shares most tiles with, then whatever shares
-a tile without being connected yet.  Groups of copies thus cost a pair per member, not all pairs.
+Pairs are tried in two rounds: every set with the set that leads most of its tiles, then whatever shares
+a tile without being connected yet.  A tile is led by the set that meets the most others, as the original
+of edited copies does, so groups of copies cost a pair per member, not all pairs.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ from segmentry.llm.common import sized, text_or_empty, written
 #: 64-bit words of a bitmap.
 WORDS = 16
 RATIO = 1.5
+#: Rows of a block of one tile.
+BLOCK_ROWS = 1024
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -190,6 +193,60 @@ def _may_link(percent: int):
     return (F.lit(100 + percent) * overlap) >= F.lit(percent) * (F.col("n_a") + F.col("n_b"))
 
 
+def _bounded_pairs(mixed: DataFrame, percent: int) -> DataFrame:
+    """``(a, b)`` of nodes in different components that share a tile and that size and bit counts allow to link.
+
+    A tile's rows are cut into blocks; each pair of blocks is a group of its own, compared as a whole, and only
+    the pairs that pass come out.
+    """
+    blocks = F.ceil(F.col("size") / BLOCK_ROWS).cast("int")
+    placed = mixed.withColumn("mine", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    placed = placed.withColumns({"lo": F.least("mine", "other"), "hi": F.greatest("mine", "other")})
+    placed = placed.select("key", "lo", "hi", "mine", "node", "component", "n", "bits")
+    placed = placed.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "mine")
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def compare(group: pa.Table):
+        mine, node, component, n = (group.column(k).to_numpy() for k in ("mine", "node", "component", "n"))
+        bits = group.column("bits").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(node), WORDS)
+        full = np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
+        lo, hi = (np.flatnonzero(mine == group.column(k)[0].as_py()) for k in ("lo", "hi"))
+        found = [np.zeros((0, 2), np.int64)]
+        for k in range(0, len(lo), 256):
+            part = lo[k : k + 256]
+            both = np.zeros((len(part), len(hi)), np.int64)
+            for w in range(WORDS):
+                both += np.bitwise_count(bits[part, None, w] & bits[None, hi, w])
+            most = np.minimum((n - full)[part, None], (n - full)[None, hi]) + both
+            able = (100 + percent) * most >= percent * (n[part, None] + n[None, hi])
+            able &= component[part, None] != component[None, hi]
+            x, y = np.nonzero(able)
+            found.append(np.stack([node[part[x]], node[hi[y]]], axis=1))
+        pairs = np.concatenate(found)
+        pairs = np.unique(np.sort(pairs, axis=1), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=schema)
+
+    def scan(batches):
+        held: list[pa.Table] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            name = np.stack([table.column(k).to_numpy() for k in ("key", "lo", "hi")])
+            cuts = np.flatnonzero((name[:, 1:] != name[:, :-1]).any(axis=0)) + 1
+            parts = [table.slice(a, b - a) for a, b in zip([0, *cuts], [*cuts, len(table)])]
+            for part in parts:
+                if held and any(held[-1].column(k)[0] != part.column(k)[0] for k in ("key", "lo", "hi")):
+                    yield compare(pa.concat_tables(held))
+                    held = []
+                held.append(part)
+        if held:
+            yield compare(pa.concat_tables(held))
+
+    return placed.mapInArrow(scan, "a bigint, b bigint").distinct()
+
+
 def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` of nodes whose sets are similar enough."""
 
@@ -199,7 +256,8 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, perce
     pairs = written(pairs.join(side("a"), "a").join(side("b"), "b").where(_may_link(percent)).select("a", "b"), "pairs")
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = nodes.join(ends, "node", "left_semi").select("node", "doc_id", "h2")
-    texts = docs.join(wanted.select(F.col("doc_id").alias("wanted")).distinct(), F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
+    ids = sized(written(wanted.select(F.col("doc_id").alias("wanted")).distinct(), "wanted-documents"))
+    texts = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
 
     def sets(batches):
         hashes = WordHashes()
@@ -266,9 +324,12 @@ def ngram_jaccard(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     tiles = rows.where("keys is not null").select(F.explode("keys").alias("key"), "row")
     shared = _shared(tiles.repartition("key").sortWithinPartitions("key"))
     named = rows.where("n_shingles > 0").select("row", "h1", "h2").join(nodes.select("h1", "h2", "node"), ["h1", "h2"])
-    shared = written(shared.join(named.select("row", "node"), "row").select("key", "node"), "shared-tiles")
-    low = shared.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("hi")).where("a < hi").select("key", "a")
-    members = written(shared.join(low, "key").select("key", "node", "a").distinct(), "tiles")
+    shared = written(shared.join(named.select("row", "node"), "row").select("key", "node").distinct(), "shared-tiles")
+    size = shared.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    members = shared.join(size, "key")
+    met = members.groupBy("node").agg(F.sum("size").alias("met"))
+    lead = members.join(met, "node").groupBy("key").agg(F.max_by("node", F.struct("met", -F.col("node"))).alias("a"))
+    members = written(members.join(lead, "key"), "tiles")
 
     involved = members.select("node").distinct()
     bits = rows.join(involved.withColumnRenamed("node", "row"), "row", "left_semi").select(F.col("row").alias("node"), "bits")
@@ -276,20 +337,17 @@ def ngram_jaccard(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
 
     # First round: each node with the node that leads most of its tiles.
     often = members.where("node <> a").groupBy("node", "a").agg(F.count(F.lit(1)).alias("times"))
-    first = often.groupBy("node").agg(F.max_by("a", F.struct("times", -F.col("a"))).alias("a")).select("a", F.col("node").alias("b"))
-    first = written(first, "first-pairs")
+    first = often.groupBy("node").agg(F.max_by("a", F.struct("times", -F.col("a"))).alias("a"))
+    first = written(first.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct(), "first-pairs")
     links = _verified(first, described, docs, n, percent)
     groups = written(connected_components(links), "components")
 
     # Second round: nodes that share a tile and are not connected yet.
     labelled = members.select("key", "node").join(groups.select("node", "component"), "node", "left")
     labelled = written(labelled.withColumn("component", F.coalesce("component", "node")), "labelled-tiles")
-    mixed = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-    mixed = written(labelled.join(mixed, "key"), "mixed-tiles")
-    x, y = (mixed.select("key", F.col("node").alias(s), F.col("component").alias(f"of_{s}")) for s in "ab")
-    pairs = x.join(y, "key").where("of_a < of_b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    pairs = pairs.join(first, ["a", "b"], "left_anti")
-    more = _verified(pairs, described, docs, n, percent)
+    mixed = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("size"))
+    mixed = labelled.join(mixed.where("lo < hi").select("key", "size"), "key").join(described.select("node", "n", "bits"), "node")
+    more = _verified(_bounded_pairs(mixed, percent).join(first, ["a", "b"], "left_anti"), described, docs, n, percent)
     groups = written(connected_components(links.union(more)), "components")
 
     # Smallest doc_id of each component, by way of the nodes.
