@@ -115,6 +115,25 @@ ORACLES: dict[str, str] = {
                CASE WHEN page_id <> target THEN target END AS refers_to
         FROM t
     """,
+    "op6_ngram_jaccard": r"""
+        WITH RECURSIVE w AS MATERIALIZED (
+            SELECT row_number() OVER () AS id, doc_id,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ), s AS MATERIALIZED (
+            SELECT id, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                ELSE list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] for i in range(1, len(w) - 1)]) END AS g
+            FROM w
+        ), t AS MATERIALIZED (SELECT id, unnest(g) AS t FROM s),
+        pairs AS MATERIALIZED (
+            SELECT a.id AS a, b.id AS b, count(*) AS shared FROM t a JOIN t b ON a.t = b.t AND a.id < b.id GROUP BY ALL
+        ), links AS MATERIALIZED (
+            SELECT a, b FROM pairs JOIN s x ON x.id = a JOIN s y ON y.id = b WHERE 100 * shared >= 90 * (len(x.g) + len(y.g) - shared)
+        ), edges AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+        reach AS (SELECT id AS a, id AS b FROM s UNION SELECT reach.a, edges.b FROM reach JOIN edges ON reach.b = edges.a)
+        SELECT x.doc_id, CAST(len(x.g) AS BIGINT) AS n_shingles, min(y.doc_id) AS component_id
+        FROM s x JOIN reach ON reach.a = x.id JOIN s y ON y.id = reach.b GROUP BY x.id, x.doc_id, x.g
+    """,
     "op9_chats": """
         WITH m AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
