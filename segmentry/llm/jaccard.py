@@ -15,7 +15,6 @@ of edited copies does, so groups of copies cost a pair per member, not all pairs
 from __future__ import annotations
 
 import math
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +24,8 @@ from pyspark.sql import functions as F
 from segmentry.functions.graph import connected_components
 from segmentry.llm.common import sized, text_or_empty, written
 
-#: 64-bit words of a bitmap.
-WORDS = 16
+#: Bits of a bitmap per shingle, at least; the number of bits is a power of two from ``LEAST_BITS`` on.
+DENSITY, LEAST_BITS = 8, 512
 RATIO = 1.5
 #: Rows of a block of one tile.
 BLOCK_ROWS = 1024
@@ -121,16 +120,34 @@ class Tiles:
         return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-def bitmap(shingles: np.ndarray) -> np.ndarray:
-    bits = np.zeros(WORDS * 64, bool)
-    bits[(shingles % np.uint64(WORDS * 64)).astype(np.int64)] = True
-    return np.packbits(bits, bitorder="little").view(np.int64)
+def bitmap(shingles: np.ndarray) -> bytes:
+    """Hashed bitmap whose width is that of the set; a wider one folds onto a narrower one."""
+    width = max(LEAST_BITS, 1 << (DENSITY * len(shingles) - 1).bit_length())
+    bits = np.zeros(width, bool)
+    bits[(shingles & np.uint64(width - 1)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def folded(bits: list[bytes]) -> np.ndarray:
+    """Bitmaps as rows of 64-bit words, all as wide as the narrowest."""
+    width = min(map(len, bits)) // 8
+    wide = (np.frombuffer(b, np.uint64) for b in bits)
+    return np.stack([b if len(b) == width else np.bitwise_or.reduce(b.reshape(-1, width)) for b in wide])
+
+
+def may_link(n: np.ndarray, m: np.ndarray, p: np.ndarray, q: np.ndarray, both: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of ``n`` and ``m`` shingles may link, with ``p`` and ``q`` bits set, ``both`` of them in common.
+
+    Each bit that only one has stands for at least one shingle that the other lacks.
+    """
+    most = np.minimum(n - p, m - q) + both
+    return (100 + percent) * most >= percent * (n + m)
 
 
 def _described(docs: DataFrame, n: int, percent: int) -> DataFrame:
     schema = pa.schema(
         [("doc_id", pa.int64()), ("text_key", pa.int64()), ("n_shingles", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64())]
-        + [("bits", pa.list_(pa.int64())), ("keys", pa.list_(pa.int64()))]
+        + [("bits", pa.binary()), ("keys", pa.list_(pa.int64()))]
     )
 
     def describe(batches):
@@ -151,7 +168,7 @@ def _described(docs: DataFrame, n: int, percent: int) -> DataFrame:
                     rows.append((doc_id, key, len(shingles), h1, h2, bitmap(shingles), tiles.keys(shingles).view(np.int64) if first else None))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
-    kinds = "doc_id bigint, text_key bigint, n_shingles bigint, h1 bigint, h2 bigint, bits array<bigint>, keys array<bigint>"
+    kinds = "doc_id bigint, text_key bigint, n_shingles bigint, h1 bigint, h2 bigint, bits binary, keys array<bigint>"
     return docs.mapInArrow(describe, kinds)
 
 
@@ -182,47 +199,65 @@ def _shared(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(scan, "key bigint, row bigint")
 
 
-def _may_link(percent: int):
-    """Size and bit counts of ``a`` and ``b`` allow an intersection that is large enough."""
+def _plausible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``(a, b)`` whose sizes and bit counts allow an intersection that is large enough."""
 
-    def only(x: str, y: str):
-        words = [F.bit_count(F.col(f"bits_{x}")[k].bitwiseAND(F.bitwise_not(F.col(f"bits_{y}")[k]))) for k in range(WORDS)]
-        return F.col(f"n_{x}") - reduce(lambda p, q: p + q, words)
+    def side(x: str) -> DataFrame:
+        return nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}"))
 
-    overlap = F.least(only("a", "b"), only("b", "a"))
-    return (F.lit(100 + percent) * overlap) >= F.lit(percent) * (F.col("n_a") + F.col("n_b"))
+    def bound(batches):
+        schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+        for batch in batches:
+            n, m = (batch.column(k).to_numpy() for k in (2, 3))
+            keep = np.zeros(len(n), bool)
+            for k, (x, y) in enumerate(zip(batch.column(4).to_pylist(), batch.column(5).to_pylist())):
+                two = folded([x, y])
+                p, q = np.bitwise_count(two).sum(axis=1, dtype=np.int64)
+                keep[k] = may_link(n[k], m[k], p, q, np.bitwise_count(two[0] & two[1]).sum(dtype=np.int64), percent)
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(keep)), batch.column(1).filter(pa.array(keep))], schema=schema)
 
+    joined = pairs.join(side("a"), "a").join(side("b"), "b")
+    joined = joined.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+    return joined.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(bound, "a bigint, b bigint")
 
-def _bounded_pairs(mixed: DataFrame, percent: int) -> DataFrame:
-    """``(a, b)`` of nodes in different components that share a tile and that size and bit counts allow to link.
 
-    A tile's rows are cut into blocks; each pair of blocks is a group of its own, compared as a whole, and only
-    the pairs that pass come out.
+def _bounded_pairs(mixed: DataFrame, percent: int, across: bool) -> DataFrame:
+    """``(a, b)`` of nodes with the same ``key`` but in different components that size and bit counts allow to link.
+
+    A key's rows are cut into blocks; each pair of blocks is a group of its own, compared as a whole, and only
+    the pairs that pass come out.  ``across`` leaves out the pairs of one family.
     """
     blocks = F.ceil(F.col("size") / BLOCK_ROWS).cast("int")
     placed = mixed.withColumn("mine", F.pmod(F.xxhash64("node"), blocks).cast("int"))
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     placed = placed.withColumns({"lo": F.least("mine", "other"), "hi": F.greatest("mine", "other")})
-    placed = placed.select("key", "lo", "hi", "mine", "node", "component", "n", "bits")
+    placed = placed.select("key", "lo", "hi", "mine", "node", "component", "family", "n", "bits")
     placed = placed.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "mine")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def compare(group: pa.Table):
-        mine, node, component, n = (group.column(k).to_numpy() for k in ("mine", "node", "component", "n"))
-        bits = group.column("bits").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(node), WORDS)
+        mine, node, component, family, n = (group.column(k).to_numpy() for k in ("mine", "node", "component", "family", "n"))
+        bits = folded(group.column("bits").to_pylist())
         full = np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
         lo, hi = (np.flatnonzero(mine == group.column(k)[0].as_py()) for k in ("lo", "hi"))
         found = [np.zeros((0, 2), np.int64)]
+        other = bits[hi].T.copy()
         for k in range(0, len(lo), 256):
             part = lo[k : k + 256]
-            both = np.zeros((len(part), len(hi)), np.int64)
-            for w in range(WORDS):
-                both += np.bitwise_count(bits[part, None, w] & bits[None, hi, w])
-            most = np.minimum((n - full)[part, None], (n - full)[None, hi]) + both
-            able = (100 + percent) * most >= percent * (n[part, None] + n[None, hi])
-            able &= component[part, None] != component[None, hi]
+            able = component[part, None] != component[None, hi]
+            able &= 100 * np.minimum(n[part, None], n[None, hi]) >= percent * np.maximum(n[part, None], n[None, hi])
+            if across:
+                able &= family[part, None] != family[None, hi]
+            rows, columns = np.flatnonzero(able.any(axis=1)), np.flatnonzero(able.any(axis=0))
+            if not len(rows):
+                continue
+            part, able, against = part[rows], able[np.ix_(rows, columns)], hi[columns]
+            both = np.zeros(able.shape, np.int32)
+            for w in range(bits.shape[1]):
+                both += np.bitwise_count(bits[part, w, None] & other[w, columns][None])
+            able &= may_link(n[part, None], n[None, against], full[part, None], full[None, against], both, percent)
             x, y = np.nonzero(able)
-            found.append(np.stack([node[part[x]], node[hi[y]]], axis=1))
+            found.append(np.stack([node[part[x]], node[against[y]]], axis=1))
         pairs = np.concatenate(found)
         pairs = np.unique(np.sort(pairs, axis=1), axis=0)
         return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=schema)
@@ -250,10 +285,7 @@ def _bounded_pairs(mixed: DataFrame, percent: int) -> DataFrame:
 def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` of nodes whose sets are similar enough."""
 
-    def side(x: str) -> DataFrame:
-        return nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}"))
-
-    pairs = written(pairs.join(side("a"), "a").join(side("b"), "b").where(_may_link(percent)).select("a", "b"), "pairs")
+    pairs = written(pairs, "pairs")
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = nodes.join(ends, "node", "left_semi").select("node", "doc_id", "h2")
     ids = sized(written(wanted.select(F.col("doc_id").alias("wanted")).distinct(), "wanted-documents"))
@@ -337,18 +369,30 @@ def ngram_jaccard(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
 
     # First round: each node with the node that leads most of its tiles.
     often = members.where("node <> a").groupBy("node", "a").agg(F.count(F.lit(1)).alias("times"))
-    first = often.groupBy("node").agg(F.max_by("a", F.struct("times", -F.col("a"))).alias("a"))
-    first = written(first.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct(), "first-pairs")
-    links = _verified(first, described, docs, n, percent)
+    family = written(often.groupBy("node").agg(F.max_by("a", F.struct("times", -F.col("a"))).alias("a")), "families")
+    first = written(family.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct(), "first-pairs")
+    links = _verified(_plausible(first, described, percent), described, docs, n, percent)
     groups = written(connected_components(links), "components")
 
-    # Second round: nodes that share a tile and are not connected yet.
-    labelled = members.select("key", "node").join(groups.select("node", "component"), "node", "left")
-    labelled = written(labelled.withColumn("component", F.coalesce("component", "node")), "labelled-tiles")
-    mixed = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("size"))
-    mixed = labelled.join(mixed.where("lo < hi").select("key", "size"), "key").join(described.select("node", "n", "bits"), "node")
-    more = _verified(_bounded_pairs(mixed, percent).join(first, ["a", "b"], "left_anti"), described, docs, n, percent)
-    groups = written(connected_components(links.union(more)), "components")
+    # Second round: nodes that share a tile and are not connected yet.  Those led by the same node are a family, which is
+    # compared once instead of in each of the tiles it shares; tiles are compared across families only.
+    of_node = described.join(groups.select("node", "component"), "node", "left").join(family, "node", "left")
+    of_node = of_node.select("node", F.coalesce("component", "node").alias("component"), F.coalesce("a", "node").alias("family"))
+    of_node = written(of_node, "placed-nodes")
+
+    def unsettled(rows: DataFrame, spread: str) -> DataFrame:
+        """Rows of the keys with more than one component and more than one ``spread``."""
+        ends = [f(c).alias(f"{f.__name__}_{c}") for c in {"component", spread} for f in (F.min, F.max)]
+        keys = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"), *ends)
+        keys = keys.where(f"min_component < max_component and min_{spread} < max_{spread}").select("key", "size")
+        return rows.join(keys, "key").join(described.select("node", "n", "bits"), "node")
+
+    within = unsettled(of_node.withColumn("key", F.col("family")), "component")
+    between = unsettled(written(members.select("key", "node").join(of_node, "node"), "placed-tiles"), "family")
+    pairs = _bounded_pairs(within, percent, False).union(_bounded_pairs(between, percent, True)).distinct()
+    more = _verified(pairs.join(first, ["a", "b"], "left_anti"), described, docs, n, percent)
+    if not more.isEmpty():
+        groups = written(connected_components(links.union(more)), "components")
 
     # Smallest doc_id of each component, by way of the nodes.
     placed = nodes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
