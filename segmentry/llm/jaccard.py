@@ -120,9 +120,9 @@ class Tiles:
         return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-def bitmap(shingles: np.ndarray) -> bytes:
-    """Hashed bitmap whose width is that of the set; a wider one folds onto a narrower one."""
-    width = max(LEAST_BITS, 1 << (DENSITY * len(shingles) - 1).bit_length())
+def bitmap(shingles: np.ndarray, width: int = 0) -> bytes:
+    """Hashed bitmap, as wide as its set unless a width is given; a wider one folds onto a narrower one."""
+    width = width or max(LEAST_BITS, 1 << (DENSITY * len(shingles) - 1).bit_length())
     bits = np.zeros(width, bool)
     bits[(shingles & np.uint64(width - 1)).astype(np.int64)] = True
     return np.packbits(bits, bitorder="little").tobytes()
@@ -147,7 +147,7 @@ def may_link(n: np.ndarray, m: np.ndarray, p: np.ndarray, q: np.ndarray, both: n
 def _described(docs: DataFrame, n: int, percent: int) -> DataFrame:
     schema = pa.schema(
         [("doc_id", pa.int64()), ("text_key", pa.int64()), ("n_shingles", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64())]
-        + [("bits", pa.binary()), ("keys", pa.list_(pa.int64()))]
+        + [("bits", pa.binary()), ("slim", pa.binary()), ("keys", pa.list_(pa.int64()))]
     )
 
     def describe(batches):
@@ -159,16 +159,17 @@ def _described(docs: DataFrame, n: int, percent: int) -> DataFrame:
                 for doc_id, text, key in zip(ids[k : k + 256], texts[k : k + 256], keys[k : k + 256]):
                     shingles = shingle_set(text, n, hashes)
                     if not len(shingles):
-                        rows.append((doc_id, key, 0, 0, 0, None, None))
+                        rows.append((doc_id, key, 0, 0, 0, None, None, None))
                         continue
                     with np.errstate(over="ignore"):
                         h1, h2 = (int(mix(shingles + np.uint64(k)).sum(dtype=np.uint64).view(np.int64)) for k in (1, 2))
                     first = h1 not in seen  # copies within a task bring their tiles once
                     seen.add(h1)
-                    rows.append((doc_id, key, len(shingles), h1, h2, bitmap(shingles), tiles.keys(shingles).view(np.int64) if first else None))
+                    keys_of = tiles.keys(shingles).view(np.int64) if first else None
+                    rows.append((doc_id, key, len(shingles), h1, h2, bitmap(shingles), bitmap(shingles, LEAST_BITS), keys_of))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
-    kinds = "doc_id bigint, text_key bigint, n_shingles bigint, h1 bigint, h2 bigint, bits binary, keys array<bigint>"
+    kinds = "doc_id bigint, text_key bigint, n_shingles bigint, h1 bigint, h2 bigint, bits binary, slim binary, keys array<bigint>"
     return docs.mapInArrow(describe, kinds)
 
 
@@ -364,7 +365,7 @@ def ngram_jaccard(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     members = written(members.join(lead, "key"), "tiles")
 
     involved = members.select("node").distinct()
-    bits = rows.join(involved.withColumnRenamed("node", "row"), "row", "left_semi").select(F.col("row").alias("node"), "bits")
+    bits = rows.join(involved.withColumnRenamed("node", "row"), "row", "left_semi").select(F.col("row").alias("node"), "bits", "slim")
     described = written(nodes.join(bits, "node"), "described-nodes")
 
     # First round: each node with the node that leads most of its tiles.
@@ -380,16 +381,18 @@ def ngram_jaccard(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     of_node = of_node.select("node", F.coalesce("component", "node").alias("component"), F.coalesce("a", "node").alias("family"))
     of_node = written(of_node, "placed-nodes")
 
-    def unsettled(rows: DataFrame, spread: str) -> DataFrame:
-        """Rows of the keys with more than one component and more than one ``spread``."""
+    def unsettled(rows: DataFrame, spread: str, bits: str) -> DataFrame:
+        """Rows of the keys with more than one component and more than one ``spread``, with their bitmaps."""
         ends = [f(c).alias(f"{f.__name__}_{c}") for c in {"component", spread} for f in (F.min, F.max)]
         keys = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"), *ends)
         keys = keys.where(f"min_component < max_component and min_{spread} < max_{spread}").select("key", "size")
-        return rows.join(keys, "key").join(described.select("node", "n", "bits"), "node")
+        return rows.join(keys, "key").join(described.select("node", "n", F.col(bits).alias("bits")), "node")
 
-    within = unsettled(of_node.withColumn("key", F.col("family")), "component")
-    between = unsettled(written(members.select("key", "node").join(of_node, "node"), "placed-tiles"), "family")
-    pairs = _bounded_pairs(within, percent, False).union(_bounded_pairs(between, percent, True)).distinct()
+    within = unsettled(of_node.withColumn("key", F.col("family")), "component", "bits")
+    between = unsettled(written(members.select("key", "node").join(of_node, "node"), "placed-tiles"), "family", "slim")
+    # Rows of tiles are many and carry the narrow bitmaps only; their pairs are bounded by the wide ones after that.
+    across = written(_bounded_pairs(between, percent, True).join(first, ["a", "b"], "left_anti"), "pairs-across")
+    pairs = _bounded_pairs(within, percent, False).union(_plausible(across, described, percent)).distinct()
     more = _verified(pairs.join(first, ["a", "b"], "left_anti"), described, docs, n, percent)
     if not more.isEmpty():
         groups = written(connected_components(links.union(more)), "components")
