@@ -198,6 +198,20 @@ def test_revealing_terms(spark):
     assert out[0]["spans"].startswith("term:5:10,term:11:17,email:21:36")
 
 
+def test_terms_near_an_entity_of_one_text(spark):
+    """The production parameters: one text names the nurse with the address, and another one of it has her far away."""
+    common = [f"call about case number {i} with the form today" for i in range(2000)]
+    lone = "call nurse Gladys at gladys@ward.org about case number 7"
+    far = "Zoltan " + "call about case number " * 30 + "at zoltan@ward.org"
+    near = "call Zoltan at zoltan@ward.org about case number 8"
+    docs = spark.createDataFrame(list(enumerate([*common, lone, far, near])), "doc_id bigint, text string")
+    terms, _ = revealing_terms(docs, generalise=0.93)
+    assert {r["term"]: r["disclosure"] for r in terms.collect()} == pytest.approx({"gladys": 1.0, "nurse": 1.0, "zoltan": 1.0})
+    many = docs.union(spark.range(10_000, 30_000).selectExpr("id", "concat('call about the form ', id)"))
+    out = {r["doc_id"]: r["sanitised"] for r in sanitise(many).where("doc_id in (0, 2000)").collect()}
+    assert out == {0: common[0], 2000: "call   at [EMAIL] about case number 7"}
+
+
 def test_found_data_rows(spark):
     rows = [(1, "a@b.co", "x"), (1, "a@b.co", "x"), (None, None, "y"), (2, "", "z"), (3, "ü " * 20_000 + "1.2.3.4", None)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, spans string")
