@@ -1,13 +1,13 @@
 """Benchmark decontamination by template canonicalisation, with DataFrame functions only.
 
 Numbers, names and units become typed placeholders.  Windows of the template are hashed and joined with
-those of the benchmark items; where enough windows meet, the values in the placeholders must map consistently,
-so that a question asked anew with other numbers is found and mere sentence patterns are not.
+those of the benchmark items; where enough windows meet, the values in the placeholders must map consistently within
+an occurrence, so that a question asked anew with other numbers is found and mere sentence patterns are not.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from segmentry.llm.common import sized, text_or_empty, written
@@ -90,7 +90,7 @@ def contaminated(
     """``(doc_id, text_key, item_id, windows, item_windows, slots, consistent)`` for each row of ``docs`` that holds an item.
 
     ``docs`` has ``doc_id, text``, ``benchmark`` has ``item_id, text``.  A row is contaminated by an item if enough of the
-    item's windows are in it and the placeholder values agree; exact copies agree always.  Null and empty
+    item's windows are in one occurrence and its placeholder values agree, so other copies in the text change nothing.  Null and empty
     texts hold nothing and are held by nothing, a text shorter than a window is one window, rows may repeat
     (each is reported), and a null ``doc_id`` is reported as such.  Items with less than ``literal`` words besides placeholders in every
     window are not looked for.  Other columns are ignored; an empty table on either side gives no rows.
@@ -110,26 +110,42 @@ def contaminated(
     enough = F.least(F.lit(matched), F.ceil(F.lit(covered) * F.col("item_windows")))
     counts = written(counts.where(F.col("windows") >= enough), "covered-items")
 
+    # Occurrences: the windows of one alignment; those that follow each other in text and item, which words put in or left
+    # out may shift; and all.  An item that repeats itself meets its repeats, so its best alignment counts at each place.
+    item = ["key", "item_id"]
+    lined = found.join(counts.select(*item), item).withColumn("shift", F.col("pos") - F.col("at"))
+    lined = lined.withColumn("alike", F.count(F.lit(1)).over(Window.partitionBy(*item, "shift")))
+    rank = F.row_number().over(Window.partitionBy(*item, "pos").orderBy(F.desc("alike"), "shift"))
+    lined = written(lined.withColumn("rank", rank), "aligned-windows")
+    follows = Window.partitionBy(*item).orderBy("pos")
+    runs = lined.where("rank = 1").withColumn("again", F.coalesce(F.col("at") <= F.lag("at").over(follows), F.lit(False)).cast("bigint"))
+    runs = runs.select(*item, "pos", "at", F.lit("run").alias("by"), F.sum("again").over(follows).alias("nth"))
+    single = F.struct(F.lit("shift").alias("by"), F.col("shift").cast("bigint").alias("nth"))
+    whole = F.struct(F.lit("text").alias("by"), F.lit(0).cast("bigint").alias("nth"))
+    placed = written(lined.select(*item, "pos", "at", F.inline(F.array(single, whole))).union(runs), "placed-windows")
+    one = [*item, "by", "nth"]
+    counts = counts.withColumnRenamed("windows", "of_text")
+    times = placed.groupBy(*one).agg(F.count_distinct("at").alias("windows")).join(counts, item)
+    times = written(times.where(F.col("windows") >= enough).drop("of_text"), "occurrences")
+
     # Placeholder values of the matched windows, of the texts concerned only.
-    spans = found.join(counts.select("key", "item_id"), ["key", "item_id"]).join(slots, "item_id")
-    spans = spans.where((slots["at"] >= found["at"]) & (slots["at"] < found["at"] + size))
-    spans = spans.select("key", "item_id", "kind", "value", (F.col("pos") + slots["at"] - found["at"]).alias("pos")).distinct()
+    spans = placed.join(times.select(*one), one).join(slots, "item_id")
+    spans = spans.where((slots["at"] >= placed["at"]) & (slots["at"] < placed["at"] + size))
+    spans = spans.select(*one, "kind", "value", (F.col("pos") + slots["at"] - placed["at"]).alias("pos")).distinct()
     raw = texts.join(spans.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"])
     raw = raw.select("key", F.posexplode(tokens(marked(F.col("text")))).alias("pos", "theirs"))
-    pairs = spans.join(raw, ["key", "pos"]).groupBy("key", "item_id", "kind", "value", "theirs").agg(F.count(F.lit(1)).alias("n"))
-    # Of the occurrences of an item's value, those that have its most frequent counterpart agree.
-    each = pairs.groupBy("key", "item_id", "kind", "value").agg(F.sum("n").alias("n"), F.max("n").alias("most"))
-    agreed = each.groupBy("key", "item_id").agg(F.sum("n").alias("slots"), (F.sum("most") / F.sum("n")).alias("consistent"))
-
-    held = counts.join(agreed, ["key", "item_id"], "left").select(
-        "key",
-        "item_id",
-        "windows",
-        "item_windows",
-        F.coalesce("slots", F.lit(0)).cast("bigint").alias("slots"),
-        F.coalesce("consistent", F.lit(1.0)).alias("consistent"),
-    )
-    held = written(held.where(F.col("consistent") >= consistent), "held-items")
+    pairs = spans.join(raw, ["key", "pos"]).groupBy(*one, "kind", "value", "theirs").agg(F.count(F.lit(1)).alias("n"))
+    # Of the places of an item's value, those that have its most frequent counterpart agree.
+    each = pairs.groupBy(*one, "kind", "value").agg(F.sum("n").alias("n"), F.max("n").alias("most"))
+    agreed = each.groupBy(*one).agg(F.sum("n").alias("slots"), (F.sum("most") / F.sum("n")).alias("consistent"))
+
+    # The occurrence with most windows of those that agree.
+    held = times.join(agreed, one, "left")
+    held = held.withColumn("slots", F.coalesce("slots", F.lit(0)).cast("bigint")).withColumn("consistent", F.coalesce("consistent", F.lit(1.0)))
+    held = held.where(F.col("consistent") >= consistent).groupBy(*item, "item_windows")
+    held = held.agg(F.max(F.struct("windows", "slots", "consistent")).alias("best"))
+    held = held.select(*item, "best.windows", "item_windows", "best.slots", "best.consistent")
+    held = written(held, "held-items")
     ids = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text_or_empty()).alias("key"))
     return ids.join(held, "key").withColumnRenamed("key", "text_key")
 

@@ -256,6 +256,26 @@ def test_templates_catch_other_numbers_names_and_units(spark):
     assert contaminated(docs.limit(0), benchmark).count() == 0 and contaminated(docs, benchmark.limit(0)).count() == 0
 
 
+def test_each_occurrence_is_consistent_in_itself(spark):
+    """A copy beside copies with other numbers, and items that repeat their template."""
+    asked = [ITEM.replace("9", str(k)).replace("120", str(7 * k)).replace("3 red", f"{k + 20} red") for k in range(30, 36)]
+    line = "Then add {} cups of the fine white flour and stir"
+    item = " ".join(line.format(k) for k in range(11, 17))
+    items = spark.createDataFrame([(1, ITEM), (2, item)], "item_id bigint, text string")
+    far = " filler" * 50 + ". "
+    texts = [
+        ITEM + far + asked[0],
+        far.join(asked),
+        "Say " + item + far,
+        # A word put in shifts the rest.
+        far.join(t.replace("before", "long before") for t in asked),
+        ITEM[: len(ITEM) // 3],
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {(r["doc_id"], r["item_id"]): r["consistent"] for r in contaminated(docs, items).collect()}
+    assert got == {(0, 1): 1.0, (1, 1): 1.0, (2, 2): 1.0, (3, 1): 1.0}
+
+
 def test_planted_items_and_nothing_else(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     items = spark.read.parquet(f"{SF_DIR}/benchmark.parquet")
