@@ -57,25 +57,54 @@ def _spaced_signs(text: Column) -> Column:
     return F.when(text.rlike(r"\d"), F.regexp_replace(text, r"(\d)[ ]?([%€£°])", "$1 unit")).otherwise(text)
 
 
-def _windows(words: str, size: int) -> Column:
+def _windows(words: str, size: int, *kind: Column) -> Column:
     """Hash of the ``size`` tokens from every position; one window if there are fewer tokens, none without any."""
     last = F.greatest(F.size(words) - size, F.lit(0))
-    whole = F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(*(F.get(F.col(words), i + k) for k in range(size))))
+    whole = F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(*kind, *(F.get(F.col(words), i + k) for k in range(size))))
     return F.when(F.size(words) > 0, whole).otherwise(F.array().cast("array<bigint>"))
 
 
-def item_windows(benchmark: DataFrame, size: int = WINDOW, literal: int = LITERAL) -> tuple[DataFrame, DataFrame]:
-    """``(hash, item_id, at)`` of the items' windows, and ``(item_id, at, kind, value)`` of their placeholders."""
+def _unmarked(raw: Column) -> Column:
+    """Tokens alike within a sentence and at its beginning."""
+    return F.transform(raw, lambda t: F.translate(t, NAME, ""))
+
+
+def _other_windows(words: str, width: int) -> Column:
+    """Windows of another kind than the templates of the common size: their hashes meet their like only."""
+    return _windows(words, width, F.lit(f"{words} {width}"))
+
+
+def item_windows(benchmark: DataFrame, size: int = WINDOW, literal: int = LITERAL) -> tuple[DataFrame, DataFrame, list[tuple[str, int]]]:
+    """``(hash, item_id, at)`` of the items' windows, ``(item_id, at, kind, value)`` of their placeholders, and other windows to make.
+
+    An item shorter than a window is a window of its length.  Items of which one template window or none has enough words
+    are also looked for as they are written (``plain``).  The list has the column and length of these windows.
+    """
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), _spaced_signs(text_or_empty()).alias("text")).distinct()
     items = items.select("item_id", marked(F.col("text")).alias("marked"))
     items = items.select("item_id", tokens(F.col("marked")).alias("raw"), tokens(templated(F.col("marked"))).alias("words"))
-    items = written(items, "benchmark-templates")
     kinds = [NUMBER, NAME, UNIT]
-    whole = items.select("item_id", "words", F.posexplode(_windows("words", size)).alias("at", "hash"))
-    plain = F.size(F.filter(F.slice("words", F.col("at") + 1, size), lambda t: ~t.isin(*kinds)))
-    windows = written(whole.where(plain >= literal).select("hash", "item_id", "at").distinct(), "benchmark-windows")
-    slots = items.select("item_id", "raw", F.posexplode("words").alias("at", "kind")).where(F.col("kind").isin(*kinds))
-    return windows, written(slots.select("item_id", "at", "kind", F.get("raw", F.col("at")).alias("value")), "benchmark-slots")
+    last = F.greatest(F.size("words") - size, F.lit(0))
+    literals = lambda i: F.size(F.filter(F.slice("words", i + 1, size), lambda t: ~t.isin(*kinds)))
+    rich = F.when(F.size("words") > 0, F.filter(F.sequence(F.lit(0), last), lambda i: literals(i) >= literal))
+    items = items.select("item_id", "raw", "words", _unmarked(F.col("raw")).alias("plain"), F.coalesce(rich, F.array().cast("array<int>")).alias("rich"))
+    items = written(items.where(F.size("words") > 0), "benchmark-templates")
+
+    width = F.least(F.size("words"), F.lit(size))
+    other = items.select("rich", F.size("words").alias("n"), width.alias("width"))
+    short = other.where((F.col("n") < size) & (F.size("rich") > 0)).select(F.lit("words"), "width")
+    plain = other.where(F.size("rich") < 2).select(F.lit("plain"), "width")
+    others = sorted(map(tuple, short.union(plain).distinct().collect()))  # two kinds, lengths up to that of a window
+
+    found = items.where(F.size("words") >= size).select("item_id", "rich", F.posexplode(_windows("words", size)).alias("at", "hash"))
+    found = found.where(F.array_contains("rich", F.col("at"))).select("hash", "item_id", "at")
+    for kind, k in others:
+        chosen = (F.size("rich") > 0) & (F.size("words") < size) if kind == "words" else F.size("rich") < 2
+        more = items.where(chosen & (width == k)).select("item_id", F.posexplode(_other_windows(kind, k)).alias("at", "hash"))
+        found = found.union(more.select("hash", "item_id", "at"))
+    windows = written(found.distinct(), "benchmark-windows")
+    slots = items.select("item_id", "plain", F.posexplode("words").alias("at", "kind")).where(F.col("kind").isin(*kinds))
+    return windows, written(slots.select("item_id", "at", "kind", F.get("plain", F.col("at")).alias("value")), "benchmark-slots"), others
 
 
 def contaminated(
@@ -91,11 +120,10 @@ def contaminated(
 
     ``docs`` has ``doc_id, text``, ``benchmark`` has ``item_id, text``.  A row is contaminated by an item if enough of the
     item's windows are in one occurrence and its placeholder values agree, so other copies in the text change nothing.  Null and empty
-    texts hold nothing and are held by nothing, a text shorter than a window is one window, rows may repeat
-    (each is reported), and a null ``doc_id`` is reported as such.  Items with less than ``literal`` words besides placeholders in every
-    window are not looked for.  Other columns are ignored; an empty table on either side gives no rows.
+    texts hold nothing and are held by nothing, rows may repeat (each is reported), and a null ``doc_id`` is reported as
+    such.  Items with less than ``literal`` words besides placeholders in every window are looked for as they are written.  Other columns are ignored; an empty table on either side gives no rows.
     """
-    windows, slots = item_windows(benchmark, size, literal)
+    windows, slots, others = item_windows(benchmark, size, literal)
     of_item = windows.groupBy("item_id").agg(F.count_distinct("at").alias("item_windows"))
     if windows.count() <= BROADCAST_WINDOWS:
         windows = F.broadcast(windows)
@@ -103,6 +131,11 @@ def contaminated(
     texts = docs.select(F.xxhash64(text_or_empty()).alias("key"), _spaced_signs(text_or_empty()).alias("text"))
     words = texts.select("key", tokens(templated(marked(F.col("text")))).alias("words"))
     found = words.select("key", F.posexplode(_windows("words", size)).alias("pos", "hash"))
+    if others:
+        raw = texts.select("key", tokens(marked(F.col("text"))).alias("raw"), tokens(templated(marked(F.col("text")))).alias("words"))
+        raw = raw.select("key", "words", _unmarked(F.col("raw")).alias("plain"))
+        each = [F.transform(_other_windows(*o), lambda h, i: F.struct(i.alias("pos"), h.alias("hash"))) for o in others]
+        found = found.union(raw.select("key", F.inline(F.flatten(F.array(*each)))))
     found = written(found.join(windows, "hash").select("key", "pos", "item_id", "at").distinct(), "window-matches")
 
     # Enough windows of the item?
@@ -133,7 +166,7 @@ def contaminated(
     spans = spans.where((slots["at"] >= placed["at"]) & (slots["at"] < placed["at"] + size))
     spans = spans.select(*one, "kind", "value", (F.col("pos") + slots["at"] - placed["at"]).alias("pos")).distinct()
     raw = texts.join(spans.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"])
-    raw = raw.select("key", F.posexplode(tokens(marked(F.col("text")))).alias("pos", "theirs"))
+    raw = raw.select("key", F.posexplode(_unmarked(tokens(marked(F.col("text"))))).alias("pos", "theirs"))
     pairs = spans.join(raw, ["key", "pos"]).groupBy(*one, "kind", "value", "theirs").agg(F.count(F.lit(1)).alias("n"))
     # Of the places of an item's value, those that have its most frequent counterpart agree.
     each = pairs.groupBy(*one, "kind", "value").agg(F.sum("n").alias("n"), F.max("n").alias("most"))

@@ -276,6 +276,27 @@ def test_each_occurrence_is_consistent_in_itself(spark):
     assert got == {(0, 1): 1.0, (1, 1): 1.0, (2, 2): 1.0, (3, 1): 1.0}
 
 
+def test_short_items_and_items_of_placeholders(spark):
+    items = {1: "What is the capital of France?", 2: "12 + 30 = ?", 3: "Add 3 kg, 4 kg, 5 kg, 6 kg, 7 kg and 8 kg", 4: "Name two", 5: "Which planet is the largest we ever saw"}
+    benchmark = spark.createDataFrame(list(items.items()), "item_id bigint, text string")
+    texts = {
+        1: "The quiz began. What is the capital of France? Nobody knew it.",
+        2: "then somebody asked What is the capital of Spain and left the room again",
+        3: "we were told that 12 + 30 = 42 in the end of all this",
+        4: "first Add 3 kg, 4 kg, 5 kg, 6 kg, 7 kg and 8 kg to the other side of the scale",
+        5: "first Add 9 kg, 1 kg, 2 kg, 3 kg, 4 kg and 5 kg to the other side of the scale, it was 12 and 31",
+        6: "they asked Which planet is the largest we ever saw and nobody replied",
+        7: "what is the name of the capital",
+        8: "Name two",
+        9: "",
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in contaminated(docs, benchmark).collect()}
+    assert got - {(2, 1)} == {(1, 1), (3, 2), (4, 3), (6, 5), (8, 4)}
+    said = docs.withColumn("text", F.regexp_replace("text", "asked What", "asked what"))
+    assert (2, 1) in {(r["doc_id"], r["item_id"]) for r in contaminated(said, benchmark).collect()}
+
+
 def test_planted_items_and_nothing_else(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     items = spark.read.parquet(f"{SF_DIR}/benchmark.parquet")
