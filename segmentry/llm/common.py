@@ -62,10 +62,13 @@ def write_bytes(rows: DataFrame, folder: str) -> None:
     rows.select(F.col("value").cast("string").alias("value")).write.text(folder)
 
 
-#: Rows of keys that are broadcast at most (16 to 32 bytes each).
-BROADCAST_ROWS = 2_000_000
+#: Bytes of rows that are broadcast at most.
+BROADCAST_BYTES = 32 << 20
 
 
 def sized(keys: DataFrame) -> DataFrame:
-    """Narrow written rows, broadcast if they are counted to be at most ``BROADCAST_ROWS``; else joined by shuffle."""
-    return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
+    """Written rows, broadcast if they are summed up to be at most ``BROADCAST_BYTES``; else joined by shuffle."""
+    wide = [F.coalesce(F.octet_length(F.col(c)), F.lit(0)) for c, kind in keys.dtypes if kind in ("string", "binary")]
+    width = sum(wide, F.lit(16 * len(keys.columns)))
+    size = keys.agg(F.sum(width.cast("bigint"))).first()[0] or 0
+    return F.broadcast(keys) if size <= BROADCAST_BYTES else keys

@@ -88,6 +88,18 @@ def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"))
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segmentry.llm.divergence import source_divergence
+
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
+def op13_whole_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segmentry.llm.minslack import pack_whole
+
+    return pack_whole(table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
+
+
 QUERIES = {
     "pipeline": run,
     "op1_spot_signatures": op1_spot_signatures,
@@ -101,6 +113,8 @@ QUERIES = {
     "op8_benchmark_templates": op8_benchmark_templates,
     "op9_chats": op9_chats,
     "op10_token_files": op10_token_files,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_whole_packing": op13_whole_packing,
 }
 
 ORACLES: dict[str, str] = {
@@ -151,6 +165,46 @@ ORACLES: dict[str, str] = {
                CAST(sum(length(named) + length(written) + 24) AS BIGINT) AS formatted_chars
         FROM w GROUP BY conv_id
     """,
+    "op12_source_divergence": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   unnest([NULL] || regexp_extract_all(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM documents
+        ), counts AS MATERIALIZED (
+            SELECT lang, source, term, count(*) AS n, count(DISTINCT id) AS texts FROM d GROUP BY ALL
+        ), terms AS MATERIALIZED (
+            SELECT lang, term, sum(n) AS n_lang FROM counts WHERE term IS NOT NULL GROUP BY ALL HAVING sum(texts) >= 3
+        ), langs AS (SELECT lang, count(*) AS v, sum(n_lang) AS total_lang FROM terms GROUP BY ALL),
+        groups AS (SELECT DISTINCT lang, source FROM counts),
+        dense AS MATERIALIZED (
+            SELECT g.lang, g.source, t.term, coalesce(c.n, 0) AS n, t.n_lang
+            FROM groups g JOIN terms t ON t.lang = g.lang
+            LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = t.term
+        ), totals AS (SELECT lang, source, sum(n) AS total FROM dense GROUP BY ALL),
+        shares AS MATERIALIZED (
+            SELECT d.lang, d.source, d.term, d.n,
+                   1 + CAST(1000000000 AS HUGEINT) * (d.n + 1) // CAST(t.total + l.v AS HUGEINT) AS p,
+                   1 + CAST(1000000000 AS HUGEINT) * (d.n_lang + 1) // CAST(l.total_lang + l.v AS HUGEINT) AS q
+            FROM dense d JOIN totals t ON t.lang = d.lang AND t.source = d.source JOIN langs l ON l.lang = d.lang
+        ), pairs AS (
+            SELECT a.lang, a.source, b.source AS item, CAST(sum((a.p - b.p) * (a.p - b.p) // b.p) AS BIGINT) AS value
+            FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+        ), every_pair AS (
+            SELECT a.lang, a.source, b.source AS item, coalesce(p.value, 0) AS value
+            FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+        ), ranked AS (
+            SELECT lang, source, 'pair' AS part, item, value,
+                   row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM every_pair
+            UNION ALL
+            SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // q AS BIGINT),
+                   row_number() OVER (PARTITION BY lang, source ORDER BY (p - q) * (p - q) // q DESC, term) AS rank
+            FROM shares WHERE n > 0 AND p > q
+        )
+        SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rank <= 200
+    """,
 }
 
 if ORACLE_SQL is not None:

@@ -26,14 +26,21 @@ class PieceEncoder:
 
     The ids of a piece come from the tokenizer and are kept for its next occurrence.  Beyond
     ``max_pieces``, the pieces that were met only once are forgotten, then all.  Strings of
-    special tokens in a text are ordinary text.
+    added tokens in a text become their ids, as the library does by default, unless ``plain``:
+    then they are ordinary text.
     """
 
-    def __init__(self, path: str, max_pieces: int = 600_000):
+    def __init__(self, path: str, max_pieces: int = 600_000, plain: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = True  # of pieces, which hold no such strings unless they are plain
+        self.added = None
+        if not plain:
+            strings = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+            # A text that may hold one, whatever the normalizer does to case, is left to the library as a whole.
+            self.added = re.compile("|".join(map(re.escape, strings)), re.IGNORECASE) if strings else None
+            self.whole = Tokenizer.from_file(path)
         self.max_pieces = max_pieces
         self.letters = self._letters()
         self._keep([], np.zeros(0, np.uint32), np.zeros(0, np.int64))
@@ -125,6 +132,10 @@ class PieceEncoder:
             pieces, ends, chars = [], [], 0
 
         for text in texts:
+            if self.added and self.added.search(text):
+                flush()
+                out.append(np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint32))
+                continue
             if len(text) > SEGMENT:
                 flush()
                 out.append(self._long(text))
@@ -147,9 +158,9 @@ class PieceEncoder:
         return np.concatenate(parts)
 
 
-def encoder(path: str) -> PieceEncoder:
+def encoder(path: str, plain: bool = False) -> PieceEncoder:
     """The encoder of this worker process; later tasks of the process find the pieces it has kept."""
     kept = sys.__dict__.setdefault("_segmentry_encoders", {})
-    if path not in kept:
-        kept[path] = PieceEncoder(path)
-    return kept[path]
+    if (path, plain) not in kept:
+        kept[path, plain] = PieceEncoder(path, plain=plain)
+    return kept[path, plain]

@@ -21,20 +21,22 @@ ODD = [
 ]
 
 
-def plain(path, text):
+def plain(path, text, special=False):
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
+    t.encode_special_tokens = special
     return t.encode(text, add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("path", [BYTE, WORD])
 @pytest.mark.parametrize("segment", [1 << 20, 50])
-def test_pieces_encode_as_whole_texts_do(path, segment, monkeypatch):
+@pytest.mark.parametrize("special", [False, True])
+def test_pieces_encode_as_whole_texts_do(path, segment, special, monkeypatch):
     monkeypatch.setattr(tokens, "SEGMENT", segment)
-    encoder = PieceEncoder(path, max_pieces=30)
+    encoder = PieceEncoder(path, max_pieces=30, plain=special)
+    odd = [*ODD, "Hello<|endoftext|>x", "<|STARTOFTEXT|> <|startoftext|>a<|EndOfText|>", "<|endoftext|>"]
     for _ in range(2):
-        for text, ids in zip(ODD, encoder.encode(ODD)):
-            assert ids.tolist() == plain(path, text), text[:40]
+        for text, ids in zip(odd, encoder.encode(odd)):
+            assert ids.tolist() == plain(path, text, special), text[:40]
 
 
 def edge_rows(spark):
