@@ -88,6 +88,13 @@ def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segmentry.llm.alignment import align
+
+    found = align(table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"), _vocabulary("piece_bpe_32k.model"))
+    return found.drop("n_shared")
+
+
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     from segmentry.llm.divergence import source_divergence
 
@@ -113,6 +120,7 @@ QUERIES = {
     "op8_benchmark_templates": op8_benchmark_templates,
     "op9_chats": op9_chats,
     "op10_token_files": op10_token_files,
+    "op11_token_alignment": op11_token_alignment,
     "op12_source_divergence": op12_source_divergence,
     "op13_whole_packing": op13_whole_packing,
 }
