@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from urllib.parse import unquote, urlparse
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +24,31 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+_PASSING: ContextVar[list[str] | None] = ContextVar("passing", default=None)
+
+
+@contextmanager
+def passing_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables that are ``written`` inside are removed at the end, but those that are asked to stay.
+
+    Whatever is to be read later has to be written to a table that stays before the end.
+    """
+    paths: list[str] = []
+    outer = _PASSING.set(paths)
+    try:
+        yield
+    finally:
+        _PASSING.reset(outer)
+        remove(spark, paths)
+
+
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def written(df: DataFrame, name: str, folder: str | None = None, stays: bool = False) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read again.
 
     Cuts the lineage: a lost executor costs a re-read.  As a file scan, the result has
@@ -29,6 +56,8 @@ def written(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     path = folder or shared_folder(spark, name)
+    if not stays and _PASSING.get() is not None:
+        _PASSING.get().append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

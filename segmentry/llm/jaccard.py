@@ -1,11 +1,13 @@
 """Exact Jaccard join of word n-gram sets in size-banded tiles, with bitmap bounds before exact intersection.
 
 Sets fall into geometric size bands.  Within the tile of a band, two sets above the threshold
-differ in at most ``H`` shingles, so that of more than ``H`` hash ranges at least one holds the same
-shingles in both: tiles are keyed by ``(band, range, hash of the shingles in the range)``.  Only sets
+differ in at most ``H`` shingles, so that of ``H + 1 + spare`` hash ranges at least ``spare + 1`` hold the same
+shingles in both: tiles are keyed by ``(band, range, hash of the shingles in the range)``.  As there are
+``spare`` more than needed, each set leaves its ``spare`` most frequent tiles: empty ranges, then those that the most
+sets share.  The rarest tile that two such sets share is left by neither.  Only sets
 that share a tile are compared: by size, by the bit counts of hashed bitmaps (an upper bound of
 the overlap), and last by exact intersection of the sorted arrays.  No pair above the threshold is
-lost, up to collisions of 64-bit hashes.
+lost, up to collisions of the hashes.
 
 Pairs are tried in two rounds: every set with the set that leads most of its tiles, then whatever shares
 a tile without being connected yet.  A tile is led by the set that meets the most others, as the original
@@ -18,15 +20,20 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from segmentry.functions.graph import connected_components
-from segmentry.llm.common import sized, text_or_empty, written
+from segmentry.llm.common import passing_tables, remove, shared_folder, sized, text_or_empty, written
 
-#: Bits of a bitmap per shingle, at least; the number of bits is a power of two from ``LEAST_BITS`` on.
-DENSITY, LEAST_BITS = 8, 512
+#: Bits of a bitmap per shingle, at least, and of the narrower one that rows of tiles carry; the number of bits is
+#: a power of two from ``LEAST_BITS`` on.
+DENSITY, SLIM, LEAST_BITS = 8, 2, 512
 RATIO = 1.5
+#: Tiles beyond those that are needed, as a share of them: as many frequent ones are left.
+SPARE = 0.25
+#: The band of a tile is in the low bits of its key.
+BAND_BITS = 6
 #: Rows of a block of one tile.
 BLOCK_ROWS = 1024
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15))
@@ -81,29 +88,29 @@ class Tiles:
         return int(np.searchsorted(self.edges, size, "right")) - 1
 
     def _cut(self, band: int) -> tuple[np.ndarray, int]:
-        """Bounds of the hash ranges of a band, and how many empty ones a set may leave out."""
+        """Bounds of the hash ranges of a band, and how many tiles a set may leave."""
         if band not in self.ranges:
             largest = self.edges[band + 1] - 1
             differ = 2 * largest * (100 - self.percent) // (100 + self.percent)
             k, spare = differ + 1, 0
             if differ:
-                empty = k * math.exp(-largest / 1.2 / k)
-                spare = math.ceil(empty + 3 * math.sqrt(empty))
+                spare = int(SPARE * differ)
+                empty = (k + spare) * math.exp(-largest / 1.2 / (k + spare))
+                spare += math.ceil(empty + 3 * math.sqrt(empty))
                 k += spare
             bounds = np.array([(i << 64) // k for i in range(1, k)], np.uint64)
             self.ranges[band] = bounds, spare
         return self.ranges[band]
 
-    def keys(self, shingles: np.ndarray) -> np.ndarray:
-        """Equal keys for every tile that two sets share.
+    def keys(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Equal keys for every tile that two sets share; ``(band, tiles it may still leave)`` in a row per band.
 
-        Ranges that are empty in a set are left out as long as they are at most the spare ones:
-        then, of the ranges that are not empty in it, more than ``H`` remain.
+        Empty ranges are the most frequent tiles, so the first of them are the first to be left.
         """
         size = len(shingles)
         own = self._band(size)
         total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(shingles))])
-        out = []
+        out, left = [], []
         band = own
         while band == own or 100 * size >= self.percent * self.edges[band]:
             self._band(self.edges[band])  # the band's end is known from here on
@@ -112,17 +119,21 @@ class Tiles:
                 at = np.concatenate([[0], np.searchsorted(shingles, bounds), [size]])
                 content = total[at[1:]] - total[at[:-1]]
                 part = np.arange(len(content), dtype=np.uint64)
-                filled = at[1:] > at[:-1]
-                if len(content) - filled.sum() <= spare:
-                    content, part = content[filled], part[filled]
-                out.append(mix(mix(content + part * _MIX[2]) + np.uint64(band + 1)))
+                empty = np.flatnonzero(at[1:] == at[:-1])
+                stays = np.ones(len(content), bool)
+                stays[empty[:spare]] = False
+                key = mix(mix(content[stays] + part[stays] * _MIX[2]) + np.uint64(band + 1))
+                in_band = band % (1 << BAND_BITS)
+                out.append(key >> np.uint64(BAND_BITS) << np.uint64(BAND_BITS) | np.uint64(in_band))
+                left.append((in_band, max(0, spare - len(empty))))
             band += 1
-        return np.concatenate(out) if out else np.zeros(0, np.uint64)
+        keys = np.concatenate(out) if out else np.zeros(0, np.uint64)
+        return keys, np.array(left, np.int64).reshape(-1, 2)
 
 
-def bitmap(shingles: np.ndarray, width: int = 0) -> bytes:
-    """Hashed bitmap, as wide as its set unless a width is given; a wider one folds onto a narrower one."""
-    width = width or max(LEAST_BITS, 1 << (DENSITY * len(shingles) - 1).bit_length())
+def bitmap(shingles: np.ndarray, density: int = DENSITY) -> bytes:
+    """Hashed bitmap, as wide as its set asks for; a wider one folds onto a narrower one."""
+    width = max(LEAST_BITS, 1 << (density * len(shingles) - 1).bit_length())
     bits = np.zeros(width, bool)
     bits[(shingles & np.uint64(width - 1)).astype(np.int64)] = True
     return np.packbits(bits, bitorder="little").tobytes()
@@ -147,7 +158,7 @@ def may_link(n: np.ndarray, m: np.ndarray, p: np.ndarray, q: np.ndarray, both: n
 def _described(docs: DataFrame, n: int, percent: int) -> DataFrame:
     schema = pa.schema(
         [("doc_id", pa.int64()), ("text_key", pa.int64()), ("n_shingles", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64())]
-        + [("bits", pa.binary()), ("slim", pa.binary()), ("keys", pa.list_(pa.int64()))]
+        + [("bits", pa.binary()), ("slim", pa.binary()), ("keys", pa.list_(pa.int64())), ("spare", pa.map_(pa.int64(), pa.int64()))]
     )
 
     def describe(batches):
@@ -159,17 +170,20 @@ def _described(docs: DataFrame, n: int, percent: int) -> DataFrame:
                 for doc_id, text, key in zip(ids[k : k + 256], texts[k : k + 256], keys[k : k + 256]):
                     shingles = shingle_set(text, n, hashes)
                     if not len(shingles):
-                        rows.append((doc_id, key, 0, 0, 0, None, None, None))
+                        rows.append((doc_id, key, 0, 0, 0, None, None, None, None))
                         continue
                     with np.errstate(over="ignore"):
                         h1, h2 = (int(mix(shingles + np.uint64(k)).sum(dtype=np.uint64).view(np.int64)) for k in (1, 2))
                     first = h1 not in seen  # copies within a task bring their tiles once
                     seen.add(h1)
-                    keys_of = tiles.keys(shingles).view(np.int64) if first else None
-                    rows.append((doc_id, key, len(shingles), h1, h2, bitmap(shingles), bitmap(shingles, LEAST_BITS), keys_of))
+                    keys_of, spare = tiles.keys(shingles) if first else (None, None)
+                    keys_of, spare = (keys_of.view(np.int64), [tuple(x) for x in spare.tolist()]) if first else (None, None)
+                    slim = bitmap(shingles, SLIM)
+                    rows.append((doc_id, key, len(shingles), h1, h2, bitmap(shingles), slim, keys_of, spare))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
-    kinds = "doc_id bigint, text_key bigint, n_shingles bigint, h1 bigint, h2 bigint, bits binary, slim binary, keys array<bigint>"
+    kinds = "doc_id bigint, text_key bigint, n_shingles bigint, h1 bigint, h2 bigint, bits binary, slim binary, keys array<bigint>, "
+    kinds += "spare map<bigint,bigint>"
     return docs.mapInArrow(describe, kinds)
 
 
@@ -345,7 +359,27 @@ def ngram_jaccard(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     number of the component (null without shingles).
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"), F.xxhash64(text_or_empty()).alias("text_key"))
-    rows = written(_described(docs, n, percent).withColumn("row", F.monotonically_increasing_id()), "shingle-sets")
+    with passing_tables(docs.sparkSession):
+        return written(_joined(docs, n, percent), "ngram-components", stays=True)
+
+
+def _rarest(shared: DataFrame) -> DataFrame:
+    """``(key, node, size)`` of the tiles ``(key, node, spare)`` that sets do not leave and that others share."""
+
+    def sized_tiles(rows: DataFrame) -> DataFrame:
+        return rows.join(rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "key")
+
+    band = F.col("key").bitwiseAND((1 << BAND_BITS) - 1).alias("band")
+    often = Window.partitionBy("node", "band").orderBy(F.desc("size"), "key")
+    ranked = sized_tiles(shared).withColumn("band", band).withColumn("at", F.row_number().over(often))
+    return sized_tiles(ranked.where(F.col("at") > F.col("spare")).select("key", "node"))
+
+
+def _joined(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    spark = docs.sparkSession
+    path = shared_folder(spark, "shingle-sets")
+    full = written(_described(docs, n, percent).withColumn("row", F.monotonically_increasing_id()), "shingle-sets", path)
+    rows = written(full.select("doc_id", "text_key", "n_shingles", "h1", "h2", "row"), "described-rows")
 
     # A node stands for all rows with the same set.
     nodes = (
@@ -354,19 +388,20 @@ def ngram_jaccard(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
         .agg(F.min("row").alias("node"), F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"))
     )
     nodes = written(nodes, "nodes")
-    tiles = rows.where("keys is not null").select(F.explode("keys").alias("key"), "row")
+    tiles = full.where("keys is not null").select(F.explode("keys").alias("key"), "row")
     shared = _shared(tiles.repartition("key").sortWithinPartitions("key"))
-    named = rows.where("n_shingles > 0").select("row", "h1", "h2").join(nodes.select("h1", "h2", "node"), ["h1", "h2"])
-    shared = written(shared.join(named.select("row", "node"), "row").select("key", "node").distinct(), "shared-tiles")
-    size = shared.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    members = shared.join(size, "key")
+    named = full.where("keys is not null").select("row", "h1", "h2", "spare").join(nodes.select("h1", "h2", "node"), ["h1", "h2"])
+    spare = F.col("spare")[F.col("key").bitwiseAND((1 << BAND_BITS) - 1)].alias("spare")
+    shared = shared.join(named.select("row", "node", "spare"), "row").select("key", "node", spare)
+    members = written(_rarest(written(shared.distinct(), "shared-tiles")), "rarest-tiles")
     met = members.groupBy("node").agg(F.sum("size").alias("met"))
     lead = members.join(met, "node").groupBy("key").agg(F.max_by("node", F.struct("met", -F.col("node"))).alias("a"))
     members = written(members.join(lead, "key"), "tiles")
 
     involved = members.select("node").distinct()
-    bits = rows.join(involved.withColumnRenamed("node", "row"), "row", "left_semi").select(F.col("row").alias("node"), "bits", "slim")
+    bits = full.join(involved.withColumnRenamed("node", "row"), "row", "left_semi").select(F.col("row").alias("node"), "bits", "slim")
     described = written(nodes.join(bits, "node"), "described-nodes")
+    remove(spark, [path])  # the widest table; nothing below reads it
 
     # First round: each node with the node that leads most of its tiles.
     often = members.where("node <> a").groupBy("node", "a").agg(F.count(F.lit(1)).alias("times"))

@@ -75,8 +75,16 @@ def test_ngram_jaccard(spark, family, n, percent, block, monkeypatch):
     assert got == {i: (len(s), want[i]) for i, s in sets.items()}
 
 
+def rarest_tiles(tiles, shingles, often):
+    """The tiles that a set keeps when each leaves its most frequent ones; ``often`` says how frequent a key is."""
+    keys, spare = tiles.keys(shingles)
+    band = keys & np.uint64((1 << jaccard.BAND_BITS) - 1)
+    assert set(band.tolist()) <= set(spare[:, 0].tolist())
+    return {k for b, n in spare.tolist() for k in sorted(keys[band == b].tolist(), key=lambda k: (-often(k), k))[n:]}
+
+
 @pytest.mark.parametrize("percent", [60, 80, 90, 95])
-def test_sets_above_the_threshold_share_a_tile(percent):
+def test_sets_above_the_threshold_keep_a_tile_in_common(percent):
     rng, tiles = np.random.default_rng(percent), Tiles(percent)
     for size in [1, 2, 5, 9, 10, 19, 20, 21, 60, 200, 1500]:
         for _ in range(40):
@@ -91,7 +99,9 @@ def test_sets_above_the_threshold_share_a_tile(percent):
             a, b = np.sort(a), np.sort(b)
             both = len(np.intersect1d(a, b))
             if 100 * both >= percent * (len(a) + len(b) - both) and len(np.setxor1d(a, b)):
-                assert len(np.intersect1d(tiles.keys(a), tiles.keys(b))), (len(a), len(b), both)
+                shared = set(tiles.keys(a)[0].tolist()) & set(tiles.keys(b)[0].tolist())
+                for often in (lambda k: 0, lambda k: k % 7, shared.__contains__):
+                    assert rarest_tiles(tiles, a, often) & rarest_tiles(tiles, b, often), (len(a), len(b), both)
 
 
 def test_shingles_of_odd_texts():
@@ -132,6 +142,20 @@ def test_second_round_finds_links_between_copies_of_copies(spark):
     assert got == set(brute_components(pairs, ids.values()).values())
 
 
+def test_a_passage_in_many_different_texts(spark, monkeypatch):
+    """Texts that share a passage of 50 words and nothing else: hardly any tile of theirs is compared."""
+    rng = np.random.default_rng(12)
+    passage = " ".join(words(rng, 50, 10_000))
+    texts = [" ".join(words(rng, int(n), 50_000)) + " " + passage for n in rng.integers(120, 400, 5_000)]
+    texts += [texts[0] + " end", texts[1] + " end"]
+    found = []
+    bounded = jaccard._bounded_pairs
+    monkeypatch.setattr(jaccard, "_bounded_pairs", lambda *a: (found.append(x := bounded(*a).persist()), x)[1])
+    rows = ngram_jaccard(rows_of(spark, texts)).groupBy("component_id").count()
+    assert sorted(r["count"] for r in rows.collect())[-3:] == [1, 2, 2]
+    assert sum(x.count() for x in found) < 5_000
+
+
 def test_streamed_groups(spark):
     rows = [(1, 1), (2, 2), (2, 3), (3, 4), (4, 5), (4, 6), (4, 7), (9, 8), (9, 9)]
     df = spark.createDataFrame(rows, "key bigint, row bigint").coalesce(1).sortWithinPartitions("key")
