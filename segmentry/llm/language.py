@@ -23,6 +23,8 @@ BUCKETS = 1 << 16
 UNKNOWN = "und"
 #: Neighbouring n-grams overlap; the text's log likelihood is divided by this.
 OVERLAP = 3.0
+#: A language is learnt if at least this share of the texts with a language are in it.
+LEAST_SHARE = 1 / 256
 #: Texts that a host or domain is worth beyond its own count.
 HOST_WEIGHT, DOMAIN_WEIGHT = 20.0, 50.0
 #: Weight of the even share in the declared and suffix tables.
@@ -62,9 +64,13 @@ class TextModel:
         return n, total / OVERLAP
 
 
-def fit_text_model(docs: DataFrame) -> TextModel:
-    """From all of ``docs(text, lang)`` with a language.  Each task adds up its counts; the driver
-    gets one number per language and bucket."""
+def fit_text_model(docs: DataFrame, least_share: float = LEAST_SHARE) -> TextModel:
+    """From all of ``docs(text, lang)`` whose language is that of at least ``least_share`` of them; other columns are ignored.
+
+    So there are at most ``1 / least_share`` languages, however many values ``lang`` has; the rest is ``und`` to the model.
+    Each task adds up its counts; the driver gets one number per language and bucket.  Null texts and
+    languages are left out, and an empty table gives a model without languages.
+    """
     schema = pa.schema([("lang", pa.string()), ("bucket", pa.int64()), ("n", pa.int64())])
 
     def count(batches):
@@ -80,6 +86,9 @@ def fit_text_model(docs: DataFrame) -> TextModel:
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(used), pa.string()), pa.array(used), pa.array(table[used])], schema=schema)
 
     rows = docs.where("lang is not null and text is not null").select("lang", "text")
+    each = written(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "texts-of-languages")
+    enough = (each.agg(F.sum("n")).first()[0] or 0) * least_share
+    rows = rows.join(F.broadcast(each.where(F.col("n") >= enough).select("lang")), "lang", "left_semi")
     rows = rows.mapInArrow(count, "lang string, bucket bigint, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     counts: dict[str, np.ndarray] = {}
     for lang, bucket, n in rows.toLocalIterator():

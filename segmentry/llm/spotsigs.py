@@ -1,7 +1,8 @@
 """Document fingerprints by spot signatures, with DataFrame functions only.
 
 Common words are anchors.  The chain of the next content words after an anchor, or after the beginning of
-the text, is a signature; the sorted set of their hashes is the fingerprint.  Sets are partitioned by length,
+the text, is a signature, and so is every chain between anchors that are further apart, so that no part of a text is
+left out, whatever its language; the sorted set of their hashes is the fingerprint.  Sets are partitioned by length,
 as sets whose lengths differ too much can't be alike, and compared by Jaccard similarity.
 """
 
@@ -48,11 +49,16 @@ def _any_of(words: list[str]) -> str:
 
 
 def chains(text: Column, anchors: list[str] = ANCHORS, length: int = CHAIN) -> Column:
-    """The chains of a text as strings, ``_`` before words that follow an anchor."""
+    """The chains of a text as strings, ``_`` before words that follow an anchor.
+
+    One begins at each anchor, and one at every further word that ``length - 1`` others follow before the next anchor.
+    """
     plain = F.concat(F.lit(" "), F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "), F.lit(" "))
     spots = F.regexp_replace(plain, f"(?<= ){_any_of(sorted(set(anchors)))} ", "_")
     spots = F.concat(F.lit("_"), F.trim(spots))
-    return F.regexp_extract_all(spots, F.lit(f"_++(?=([^ _]++(?: [^ ]+){{0,{length - 1}}}))"), F.lit(1))
+    after_anchors = F.regexp_extract_all(spots, F.lit(f"_++(?=([^ _]++(?: [^ ]+){{0,{length - 1}}}))"), F.lit(1))
+    between = F.regexp_extract_all(spots, F.lit(f"(?<= )(?=([^ _]++(?: [^ _]++){{{length - 1}}}))"), F.lit(1))
+    return F.concat(after_anchors, between)
 
 
 def with_signatures(df: DataFrame, text: str, out: str, anchors: list[str] = ANCHORS, length: int = CHAIN) -> DataFrame:

@@ -3,6 +3,7 @@
 import gzip
 import hashlib
 import io
+import re
 import zipfile
 
 import numpy as np
@@ -11,7 +12,8 @@ from pyspark.sql import functions as F
 
 from segmentry.llm import warc
 from segmentry.llm.chat import PART, as_parts, digests, format_chats, read_chats
-from segmentry.llm.language import TextModel, fit_text_model, identified, identify, ngrams, of_documents, of_pages
+from segmentry.llm.language import DOMAIN_WEIGHT, EVEN, HOST_WEIGHT, LEAST_NGRAMS, TextModel, fit_text_model, identified, identify, ngrams
+from segmentry.llm.language import of_documents, of_pages
 from segmentry.llm.quality import STATISTICS, classify, described, fit, held_out, statistics
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -152,6 +154,59 @@ def test_documents_and_pages(spark, model):
     assert np.mean([r["language"] == r["lang"] for r in got]) > 0.95
 
 
+def brute_fusion(items, model):
+    """Language and confidence of each row by dictionaries and numpy, and what the text alone shows."""
+    k, names = len(model.languages), [*model.languages, "und"]
+    rows = []
+    for r in items:
+        n, like = model.likelihoods(r["text"] or "")
+        told = re.match(r"\s*([A-Za-z]+)", r["declared"] or "")
+        rows.append((n, like, int(like.argmax()), told[1].lower() if told else None, r["suffix"], r["domain"], r["host"]))
+    sure = [r for r in rows if r[0] >= LEAST_NGRAMS and r[2] < k]
+    count = lambda test: np.bincount([r[2] for r in sure if test(r)], minlength=k).astype(float)
+    totals = count(lambda r: True)
+    even = (totals + 1) / (totals.sum() + k)
+    out = []
+    for n, like, shown, told, suffix, domain, host in rows:
+        prior = even
+        if domain is not None and any(r[5] == domain for r in sure):
+            of_domain = count(lambda r, d=domain: r[5] == d)
+            prior = (of_domain + DOMAIN_WEIGHT * even) / (of_domain.sum() + DOMAIN_WEIGHT)
+        if host is not None and any((r[5], r[6]) == (domain, host) for r in sure):
+            of_host = count(lambda r, d=domain, h=host: (r[5], r[6]) == (d, h))
+            prior = (of_host + HOST_WEIGHT * prior) / (of_host.sum() + HOST_WEIGHT)
+        fused = like[:k] + np.log(prior)
+        for at, value in ((3, told), (4, suffix)):
+            if value is not None and any(r[at] == value for r in sure):
+                fused = fused + np.log((count(lambda r, a=at, v=value: r[a] == v) + EVEN) / (totals + EVEN * (k + 1)))
+        kept = n > 0 and like[:k].max() >= like[k]
+        best = int(fused.argmax())
+        out.append((names[best] if kept else "und", 1 / np.exp(fused - fused[best]).sum() if kept else 0.0, names[shown] if n else "und", kept))
+    return out
+
+
+def test_fusion_equals_brute_force_and_hidden_languages_are_found(spark, model):
+    """All pages; those with an id divisible by 4 do not show their declared language, and are judged by the rest."""
+    items = of_pages(table(spark, "pages")).withColumn("truth", F.lower("declared"))
+    hidden = F.col("page_id") % 4 == 0
+    items = items.withColumn("declared", F.when(~hidden, F.col("declared"))).persist()
+    rows = items.orderBy("page_id").collect()
+    got = identify(items, model).orderBy("page_id").collect()
+    for row, r, (language, confidence, shown, kept) in zip(rows, got, brute_fusion(rows, model), strict=True):
+        assert (r["language"], r["text_language"], r["keep"]) == (language, shown, kept), row["url"]
+        assert r["confidence"] == pytest.approx(confidence, abs=1e-6)
+    judged = [(r["truth"], g["language"]) for r, g in zip(rows, got) if r["page_id"] % 4 == 0 and r["truth"]]
+    assert len(judged) >= 5 and np.mean([a == b for a, b in judged]) >= 0.9
+
+
+def test_rare_languages_are_not_learnt(spark):
+    rows = [(i, "some English words of a text", "en") for i in range(300)] + [(400 + i, "mot", f"x{i}") for i in range(30)] + [(900, None, "fr")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, lang string").withColumn("n", F.lit("clash"))
+    assert fit_text_model(docs, 0.01).languages == ["en"]
+    assert len(fit_text_model(docs, 0.0).languages) == 31
+    assert fit_text_model(docs.limit(0)).languages == []
+
+
 def test_evidence_decides_what_the_text_leaves_open(spark):
     """Two languages of equal likelihood: the host's other texts, and the declared language, tip the scale."""
     weights = np.full((1 << 16, 3), -5.0)

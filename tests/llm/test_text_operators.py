@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from segmentry.llm import jaccard, spotsigs
+from segmentry.llm import jaccard, pii, spotsigs
 from segmentry.llm.decontaminate import contaminated, decontaminated
 from segmentry.llm.jaccard import Tiles, WordHashes, ngram_jaccard, one_of_each, shingle_set
 from segmentry.llm.pii import KINDS, base_spans, found_data, masked, revealing_terms, sanitise, without_data
@@ -236,6 +236,13 @@ def test_terms_near_an_entity_of_one_text(spark):
     assert out == {0: common[0], 2000: "call   at [EMAIL] about case number 7"}
 
 
+def test_words_beside_an_entity_whatever_their_length():
+    text = "one two " + "x" * 500 + " three four five six seven eight nine - " + "1" * 900 + " a@b.co " + "y" * 300 + " after"
+    near = pii._beside(text, pii.base_spans(text))
+    assert near == [{"two", "x" * 500, "three", "four", "five", "six", "seven", "eight", "nine", "y" * 300, "after"} - {"two"}]
+    assert pii._beside("a@b.co", [(0, 6, "email")]) == [set()]
+
+
 def test_found_data_rows(spark):
     rows = [(1, "a@b.co", "x"), (1, "a@b.co", "x"), (None, None, "y"), (2, "", "z"), (3, "ü " * 20_000 + "1.2.3.4", None)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, spans string")
@@ -341,9 +348,23 @@ def brute_signatures(text):
         after = at == 0 or (k and low[k - 1] in anchors)
         if after:
             out.add(tuple(w for w, _ in content[at : at + spotsigs.CHAIN]))
+    between = " ".join("|" if w in anchors else w for w in low).split("|")
+    for part in (p.split() for p in between):
+        out |= {tuple(part[k : k + spotsigs.CHAIN]) for k in range(1, len(part) - spotsigs.CHAIN + 1)}
     return out
 
 
+def test_every_part_of_a_text_without_anchors_counts(spark):
+    rng = np.random.default_rng(4)
+    scripts = ["".join(chr(c) for c in range(a, a + 30)) for a in (0x430, 0x5D0, 0x4E00, 0x905)]
+    texts = [" ".join("".join(rng.choice(list(s), 4)) for _ in range(60)) for s in scripts]
+    texts += [" ".join([*t.split()[:-2], "другое"]) for t in texts]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = edited_likeness(docs).collect()
+    assert len({r["fingerprint"] for r in got}) == len(texts)
+    assert all(r["near_edited"] < 0.7 for r in got)
+
+
 def test_edited_likeness(spark):
     base = "the cat sat on the mat and the dog ran to a house of stone by the old river in summer"
     rows = [(1, base), (2048, base), (5000, "und der Mann geht in die Stadt für ein Brot " * 30), (5000, "of the"), (7, "!?"), (9, None), (10, ""), (None, "x y")]
