@@ -48,6 +48,10 @@ def remove(spark: SparkSession, paths: list[str]) -> None:
         place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+#: Has Spark remove the shuffle files of a query when it ends; a written table needs them no more.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, name: str, folder: str | None = None, stays: bool = False) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read again.
 
@@ -58,7 +62,12 @@ def written(df: DataFrame, name: str, folder: str | None = None, stays: bool = F
     path = folder or shared_folder(spark, name)
     if not stays and _PASSING.get() is not None:
         _PASSING.get().append(path)
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

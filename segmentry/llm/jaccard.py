@@ -389,7 +389,7 @@ def _joined(docs: DataFrame, n: int, percent: int) -> DataFrame:
     )
     nodes = written(nodes, "nodes")
     tiles = full.where("keys is not null").select(F.explode("keys").alias("key"), "row")
-    shared = _shared(tiles.repartition("key").sortWithinPartitions("key"))
+    shared = written(_shared(tiles.repartition("key").sortWithinPartitions("key")), "shared-rows")
     named = full.where("keys is not null").select("row", "h1", "h2", "spare").join(nodes.select("h1", "h2", "node"), ["h1", "h2"])
     spare = F.col("spare")[F.col("key").bitwiseAND((1 << BAND_BITS) - 1)].alias("spare")
     shared = shared.join(named.select("row", "node", "spare"), "row").select("key", "node", spare)
