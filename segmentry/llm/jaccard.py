@@ -49,7 +49,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """64-bit hashes of words, kept for repeated words up to ``most`` of them."""
 
-    most = 500_000
+    most = 200_000
 
     def __missing__(self, word: bytes) -> int:
         import xxhash

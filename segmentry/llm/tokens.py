@@ -40,7 +40,6 @@ class PieceEncoder:
             strings = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
             # A text that may hold one, whatever the normalizer does to case, is left to the library as a whole.
             self.added = re.compile("|".join(map(re.escape, strings)), re.IGNORECASE) if strings else None
-            self.whole = Tokenizer.from_file(path)
         self.max_pieces = max_pieces
         self.letters = self._letters()
         self._keep([], np.zeros(0, np.uint32), np.zeros(0, np.int64))
@@ -134,7 +133,7 @@ class PieceEncoder:
         for text in texts:
             if self.added and self.added.search(text):
                 flush()
-                out.append(np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint32))
+                out.append(self._as_given(text))
                 continue
             if len(text) > SEGMENT:
                 flush()
@@ -148,6 +147,14 @@ class PieceEncoder:
         flush()
         return out
 
+    def _as_given(self, text: str) -> np.ndarray:
+        """A text that may hold strings of added tokens."""
+        self.tokenizer.encode_special_tokens = False
+        try:
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+        finally:
+            self.tokenizer.encode_special_tokens = True
+
     def _long(self, text: str) -> np.ndarray:
         parts, at = [], 0
         while at < len(text):
