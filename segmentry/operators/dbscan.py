@@ -15,16 +15,18 @@ from __future__ import annotations
 import math
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segmentry.functions.graph import connected_components, dense_codes
 from segmentry.functions.ranks import ValueCounts, lookup_join
 from segmentry.functions.vectors import matrix, row_chunks, squared_distances, within
+from segmentry.operators.neighbours import lowest_within
 from segmentry.session import materialize
 
 HOME_ROWS = 4_096
@@ -144,6 +146,28 @@ def _neighbour_weights(eps: float):
     return count
 
 
+def _merged(label: np.ndarray, near: np.ndarray) -> np.ndarray:
+    """Component labels after all columns that share a row of ``near`` are joined; a component is its lowest label."""
+    if not len(near):
+        return label
+    rows, columns = np.nonzero(near)
+    codes = np.unique(label)
+    at = np.searchsorted(codes, label)
+    ends = np.unique(rows * len(codes) + at[columns])  # rows by components, each once
+    rows, of = np.divmod(ends, len(codes))
+    starts = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
+    root = np.arange(len(codes))
+    while True:
+        lowest = np.repeat(np.minimum.reduceat(root[of], starts), np.diff(np.append(starts, len(of))))
+        new = root.copy()
+        np.minimum.at(new, of, lowest)
+        np.minimum.at(new, root[of], lowest)
+        new = new[new]
+        if (new == root).all():
+            return codes[root[at]]
+        root = new
+
+
 def _local_links(eps: float):
     """Star edges of the core points joined inside a group, and the cores next to border points."""
 
@@ -154,28 +178,22 @@ def _local_links(eps: float):
         x, y = _stack(homes), _stack(others)
         home_ids, other_ids, core = homes["id"].to_numpy(), others["id"].to_numpy(), homes["core"].to_numpy(bool)
         # Local component of every candidate core; a home core merges those it touches.
-        label, first, touched = np.arange(len(y)), np.full(len(x), -1), {}
+        label, first, touched = np.arange(len(y)), np.full(len(x), -1), []
         for part in row_chunks(len(x), len(y)):
             near = within(x[part], y, eps)
-            for row, i in enumerate(range(part.start, part.stop)):
-                reached = np.flatnonzero(near[row])
-                if not len(reached):
-                    continue
-                first[i] = reached[0]
-                if not core[i]:
-                    touched[i] = reached  # fewer than min_samples of them
-                    continue
-                seen = label[reached]
-                if (seen != seen[0]).any():
-                    label[np.isin(label, np.unique(seen))] = seen.min()
+            any_near = near.any(axis=1)
+            first[part] = np.where(any_near, near.argmax(axis=1), -1)
+            rows, reached = np.nonzero(near & ~core[part, None])
+            touched.append((rows + part.start, reached))  # fewer than min_samples of each border point
+            label = _merged(label, near[core[part] & any_near])
         lowest = pd.Series(other_ids).groupby(label).transform("min").to_numpy()
         joined = np.flatnonzero(core & (first >= 0))
         a, b, border = [other_ids, home_ids[joined]], [lowest, lowest[first[joined]]], [len(y) + len(joined), 0]
-        for i, reached in touched.items():
-            components = np.unique(lowest[reached])
-            a.append(np.full(len(components), home_ids[i]))
-            b.append(components)
-            border[1] += len(components)
+        rows, reached = (np.concatenate(c) for c in zip(*touched))
+        beside = np.unique(np.stack([rows, np.searchsorted(np.unique(lowest), lowest[reached])]), axis=1)
+        a.append(home_ids[beside[0]])
+        b.append(np.unique(lowest)[beside[1]])
+        border[1] = beside.shape[1]
         border = [np.repeat([False, True], border)]
         return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b), "border": np.concatenate(border)})
 
@@ -193,6 +211,26 @@ def _cluster_numbers(links: DataFrame) -> DataFrame:
     return dense_codes(components, "component", "cluster", "node").select(F.col("node").alias("b"), "cluster")
 
 
+@dataclass(frozen=True)
+class DbscanModel:
+    """Core points ``(id, features, cluster)``, one per distinct vector, and the radius they reach."""
+
+    core: DataFrame
+    eps: float
+
+    def assign(self, df: DataFrame) -> DataFrame:
+        """``(id, cluster)``: the lowest-numbered cluster with a core point within ``eps``, else -1."""
+        found = lowest_within(self.core, df, self.eps, "cluster")
+        return df.select("id").join(found, "id", "left").fillna(-1, ["cluster"])
+
+    def save(self, path: str) -> None:
+        self.core.withColumn("eps", F.lit(self.eps)).write.mode("overwrite").parquet(path)
+
+    @staticmethod
+    def load(spark: SparkSession, path: str, eps: float) -> DbscanModel:
+        return DbscanModel(spark.read.parquet(path).drop("eps"), eps)
+
+
 def dbscan(df: DataFrame, eps: float, min_samples: int) -> DataFrame:
     """``(id, cluster)`` for ``(id, features)``; -1 is noise.
 
@@ -200,6 +238,11 @@ def dbscan(df: DataFrame, eps: float, min_samples: int) -> DataFrame:
     core.  Clusters are numbered by their smallest core id, and a border point
     takes the lowest-numbered cluster it touches.
     """
+    return fit_dbscan(df, eps, min_samples)[0]
+
+
+def fit_dbscan(df: DataFrame, eps: float, min_samples: int) -> tuple[DataFrame, DbscanModel]:
+    """The labels of ``dbscan`` and what it takes to place new rows."""
     counts = distinct_points(df)
     id_type = dict(df.dtypes)["id"]
     points = counts.table.select("id", F.col("value").alias("features"), F.col("ties").alias("weight"))
@@ -221,10 +264,10 @@ def dbscan(df: DataFrame, eps: float, min_samples: int) -> DataFrame:
     numbers = _cluster_numbers(links)
     labels = links.join(numbers, "b").groupBy(F.col("a").alias("id")).agg(F.min("cluster").alias("cluster"))
     coded = flagged.select("id").join(labels, "id", "left").fillna(-1, ["cluster"])
+    model = DbscanModel(flagged.where("core").select("id", "features").join(labels, "id"), eps)
     if counts.distinct == counts.rows:
-        return coded
+        return coded, model
     # Copies take the label of their vector; a vector holding many rows does not meet in one task.
     by_value = counts.table.join(coded, "id").select("value", "ties", "cluster")
-    return lookup_join(df.select("id", "features"), F.col("features"), counts, by_value, "cluster", F.col("id")).select(
-        "id", "cluster"
-    )
+    found = lookup_join(df.select("id", "features"), F.col("features"), counts, by_value, "cluster", F.col("id"))
+    return found.select("id", "cluster"), model

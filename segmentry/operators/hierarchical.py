@@ -1,17 +1,132 @@
-"""Hierarchical clustering from the top down: bisecting K-means."""
+"""Hierarchical clustering: from the top down by bisecting K-means, from the bottom up in rounds of merges."""
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import BisectingKMeans
+from collections.abc import Iterator
+
+from pyspark.ml.clustering import BisectingKMeans, BisectingKMeansModel
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from segmentry import settings
+from segmentry.functions.graph import connected_components
+from segmentry.functions.vectors import squared_distance
+from segmentry.operators.neighbours import knn_edges
+from segmentry.session import RoundTables, materialize
 
+LINKAGES = ("ward", "average", "complete", "single")
+#: Neighbours that a point may merge with.
+NEIGHBOURS = 10
 
-def bisecting(df: DataFrame, k: int = settings.DEFAULT_K, seed: int = settings.SEED) -> DataFrame:
-    """``(id, cluster)`` by Spark ML's top-down bisecting K-means."""
+
+def fit_bisecting(df: DataFrame, k: int = settings.DEFAULT_K, seed: int = settings.SEED) -> BisectingKMeansModel:
+    """Spark ML's tree of splits over ``(id, features)``."""
+    rows = df.select(array_to_vector("features").alias("_vector")).persist()
+    try:
+        return BisectingKMeans(k=k, seed=seed, featuresCol="_vector", predictionCol="cluster").fit(rows)
+    finally:
+        rows.unpersist()
+
+
+def predict_bisecting(model: BisectingKMeansModel, df: DataFrame) -> DataFrame:
+    """``(id, cluster)``."""
     rows = df.withColumn("_vector", array_to_vector("features"))
-    model = BisectingKMeans(k=k, seed=seed, featuresCol="_vector", predictionCol="cluster").fit(rows)
+    model = model.copy().setFeaturesCol("_vector").setPredictionCol("cluster")
     return model.transform(rows).select("id", F.col("cluster").cast("int").alias("cluster"))
+
+
+def bisecting(df: DataFrame, k: int = settings.DEFAULT_K, seed: int = settings.SEED) -> DataFrame:
+    """``(id, cluster)`` by top-down bisecting K-means."""
+    return predict_bisecting(fit_bisecting(df, k, seed), df)
+
+
+def _ward(n_a: str, n_b: str, a: str, b: str) -> Column:
+    """How far a merge of two clusters is, by the growth of squared distances to the centre; of two points, their distance."""
+    grown = 2 * F.col(n_a) * F.col(n_b) / (F.col(n_a) + F.col(n_b))
+    return F.sqrt(grown * squared_distance(F.col(a), F.col(b)))
+
+
+def _graph(points: DataFrame, neighbours: int) -> DataFrame:
+    """``(a, b, low, high, total, n)``: undirected edges of the nearest-neighbour graph."""
+    edges = knn_edges(points, neighbours).select(F.least("id", "neighbour").alias("a"), F.greatest("id", "neighbour").alias("b"), "distance")
+    d = F.col("distance")
+    return edges.distinct().select("a", "b", d.alias("low"), d.alias("high"), d.alias("total"), F.lit(1).cast("bigint").alias("n"))
+
+
+def merge_rounds(points: DataFrame, linkage: str = "ward", neighbours: int = NEIGHBOURS) -> DataFrame:
+    """The dendrogram of ``(id, features)`` as a table ``(round, kept, gone, height, size)``, one row per merge.
+
+    Clusters may merge if a nearest-neighbour edge joins them, as points of a connectivity graph do.  In each round, every two
+    clusters that are nearest to each other merge, which for these linkages comes to the same tree as one
+    merge at a time: the ids of both ends are replaced, and edges that fall together are aggregated (``single``
+    the least, ``complete`` the greatest, ``average`` the mean distance; ``ward`` goes by sizes and centres).  When no edge
+    is left, the centres of what remains make the next graph, until one cluster is left.  A cluster is named by its
+    smallest id.  ``height`` never falls on the way up: a merge is at least as high as those below it.
+    """
+    if linkage not in LINKAGES:
+        raise ValueError(f"Unknown linkage: {linkage}")
+    none = [F.lit(0).alias("round"), F.col("id").alias("kept"), F.col("id").alias("gone"), F.lit(0.0).alias("height"), F.lit(1).cast("bigint").alias("size")]
+    every = points.select(*none).limit(0)
+    with RoundTables(points.sparkSession, "merges") as tables:
+        for some in _rounds(points, linkage, neighbours, tables):
+            every = every.union(some)
+        return materialize(every)
+
+
+def _rounds(points: DataFrame, linkage: str, neighbours: int, tables: RoundTables) -> Iterator[DataFrame]:
+    clusters = tables.write(
+        points.select(F.col("id").alias("cluster"), F.lit(1).cast("bigint").alias("size"), F.col("features").alias("centre"), F.lit(0.0).alias("height"))
+    )
+    left, edges, number = clusters.count(), None, 0
+    measure = {"single": F.col("low"), "complete": F.col("high"), "average": F.col("total") / F.col("n")}
+    while left > 1:
+        if edges is None:
+            edges = tables.write(_graph(clusters.select(F.col("cluster").alias("id"), F.col("centre").alias("features")), neighbours))
+        if linkage == "ward":
+            sides = [clusters.select(F.col("cluster").alias(x), F.col("size").alias(f"n_{x}"), F.col("centre").alias(f"c_{x}")) for x in "ab"]
+            near = edges.select("a", "b").join(sides[0], "a").join(sides[1], "b").select("a", "b", _ward("n_a", "n_b", "c_a", "c_b").alias("d"))
+        else:
+            near = edges.select("a", "b", measure[linkage].alias("d"))
+        # One order of all edges, so that the first of any group of edges is nearest for both of its ends.
+        first = F.min(F.struct("d", "a", "b")).alias("e")
+        of_end = near.select("*", F.explode(F.array("a", "b")).alias("end")).groupBy("end").agg(first)
+        mutual = of_end.groupBy("e.a", "e.b", "e.d").agg(F.count(F.lit(1)).alias("ends")).where("ends = 2")
+        sides = [clusters.select(F.col("cluster").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in ("size", "centre", "height"))) for x in "ab"]
+        number += 1
+        merges = mutual.join(sides[0], "a").join(sides[1], "b")
+        size = F.col("size_a") + F.col("size_b")
+        mean = F.zip_with("centre_a", "centre_b", lambda x, y: (x * F.col("size_a") + y * F.col("size_b")) / size)
+        merges = merges.select(
+            F.lit(number).alias("round"), F.col("a").alias("kept"), F.col("b").alias("gone"), F.greatest("d", "height_a", "height_b").alias("height"), size.alias("size"), mean.alias("centre")
+        )
+        merges = tables.write(merges)
+        yield merges.drop("centre")
+        touched = merges.select(F.explode(F.array("kept", "gone")).alias("cluster"))
+        grown = merges.select(F.col("kept").alias("cluster"), "size", "centre", "height")
+        clusters = tables.write(clusters.join(touched, "cluster", "left_anti").union(grown))
+        left = clusters.count()
+        for x in "ab":
+            renamed = merges.select(F.col("gone").alias(x), F.col("kept").alias("_kept"))
+            edges = edges.join(renamed, x, "left").withColumn(x, F.coalesce("_kept", x)).drop("_kept")
+        ends = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
+        joined = [F.min("low").alias("low"), F.max("high").alias("high"), F.sum("total").alias("total"), F.sum("n").alias("n")]
+        edges = tables.write(edges.where("a <> b").groupBy(*ends).agg(*joined))
+        if edges.isEmpty():
+            edges = None
+
+
+def cut(points: DataFrame, merges: DataFrame, k: int) -> DataFrame:
+    """``(id, cluster)``: the ``k`` clusters that are left without the ``k - 1`` highest merges, numbered by smallest id."""
+    highest = merges.orderBy(F.desc("height"), F.desc("round"), F.desc("kept")).limit(k - 1).select("gone")
+    kept = merges.join(F.broadcast(highest), "gone", "left_anti").select(F.col("kept").alias("a"), F.col("gone").alias("b"))
+    alone = points.select(F.col("id").alias("a"), F.col("id").alias("b"))
+    groups = materialize(connected_components(kept.union(alone)))
+    numbers = groups.select("component").distinct().withColumn("cluster", F.row_number().over(Window.orderBy("component")) - 1)  # k rows
+    return groups.join(F.broadcast(numbers), "component").select(F.col("node").alias("id"), F.col("cluster").cast("int").alias("cluster"))
+
+
+def agglomerative(df: DataFrame, k: int = settings.DEFAULT_K, linkage: str = "ward", neighbours: int = NEIGHBOURS) -> DataFrame:
+    """``(id, cluster)`` by bottom-up clustering on the nearest-neighbour graph, cut at ``k`` clusters."""
+    points = df.select("id", "features")
+    return cut(points, merge_rounds(points, linkage, neighbours), k)

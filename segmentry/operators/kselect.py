@@ -14,7 +14,7 @@ from segmentry.functions.vectors import matrix, squared_distances
 from segmentry.operators.kmeans import KMeansFit, Spec, assign, fit_many, poisson_weights, sweep
 from segmentry.operators.metrics import adjusted_rand, quality_table
 
-METHODS = ("silhouette", "silhouette_sq", "davies_bouldin", "calinski_harabasz", "stability", "elbow")
+METHODS = ("silhouette", "silhouette_estimate", "silhouette_sq", "davies_bouldin", "calinski_harabasz", "stability", "elbow")
 
 
 def label_every_k(df: DataFrame, fits: dict[int, KMeansFit]) -> DataFrame:
@@ -30,9 +30,9 @@ def evaluate_k(
     n_init: int = settings.N_INIT,
     seed: int = settings.SEED,
     stability: bool = True,
-    silhouette: str = "exact",
+    silhouette: str = "estimate",
 ) -> tuple[DataFrame, dict[int, KMeansFit]]:
-    """``(n_clusters, inertia, silhouette_score, silhouette_sq, davies_bouldin, calinski_harabasz, stability)``.
+    """``(n_clusters, inertia, silhouette_score, silhouette_sq, davies_bouldin, calinski_harabasz, stability, silhouette_estimate, silhouette_error)``.
 
     Every K is trained once and all scores come from that labelling.  Silhouettes,
     Davies-Bouldin and Calinski-Harabasz are NULL where K is not below the number
@@ -54,11 +54,12 @@ def evaluate_k(
     for k in k_range:
         s = scores.get(k)
         values = (s["silhouette_score"], s["silhouette_sq"], s["davies_bouldin"], s["calinski_harabasz"]) if s else (None,) * 4
-        table.append((k, fits[k].cost, *values, stable.get(k)))
+        estimate = (s["silhouette_estimate"], s["silhouette_error"]) if s else (None, None)
+        table.append((k, fits[k].cost, *values, stable.get(k), *estimate))
     df.unpersist()
     schema = (
         "n_clusters int, inertia double, silhouette_score double, silhouette_sq double, davies_bouldin double, "
-        "calinski_harabasz double, stability double"
+        "calinski_harabasz double, stability double, silhouette_estimate double, silhouette_error double"
     )
     return df.sparkSession.createDataFrame(table, schema), fits
 
@@ -136,7 +137,12 @@ def elbow_knee(scores: DataFrame) -> DataFrame:
     return scores.withColumn("below", below).orderBy(F.desc("below"), "k").select(F.col("k").alias("optimal_k")).limit(1)
 
 
-def pick_k(table: DataFrame, method: str = "silhouette") -> int:
+def method_of(silhouette: str) -> str:
+    """The method that goes by the silhouette of this name."""
+    return {"estimate": "silhouette_estimate", "squared": "silhouette_sq"}.get(silhouette, "silhouette")
+
+
+def pick_k(table: DataFrame, method: str = "silhouette_estimate") -> int:
     """The K an ``evaluate_k`` table favours; the smaller K on ties."""
     if method not in METHODS:
         raise ValueError(f"Unknown method: {method}")
@@ -151,10 +157,10 @@ def pick_k(table: DataFrame, method: str = "silhouette") -> int:
     return best["n_clusters"]
 
 
-def select_optimal_k(df: DataFrame, method: str = "silhouette", k_range: list[int] | None = None, **options) -> int:
+def select_optimal_k(df: DataFrame, method: str = "silhouette_estimate", k_range: list[int] | None = None, **options) -> int:
     """Train the K range and return the favoured K."""
     if method not in METHODS:
         raise ValueError(f"Unknown method: {method}")
-    kind = "squared" if method == "silhouette_sq" else "exact"
+    kind = {"silhouette": "exact", "silhouette_sq": "squared"}.get(method, "estimate")
     table, _ = evaluate_k(df, k_range, stability=method == "stability", **{"silhouette": kind, **options})
     return pick_k(table, method)

@@ -6,21 +6,21 @@ import json
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.ml.clustering import GaussianMixtureModel
+from pyspark.ml.clustering import BisectingKMeansModel, GaussianMixtureModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segmentry import settings
 from segmentry.operators import kselect
-from segmentry.operators.dbscan import dbscan
-from segmentry.operators.hierarchical import bisecting
+from segmentry.operators.dbscan import DbscanModel, fit_dbscan
+from segmentry.operators.hierarchical import agglomerative, fit_bisecting, predict_bisecting
 from segmentry.operators.kmeans import KMeansFit, kmeans
 from segmentry.operators.metrics import one_labelling, quality_table
 from segmentry.operators.mixture import fit_mixture, predict_mixture
-from segmentry.operators.spectral import spectral
+from segmentry.operators.spectral import SpectralModel, fit_spectral
 from segmentry.session import materialize
 
-ALGORITHMS = ("kmeans", "dbscan", "bisecting", "gmm", "spectral")
+ALGORITHMS = ("kmeans", "dbscan", "bisecting", "agglomerative", "gmm", "spectral")
 
 
 @dataclass
@@ -34,33 +34,40 @@ class Segmentation:
     metrics: dict[str, Any] = field(default_factory=dict)
 
     def save(self, path: str) -> None:
-        """Labels as a table, parameters and metrics as text; K-means and mixture models next to them."""
+        """Labels as a table, parameters and metrics as text, the model next to them."""
         spark = self.labels.sparkSession
         self.labels.write.mode("overwrite").parquet(f"{path}/labels")
         about = json.dumps({"algorithm": self.algorithm, "params": self.params, "metrics": self.metrics})
         spark.createDataFrame([(about,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/about")
-        if self.algorithm == "kmeans":
+        if self.algorithm in ("kmeans", "spectral"):
             self.model.save(spark, f"{path}/model")
-        elif self.algorithm == "gmm":
+        elif self.algorithm == "dbscan":
+            self.model.save(f"{path}/model")
+        elif self.model is not None:
             self.model.write().overwrite().save(f"{path}/model")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> Segmentation:
         about = json.loads(spark.read.text(f"{path}/about").first()["value"])
-        model = None
-        if about["algorithm"] == "kmeans":
-            model = KMeansFit.load(spark, f"{path}/model")
-        elif about["algorithm"] == "gmm":
-            model = GaussianMixtureModel.load(f"{path}/model")
+        load = {
+            "kmeans": lambda: KMeansFit.load(spark, f"{path}/model"),
+            "gmm": lambda: GaussianMixtureModel.load(f"{path}/model"),
+            "bisecting": lambda: BisectingKMeansModel.load(f"{path}/model"),
+            "spectral": lambda: SpectralModel.load(spark, f"{path}/model", about["params"]["gamma"]),
+            "dbscan": lambda: DbscanModel.load(spark, f"{path}/model", about["params"]["eps"]),
+        }
+        model = load[about["algorithm"]]() if about["algorithm"] in load else None
         labels = spark.read.parquet(f"{path}/labels")
         return Segmentation(about["algorithm"], labels, about["params"], model, about["metrics"])
 
     def predict(self, df: DataFrame) -> DataFrame:
-        """Clusters of new ``(id, features)`` rows."""
-        if self.algorithm == "kmeans":
-            return self.model.assign(df).select("id", "cluster")
+        """Clusters of new ``(id, features)`` rows; the rows of the fit get the labels they have."""
         if self.algorithm == "gmm":
             return predict_mixture(self.model, df).select("id", "cluster")
+        if self.algorithm == "bisecting":
+            return predict_bisecting(self.model, df)
+        if self.model is not None:
+            return self.model.assign(df).select("id", "cluster")
         raise ValueError(f"{self.algorithm} has no model for new rows")
 
 
@@ -76,11 +83,17 @@ def segment(df: DataFrame, algorithm: str, k: int | None = None, **params) -> Se
         return Segmentation(algorithm, labels, {"k": k, "covariance_type": "full", **params}, model)
     if algorithm == "dbscan":
         params = {"eps": settings.DBSCAN_EPS[0], "min_samples": settings.DBSCAN_MIN_SAMPLES[0], **params}
-        return Segmentation(algorithm, dbscan(df, **params), params)
+        labels, model = fit_dbscan(df, **params)
+        return Segmentation(algorithm, labels, params, model)
     if algorithm == "bisecting":
-        return Segmentation(algorithm, bisecting(df, k, **params), {"k": k, **params})
+        model = fit_bisecting(df, k, **params)
+        return Segmentation(algorithm, predict_bisecting(model, df), {"k": k, **params}, model)
+    if algorithm == "agglomerative":
+        params = {"linkage": "ward", **params}
+        return Segmentation(algorithm, agglomerative(df, k, **params), {"k": k, **params})
     if algorithm == "spectral":
-        return Segmentation(algorithm, spectral(df, k, **params), {"k": k, "affinity": "rbf", **params})
+        model = fit_spectral(df, k, **params)
+        return Segmentation(algorithm, model.assign(df), {"k": k, "affinity": "rbf", "gamma": model.gamma, **params}, model)
     raise ValueError(f"Unknown algorithm: {algorithm}")
 
 
@@ -89,9 +102,9 @@ def fit_segments(
     algorithm: str = "kmeans",
     k: int | None = None,
     auto_select_k: bool = False,
-    method: str = "silhouette",
+    method: str = "silhouette_estimate",
     exclude_noise: bool = False,
-    silhouette: str = "exact",
+    silhouette: str = "estimate",
     **params,
 ) -> Segmentation:
     """Choose K if asked to, cluster, score."""
@@ -119,7 +132,7 @@ def compare_algorithms(
     df: DataFrame,
     k: int | None = None,
     with_spectral: bool = True,
-    silhouette: str = "exact",
+    silhouette: str = "estimate",
     n_init: int = settings.N_INIT,
     seed: int = settings.SEED,
 ) -> tuple[DataFrame, dict[str, Segmentation]]:
@@ -131,10 +144,11 @@ def compare_algorithms(
     """
     df = df.select("id", "features").persist()
     if k is None:
-        k = kselect.select_optimal_k(df, "silhouette" if silhouette != "squared" else "silhouette_sq", n_init=n_init, seed=seed)
+        k = kselect.select_optimal_k(df, kselect.method_of(silhouette), n_init=n_init, seed=seed)
     runs = {
         "kmeans": segment(df, "kmeans", k, n_init=n_init, seed=seed),
         "bisecting": segment(df, "bisecting", k, seed=seed),
+        "agglomerative": segment(df, "agglomerative", k),
     }
     for eps in settings.DBSCAN_EPS[:2]:
         for min_samples in settings.DBSCAN_MIN_SAMPLES[:2]:
@@ -157,7 +171,7 @@ def compare_algorithms(
     return table.withColumnRenamed("labelling", "algorithm"), runs
 
 
-def best_algorithm(table: DataFrame, by: str = "silhouette_score") -> str | None:
+def best_algorithm(table: DataFrame, by: str = "silhouette_estimate") -> str | None:
     """Highest silhouette ``by`` above -1; the earlier algorithm on ties."""
     best = table.where(F.col(by) > -1).orderBy(F.desc(by), "position").first()
     return best["algorithm"] if best else None

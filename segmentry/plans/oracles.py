@@ -244,6 +244,12 @@ def doubles(cols: list[str], table: str) -> str:
     return f"SELECT user_id, {', '.join(r6(c) for c in cols)} FROM {table}"
 
 
+def finite_doubles(cols: list[str], table: str) -> str:
+    """As ``doubles``, with infinities as NULL."""
+    finite = (r6(f"(CASE WHEN isfinite(CAST({c} AS DOUBLE)) THEN CAST({c} AS DOUBLE) END)", c) for c in cols)
+    return f"SELECT user_id, {', '.join(finite)} FROM {table}"
+
+
 def imputed(cols: list[str], source: str, strategy: str = "median") -> str:
     return f"WITH {_filled(cols, source, strategy)} {doubles(cols, 'filled')}"
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from segmentry import settings
 from segmentry.operators import kselect, profiles, segments
 from segmentry.operators.engineer import engineer_features, select_features
+from segmentry.operators.metrics import SILHOUETTE_COLUMNS
 from segmentry.operators.preprocess import Preprocessor, PreprocessModel
 from segmentry.operators.rfm import aggregate_events
 from segmentry.plans.report import cluster_report
@@ -36,7 +37,7 @@ def segment_customers(
     k_range: list[int] | None = None,
     n_init: int = settings.N_INIT,
     stability: bool = True,
-    silhouette: str = "exact",
+    silhouette: str = "estimate",
     with_spectral: bool = True,
     preprocessor: Preprocessor | None = None,
     exclude: tuple[str, ...] = ("user_id",),
@@ -45,14 +46,13 @@ def segment_customers(
 
     The K range is trained only if no ``k`` is given.  With ``algorithm`` given only that one
     runs; otherwise all are compared and the one with the best silhouette is kept as it was
-    fitted.  ``silhouette`` names the one that decides ("exact" or "squared").
+    fitted.  ``silhouette`` names the one that decides ("estimate", "exact" or "squared").
     """
     engineered = materialize(engineer_features(aggregate_events(events)))
     features = select_features(engineered, exclude)
     model = (preprocessor or Preprocessor()).fit(features)
     points = materialize(model.vectors(features))
-    method = "silhouette_sq" if silhouette == "squared" else "silhouette"
-    column = "silhouette_sq" if silhouette == "squared" else "silhouette_score"
+    method, column = kselect.method_of(silhouette), SILHOUETTE_COLUMNS[silhouette]
     k_table, chosen_by = None, "given"
     if k is None:
         k_table, _ = kselect.evaluate_k(points, k_range, n_init, stability=stability, silhouette=silhouette)

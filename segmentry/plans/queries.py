@@ -11,7 +11,7 @@ from pyspark.sql.types import DoubleType, FloatType
 
 from segmentry import settings
 from segmentry.functions import finite_or_null
-from segmentry.operators import customers, eda, engineer, kselect, metrics, preprocess, profiles, quality, rfm, segments
+from segmentry.operators import customers, eda, engineer, kselect, metrics, neighbours, preprocess, profiles, quality, rfm, segments
 from segmentry.operators.dbscan import dbscan
 from segmentry.functions.vectors import squared_distance
 from segmentry.operators.kmeans import assign, lloyd
@@ -393,7 +393,7 @@ _SELECTED = [c for c in _ENGINEERED_COLUMNS if not c.endswith(("_level", "_categ
 _register_per_source(
     "selected_features",
     lambda ev: engineer.select_features(_engineered(ev)).select("user_id", *_SELECTED),
-    lambda source: f"WITH {oracles.ENGINEERED[source]} {oracles.doubles(_SELECTED, 'eng')}",
+    lambda source: f"WITH {oracles.ENGINEERED[source]} {oracles.finite_doubles(_SELECTED, 'eng')}",
 )
 _register_per_source(
     "inf_null_rows",
@@ -605,7 +605,7 @@ def _quality_sql(name: str, label: str) -> str:
 
 register(
     "quality_rows",
-    lambda s, d: metrics.quality_table(_three_labellings(s, d), silhouette="exact"),
+    lambda s, d: metrics.quality_table(_three_labellings(s, d), silhouette="exact").drop("silhouette_estimate", "silhouette_error"),
     " UNION ALL ".join(
         _quality_sql(name, label)
         for name, label in (
@@ -623,6 +623,24 @@ register(
     f"WITH {oracles.VECTORS}, {oracles.SILHOUETTE.replace('sum(list_distance(a.e, b.e))', 'sum(list_distance(a.e, b.e) ** 2)')} "
     f"SELECT {oracles.r6('s', 'silhouette_sq')} FROM sil",
 )
+_JUDGED = f"""judged AS (SELECT * FROM vecs WHERE id % 20 = 0), n_of AS (SELECT cluster, count(*) AS size FROM vecs GROUP BY 1),
+  to_cluster AS (SELECT a.id, a.cluster AS own, b.cluster, sum(list_distance(a.e, b.e)) AS total FROM judged a, vecs b GROUP BY ALL),
+  ab AS (SELECT id, own, max(total / (size - 1)) FILTER (cluster = own) AS a, min(total / size) FILTER (cluster <> own) AS b
+    FROM to_cluster JOIN n_of USING (cluster) GROUP BY ALL),
+  est AS (SELECT own AS cluster, count(*) AS m, avg((b - a) / greatest(a, b)) AS s, var_samp((b - a) / greatest(a, b)) AS v FROM ab GROUP BY 1)"""
+register(
+    "silhouette_estimate",
+    lambda s, d: metrics.silhouette_estimate(metrics.one_labelling(labelled_vectors(s, d)), picked=F.col("id") % 20 == 0).drop("labelling"),
+    f"""WITH {oracles.VECTORS}, {_JUDGED} SELECT CAST(cluster AS INTEGER) AS cluster, size AS n_rows, m AS n_sampled, {oracles.r6('s', 'silhouette')},
+      {oracles.r6('sqrt(v / m * (1 - m / size))', 'std_error')} FROM est JOIN n_of USING (cluster)""",
+)
+register(
+    "knn_edges",
+    lambda s, d: neighbours.knn_edges(labelled_vectors(s, d), 10, labelled_vectors(s, d).where("id % 20 = 0")),
+    f"""WITH {oracles.VECTORS}, near AS (SELECT a.id, b.id AS neighbour, list_distance(a.e, b.e) AS distance FROM vecs a JOIN vecs b ON a.id <> b.id WHERE a.id % 20 = 0),
+      ranked AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY distance, neighbour) AS pos FROM near)
+    SELECT id, neighbour, CAST(pos AS INTEGER) AS rank, {oracles.r6('distance')} FROM ranked WHERE pos <= 10""",
+)
 register(
     "adjusted_rand",
     lambda s, d: metrics.adjusted_rand(labelled_vectors(s, d).withColumn("other", F.col("id") % 10), "cluster", "other"),
@@ -844,7 +862,7 @@ def _picked(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = [x for k in settings.K_RANGE for x in (F.lit(str(k)), (F.col("id") % k).cast("int"))]
     table = metrics.quality_table(rows.select("id", "features", F.create_map(*entries).alias("labels")), silhouette="both")
     table = table.withColumn("n_clusters", F.col("labelling").cast("int")).persist()
-    methods = [m for m in kselect.METHODS if m != "stability"]
+    methods = [m for m in kselect.METHODS if m not in ("stability", "silhouette_estimate")]
     return spark.createDataFrame([(m, kselect.pick_k(table, m)) for m in methods], "method string, k int")
 
 
@@ -877,6 +895,7 @@ register("kmeans", _labels("kmeans", k=5))
 register("kmeans_embeddings", _labels("kmeans", _embedding_points, k=10))
 register("gmm", _labels("gmm", k=3))
 register("bisecting", _labels("bisecting", k=5))
+register("agglomerative", _labels("agglomerative", k=5))
 register("spectral", _labels("spectral", k=5))
 register("k_selection", lambda s, d: kselect.evaluate_k(_customer_points(s, d))[0])
 
@@ -919,6 +938,7 @@ _USERS = "(SELECT count(DISTINCT user_id) FROM events)"
 _label_facts("kmeans", _customer_points, _USERS, k=5)
 _label_facts("gmm", _customer_points, _USERS, k=3)
 _label_facts("bisecting", _customer_points, _USERS, k=5)
+_label_facts("agglomerative", _customer_points, _USERS, k=5)
 _label_facts("spectral", _customer_points, _USERS, k=5)
 register("k_stability", lambda s, d: kselect.stability_scores(_customer_points(s, d), settings.K_RANGE))
 register("algorithm_comparison", lambda s, d: segments.compare_algorithms(_customer_points(s, d), 4)[0])

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 #: What the report lists of a metrics row, in groups.
 MEASURES = {
-    "scores": ["silhouette_score", "silhouette_sq", "davies_bouldin", "calinski_harabasz", "inertia"],
+    "scores": ["silhouette_estimate", "silhouette_error", "silhouette_score", "silhouette_sq", "davies_bouldin", "calinski_harabasz", "inertia"],
     "grades": ["silhouette_grade", "separation_grade"],
     "shape": ["n_clusters", "n_noise", "n_samples", "min_cluster_size", "avg_cluster_size", "max_cluster_size"],
 }

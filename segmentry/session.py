@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,3 +53,30 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+class RoundTables:
+    """Tables of a loop whose rounds build on each other, written as Parquet below one shared folder.
+
+    A file has its real size, where a checkpoint carries on the estimate of the plan that made it: estimates of joins
+    multiply, and in a loop the numbers get so long that planning takes longer than the work.  The folder goes
+    at the end of the ``with`` block; what is needed afterwards has to be materialized before.
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        ensure_checkpoint_dir(spark)
+        self.spark, self.count = spark, 0
+        self.folder = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+    def __enter__(self) -> RoundTables:
+        return self
+
+    def __exit__(self, *_) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def write(self, df: DataFrame) -> DataFrame:
+        self.count += 1
+        path = f"{self.folder}/{self.count}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from segmentry.operators import dbscan as dbscan_module
 from segmentry.operators import hierarchical, kmeans, kselect, metrics, mixture, segments, spectral
-from segmentry.operators.dbscan import dbscan
+from segmentry.operators.dbscan import _merged, dbscan
 
 
 def brute_dbscan(x, eps, min_samples):
@@ -98,12 +98,16 @@ def test_mixture_and_spectral_and_bisecting(spark, blobs):
 
 def test_k_selection(spark, blobs):
     x, _ = blobs
-    table, fits = kselect.evaluate_k(points(spark, x[:450]), [2, 3, 4], n_init=3)
+    table, fits = kselect.evaluate_k(points(spark, x[:450]), [2, 3, 4], n_init=3, silhouette="exact")
+    usual, _ = kselect.evaluate_k(points(spark, x[:450]), [2, 3, 4], n_init=3, stability=False)
+    assert kselect.pick_k(usual) == 3
+    for r, e in zip(table.orderBy("n_clusters").collect(), usual.orderBy("n_clusters").collect()):  # all rows are in the sample
+        assert e["silhouette_estimate"] == pytest.approx(r["silhouette_score"], abs=1e-6) and e["silhouette_error"] == 0.0
     linear, _ = kselect.evaluate_k(points(spark, x[:450]), [2, 3, 4], n_init=3, stability=False, silhouette="squared")
     assert kselect.pick_k(linear, "silhouette_sq") == 3
     assert all(r["silhouette_score"] is None and r["stability"] is None for r in linear.collect())
     assert all(r["silhouette_sq"] is None for r in table.collect())
-    for method in set(kselect.METHODS) - {"silhouette_sq"}:
+    for method in set(kselect.METHODS) - {"silhouette_sq", "silhouette_estimate"}:
         assert kselect.pick_k(table, method) == 3
     assert set(fits) == {2, 3, 4}
     rows = {r["n_clusters"]: r for r in table.collect()}
@@ -116,7 +120,7 @@ def test_k_selection(spark, blobs):
 def test_k_not_below_rows_has_no_scores(spark):
     table, _ = kselect.evaluate_k(points(spark, np.random.default_rng(0).normal(size=(3, 2))), [2, 3], n_init=2)
     rows = {r["n_clusters"]: r for r in table.collect()}
-    assert rows[2]["silhouette_score"] is not None and rows[3]["silhouette_score"] is None
+    assert rows[2]["silhouette_estimate"] is not None and rows[3]["silhouette_estimate"] is None
 
 
 @pytest.mark.parametrize(
@@ -163,11 +167,11 @@ def test_quality_fallbacks_and_noise(spark):
     x = [[0.0], [0.1], [5.0], [5.1], [9.0]]
     rows = [(i, p, c) for i, (p, c) in enumerate(zip(x, [0, 0, 1, 1, -1]))]
     df = spark.createDataFrame(rows, "id bigint, features array<double>, cluster int")
-    whole = metrics.quality_table(metrics.one_labelling(df)).first()
+    whole = metrics.quality_table(metrics.one_labelling(df), silhouette="exact").first()
     assert (whole["n_clusters"], whole["n_noise"], whole["n_samples"]) == (3, 1, 5)
-    without = metrics.quality_table(metrics.one_labelling(df), exclude_noise=True).first()
+    without = metrics.quality_table(metrics.one_labelling(df), exclude_noise=True, silhouette="exact").first()
     assert without["n_clusters"] == 2 and without["silhouette_score"] > whole["silhouette_score"]
-    flat = metrics.quality_table(metrics.one_labelling(df.withColumn("cluster", F.lit(0)))).first()
+    flat = metrics.quality_table(metrics.one_labelling(df.withColumn("cluster", F.lit(0))), silhouette="exact").first()
     assert (flat["silhouette_score"], flat["davies_bouldin"], flat["calinski_harabasz"]) == (-1.0, float("inf"), 0.0)
     squared = metrics.quality_table(metrics.one_labelling(df.where("cluster >= 0")), silhouette="squared").first()
     assert squared["silhouette_kind"] == "squared" and squared["silhouette_sq"] > 0.9 and squared["silhouette_score"] is None
@@ -197,7 +201,7 @@ def test_fit_segments(spark, blobs, tmp_path):
     x, truth = blobs
     df = points(spark, x[:450])
     run = segments.fit_segments(df, "kmeans", auto_select_k=True, n_init=2)
-    assert run.metrics["n_clusters"] == 3 and run.params["selection_method"] == "silhouette"
+    assert run.metrics["n_clusters"] == 3 and run.params["selection_method"] == "silhouette_estimate"
     assert same_partition(labels_of(run.predict(df)), truth)
     run.save(str(tmp_path / "s"))
     back = segments.Segmentation.load(spark, str(tmp_path / "s"))
@@ -206,7 +210,56 @@ def test_fit_segments(spark, blobs, tmp_path):
     with pytest.raises(ValueError):
         segments.fit_segments(df, "other")
     with pytest.raises(ValueError):
-        segments.fit_segments(df, "dbscan", eps=1.0, min_samples=5).predict(df)
+        segments.fit_segments(df, "agglomerative", 3).predict(df)
+
+
+@pytest.mark.parametrize("algorithm", ["kmeans", "gmm", "bisecting", "spectral", "dbscan"])
+def test_saved_models_place_the_rows_of_the_fit(spark, blobs, tmp_path, algorithm):
+    x, _ = blobs
+    df = points(spark, x)
+    params = {"dbscan": {"eps": 0.5, "min_samples": 5}, "bisecting": {}}.get(algorithm, {"n_init": 2})
+    made = segments.segment(df, algorithm, None if algorithm == "dbscan" else 3, **params)
+    made.save(str(tmp_path / "m"))
+    back = segments.Segmentation.load(spark, str(tmp_path / "m"))
+    want = {r["id"]: r["cluster"] for r in back.labels.collect()}
+    assert len(want) == len(x)
+    assert {r["id"]: r["cluster"] for r in back.predict(df).collect()} == want
+    far = spark.createDataFrame([(9_000, [500.0, 500.0]), (9_001, [float(v) for v in x[0]])], "id bigint, features array<double>")
+    new = {r["id"]: r["cluster"] for r in back.predict(far).collect()}
+    assert new[9_001] == want[0] and (algorithm != "dbscan" or new[9_000] == -1)
+
+
+def test_components_of_shared_rows():
+    rng = np.random.default_rng(1)
+    for _ in range(50):
+        near = rng.random((12, 30)) < 0.06
+        label = rng.integers(0, 30, 30)
+        label = np.array([np.flatnonzero(label == c).min() for c in label])  # lowest member
+        want = label.copy()
+        for row in near:
+            want[np.isin(want, want[row])] = want[row].min(initial=99)
+        got = _merged(label, near)
+        assert same_partition(got, want) and (got <= label).all()
+    assert _merged(np.arange(3), np.zeros((0, 3), bool)).tolist() == [0, 1, 2]
+
+
+def test_silhouette_estimate(spark, blobs):
+    """With part of the rows, the exact value is within three errors; noise, copies and lone rows count as they do there."""
+    x, _ = blobs
+    label = np.r_[np.repeat([0, 1, 2], 150), np.repeat([-1, 0, 4], [40, 200, 60])]
+    label[5] = 7
+    rows = [(i, [float(v) for v in p], int(c)) for i, (p, c) in enumerate(zip(x, label))]
+    df = metrics.one_labelling(spark.createDataFrame(rows, "id bigint, features array<double>, cluster int")).repartition(3)
+    whole = metrics.silhouette_estimate(df, 10_000)
+    assert [r["n_rows"] == r["n_sampled"] and r["std_error"] == 0 for r in whole.collect()] == [True] * 6
+    exact = brute_silhouette(x, label)
+    assert metrics.overall_estimate(whole).first()["silhouette_estimate"] == pytest.approx(exact, abs=1e-6)
+    part = metrics.silhouette_estimate(df, 240)
+    assert {r["n_sampled"] for r in part.collect()} == {1, 40}
+    found = metrics.overall_estimate(part).first()
+    assert 0 < found["silhouette_error"] < 0.05
+    assert abs(found["silhouette_estimate"] - exact) < 3 * found["silhouette_error"]
+    assert metrics.silhouette_estimate(df.where("false")).count() == 0
 
 
 def test_comparison(spark, blobs):
@@ -214,7 +267,7 @@ def test_comparison(spark, blobs):
     table, runs = segments.compare_algorithms(points(spark, x[:450]), 3, n_init=2)
     names = [r["algorithm"] for r in table.orderBy("position").collect()]
     assert names == [
-        "kmeans", "bisecting", "dbscan_eps0.5_min3", "dbscan_eps0.5_min5", "dbscan_eps1.0_min3",
+        "kmeans", "bisecting", "agglomerative", "dbscan_eps0.5_min3", "dbscan_eps0.5_min5", "dbscan_eps1.0_min3",
         "dbscan_eps1.0_min5", "gmm", "spectral",
     ]
     best = segments.best_algorithm(table)

@@ -101,9 +101,9 @@ def test_whole_job(spark, log, tmp_path):
     users = events.select("user_id").distinct().count()
     assert result.customers.count() == users
     assert result.customers.where("cluster IS NULL").isEmpty()
-    assert result.comparison.count() == 8
+    assert result.comparison.count() == 9
     assert result.best.algorithm in result.report or "dbscan" in result.report
-    assert "| k chosen by | silhouette |" in result.report and "| silhouette | exact |" in result.report
+    assert "| k chosen by | silhouette_estimate |" in result.report and "| silhouette | estimate |" in result.report
     given = segment_customers(events, "kmeans", k=3, n_init=2)
     assert given.k_table is None and "| k chosen by | given |" in given.report
     out = str(tmp_path / "out")
