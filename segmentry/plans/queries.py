@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
@@ -15,8 +16,10 @@ from segmentry.operators import customers, eda, engineer, kselect, metrics, neig
 from segmentry.operators.dbscan import dbscan
 from segmentry.functions.vectors import squared_distance
 from segmentry.operators.kmeans import assign, lloyd
+from segmentry.operators.stages import FeaturePreprocessor
 from segmentry.plans import oracles
 from segmentry.plans import pipeline as job
+from segmentry.session import new_folder
 from segmentry.sources import coerce_events, exact_sample, row_count, take_rows
 from segmentry.sources.warehouse import events_canonical, events_sparse, labelled_vectors, order_customers
 
@@ -151,7 +154,7 @@ register(
 _TYPES = ["cart", "error", "purchase", "signup", "view"]
 register(
     "hour_by_type",
-    lambda s, d: eda.events_by_hour_and_type(events_canonical(s, d)),
+    lambda s, d: eda.events_by_hour_and_type(events_canonical(s, d), _TYPES),
     f"WITH {oracles.CANONICAL} SELECT CAST(hour(event_time) AS INTEGER) AS hour, "
     + ", ".join(f"count(*) FILTER (event_type = '{t}') AS {t}" for t in _TYPES)
     + " FROM canonical WHERE event_time IS NOT NULL GROUP BY 1",
@@ -522,6 +525,42 @@ def _preprocessed(events: DataFrame) -> DataFrame:
 
 _register_per_source("pca_explained", _pca, None)
 _register_per_source("preprocessed_features", _preprocessed, lambda source: oracles.preprocessed(_PRE, source))
+
+
+def _by_saved_pipeline(events: DataFrame) -> DataFrame:
+    """``preprocessed_features`` by a ``PipelineModel`` that was saved and loaded again."""
+    df = customers.customer_features(events).persist()
+    path = new_folder(events.sparkSession, "pipeline-model")
+    Pipeline(stages=[FeaturePreprocessor()]).fit(df).write().save(path)
+    model = PipelineModel.load(path)
+    names = F.array(*map(F.lit, model.stages[0].learnt.feature_names))
+    rows = model.transform(df).select(F.col("id").alias("user_id"), F.posexplode("features").alias("at", "scaled"))
+    return rows.select("user_id", F.get(names, F.col("at")).alias("feature"), "scaled")
+
+
+_register_per_source("preprocessed_by_pipeline", _by_saved_pipeline, lambda source: oracles.preprocessed(_PRE, source))
+
+
+def _pca_variance(events: DataFrame) -> DataFrame:
+    """What all principal components have in common with the columns they are made of: the variance, and right angles."""
+    model, df = _fitted(events, use_pca=True, pca_variance_explained=1.0)
+    names, loadings = model.feature_names, np.array(model.pca_components)
+    wide = model.transform(df)
+    pairs = [F.covar_pop(a, b) for i, a in enumerate(names) for b in names[:i]]
+    row = wide.agg(
+        sum((F.var_pop(c) for c in names), F.lit(0.0)).alias("variance"), F.greatest(F.lit(0.0), F.lit(0.0), *map(F.abs, pairs)).alias("across")
+    ).first()
+    tilt = float(np.abs(loadings @ loadings.T - np.eye(len(names))).max())
+    values = (round(row["variance"], 2), round(row["across"], 6) + 0.0, round(tilt, 6) + 0.0)
+    return events.sparkSession.createDataFrame([values], "variance double, covariance double, tilt double")
+
+
+_register_per_source(
+    "pca_variance",
+    _pca_variance,
+    lambda source: f"""SELECT round(sum(v), 2) AS variance, CAST(0 AS DOUBLE) AS covariance, CAST(0 AS DOUBLE) AS tilt
+      FROM (SELECT var_pop(scaled) AS v FROM ({oracles.preprocessed(_PRE, source)}) GROUP BY feature)""",
+)
 _BOXED = ["total_events", "view_count", "cart_count", "purchase_count", "total_spending"]
 
 
@@ -967,3 +1006,12 @@ def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 register("cluster_report", _report)
+
+
+def _whole_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job as it is run without further wishes: K chosen, all algorithms compared, the best kept and reported."""
+    result = job.segment_customers(events_canonical(spark, sf_dir))
+    return spark.createDataFrame([(i, line) for i, line in enumerate(result.report.split("\n"))], "line_no int, line string")
+
+
+register("segment_report", _whole_job)

@@ -55,6 +55,12 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
 class RoundTables:
     """Tables of a loop whose rounds build on each other, written as Parquet below one shared folder.
 
@@ -64,9 +70,7 @@ class RoundTables:
     """
 
     def __init__(self, spark: SparkSession, name: str):
-        ensure_checkpoint_dir(spark)
-        self.spark, self.count = spark, 0
-        self.folder = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+        self.spark, self.count, self.folder = spark, 0, new_folder(spark, name)
 
     def __enter__(self) -> RoundTables:
         return self
