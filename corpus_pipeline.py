@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from segmentry.llm.common import table, written
+from segmentry.llm.common import passing_tables, table, written
 from segmentry.llm.decontaminate import decontaminated
 from segmentry.llm.jaccard import one_of_each
 from segmentry.llm.language import identified
@@ -55,5 +55,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pieces that all stages make of ``documents``."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name)
+        with passing_tables(spark):
+            docs = written(stage(spark, docs, sf_dir), name, stays=True)
     return docs

@@ -31,6 +31,9 @@ HOST_WEIGHT, DOMAIN_WEIGHT = 20.0, 50.0
 EVEN = 2.0
 #: n-grams at which a text alone is counted in the tables.
 LEAST_NGRAMS = 20
+#: Columns that ``identify`` adds, or needs on the way.
+ADDED = ["language", "confidence", "text_language", "keep", "ngrams", "likelihood", "shown", "fused", "__host", "__of"]
+ADDED += ["of_domain", "of_host", "of_declared", "of_suffix"]
 #: Probability of an n-gram in text of no known language.
 _STRANGE = -np.log(BUCKETS) + 0.7
 
@@ -126,8 +129,9 @@ def identify(items: DataFrame, model: TextModel) -> DataFrame:
     ``items`` has ``text, declared, suffix, domain, host``, any of which may be null: a null is no
     evidence.  ``text_language`` is what the text alone shows.  The language is ``und`` if the text is
     better explained by none, or has no letters; such an item is not kept.  Rows may repeat, an empty table gives no
-    rows, and further columns pass through.
+    rows, and further columns pass through, but those of the names in ``ADDED`` are replaced or dropped.
     """
+    items = items.drop(*ADDED)
     k = len(model.languages)
     if not k:  # nothing is known of any language
         unknown = [F.lit(UNKNOWN).alias("language"), F.lit(0.0).alias("confidence"), F.lit(UNKNOWN).alias("text_language")]

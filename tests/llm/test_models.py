@@ -222,6 +222,9 @@ def test_evidence_decides_what_the_text_leaves_open(spark):
     assert [got[i]["keep"] for i in range(122, 127)] == [True, True, False, False, False]
     assert 0.5 < got[120]["confidence"] < 1 and got[0]["n0"] == 1
     assert identify(items.limit(0), own).count() == 0
+    clashing = identify(items.withColumns({c: F.lit("x") for c in ("language", "shown", "fused", "likelihood", "ngrams", "of_host")}), own)
+    assert clashing.columns == ["i", "language", "confidence", "text_language", "keep"]
+    assert {r["i"]: r["language"] for r in clashing.collect()} == {i: r["language"] for i, r in got.items()}
 
 
 def test_other_scripts_are_not_kept(spark):

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from segmentry.llm import jaccard, pii, spotsigs
 from segmentry.llm.decontaminate import contaminated, decontaminated
+from segmentry.llm.common import passing_tables, written
 from segmentry.llm.jaccard import Tiles, WordHashes, ngram_jaccard, one_of_each, shingle_set
 from segmentry.llm.pii import KINDS, base_spans, found_data, masked, revealing_terms, sanitise, without_data
 from segmentry.llm.spotsigs import edited_likeness, near_duplicates
@@ -156,6 +157,17 @@ def test_a_passage_in_many_different_texts(spark, monkeypatch):
     assert sum(x.count() for x in found) < 5_000
 
 
+def test_passing_tables_are_removed(spark):
+    import os
+
+    with passing_tables(spark):
+        a = written(spark.range(5).toDF("x").repartition("x"), "passing")
+        b = written(a, "staying", stays=True)
+        files = a.inputFiles()
+    assert files and not any(os.path.exists(f.removeprefix("file://")) for f in files)
+    assert b.count() == 5 and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
 def test_streamed_groups(spark):
     rows = [(1, 1), (2, 2), (2, 3), (3, 4), (4, 5), (4, 6), (4, 7), (9, 8), (9, 9)]
     df = spark.createDataFrame(rows, "key bigint, row bigint").coalesce(1).sortWithinPartitions("key")
