@@ -146,8 +146,8 @@ def write_ids(docs: DataFrame, tokenizer_path: str, end_id: int, folder: str, pl
         out = _Writer(TaskContext.get().partitionId(), planes, block)
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for k in range(0, len(texts), 256):
-                for key, ids in zip(keys[k : k + 256], ids_of(texts[k : k + 256])):
+            for k in range(0, len(texts), 512):
+                for key, ids in zip(keys[k : k + 512], ids_of(texts[k : k + 512])):
                     for row in out.add(key, np.append(ids, np.uint32(end_id))):
                         yield pa.RecordBatch.from_arrays([pa.array([row], pa.binary())], ["value"])
         if out.docs:

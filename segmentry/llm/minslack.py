@@ -94,9 +94,9 @@ def _pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int, ke
         ids_of, task, seen = encoder(tokenizer_path).encode, TaskContext.get().partitionId(), [0] * (capacity + 1)
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for k in range(0, len(texts), 256):
+            for k in range(0, len(texts), 512):
                 rows = []
-                for key, ids in zip(keys[k : k + 256], ids_of(texts[k : k + 256])):
+                for key, ids in zip(keys[k : k + 512], ids_of(texts[k : k + 512])):
                     raw = np.append(ids, np.uint32(end_id)).astype("<u4").tobytes()
                     for piece, start in enumerate(range(0, len(raw) // 4, capacity)):
                         part = raw[4 * start : 4 * (start + capacity)]

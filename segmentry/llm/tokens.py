@@ -7,6 +7,8 @@ import sys
 from itertools import compress
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Without U+0130, whose lower case is two characters.
 LATIN = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
@@ -17,8 +19,33 @@ VISIBLE = "!-~À-ɏ"
 PIECES = re.compile(f" ?[{LATIN}]+(?=[ ,.;:!?*#$%&|\\n]|\\Z)|[\\s\\S]+?(?=(?<=[{VISIBLE}]) [{VISIBLE}]|\\Z)")
 CUT = re.compile(f"(?<=[{VISIBLE}])(?= [{VISIBLE}])")
 WORD = re.compile(f" [{LATIN}]+\\Z")
+#: First and last characters of a run without blanks that blanks around it cut off from its neighbours.
+EDGES = frozenset(chr(k) for k in range(0x250) if re.match(f"[{VISIBLE}]", chr(k)))
 #: Code points that are encoded at a time; only bounds memory.
-SEGMENT = 1 << 20
+SEGMENT = 1 << 21
+
+
+def _edges(words: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether the first and the last character of each word are ``VISIBLE``."""
+    _, offsets, data = words.buffers()
+    at = np.frombuffer(offsets, np.int32, len(words) + 1, 4 * words.offset)
+    data = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
+    out = []
+    for end, place in ((slice(1), at[:-1]), (slice(-1, None), at[1:] - 1)):
+        byte = np.zeros(len(words), np.uint8)
+        some = at[1:] > at[:-1]
+        byte[some] = data[place[some]]
+        visible = (byte >= ord("!")) & (byte <= ord("~"))
+        wide = np.flatnonzero(byte > 127)  # part of another character than those of ASCII
+        visible[wide] = [w[end] in EDGES for w in words.take(wide).to_pylist()]
+        out.append(visible)
+    return out[0], out[1]
+
+
+def _joined(words: pa.StringArray) -> str:
+    """The words with a blank between them."""
+    whole = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)
+    return pc.binary_join(whole, " ")[0].as_py()
 
 
 class PieceEncoder:
@@ -86,8 +113,11 @@ class PieceEncoder:
         return ids, size
 
     def _learn(self, pieces: list[str]) -> None:
-        plain = [p for p in pieces if WORD.match(p)] if self.letters else []
-        rest = [p for p in pieces if not WORD.match(p)] if self.letters else pieces
+        plain, rest = [], pieces
+        if self.letters:
+            rest = []
+            for p in pieces:
+                (plain if WORD.match(p) else rest).append(p)
         known = self._words(plain)
         ids, size = np.array(known[0], np.uint32), np.array(known[1], np.int64)
         if rest:
@@ -119,16 +149,14 @@ class PieceEncoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         out: list[np.ndarray] = []
-        pieces: list[str] = []
-        ends: list[int] = []
+        held: list[str] = []
         chars = 0
 
         def flush():
-            nonlocal pieces, ends, chars
-            ids, stops = self._ids(pieces)
-            marks = np.concatenate([[0], stops])[np.array([0, *ends], np.int64)].tolist()
-            out.extend(ids[a:b] for a, b in zip(marks[:-1], marks[1:]))
-            pieces, ends, chars = [], [], 0
+            nonlocal held, chars
+            if held:
+                out.extend(self._together(held))
+            held, chars = [], 0
 
         for text in texts:
             if self.added and self.added.search(text):
@@ -139,14 +167,66 @@ class PieceEncoder:
                 flush()
                 out.append(self._long(text))
                 continue
-            pieces += PIECES.findall(text)
-            ends.append(len(pieces))
+            held.append(text)
             chars += len(text)
             if chars >= SEGMENT:
                 flush()
         flush()
         return out
 
+    def _together(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text; what stands between blanks is cut into pieces once for all texts that hold it.
+
+        A text is taken so if all its blanks are ends of pieces, and is cut as a whole if not.
+        """
+        runs = pc.split_pattern(pa.array(texts, pa.string()), " ")
+        offsets = runs.offsets.to_numpy()
+        coded = runs.flatten().dictionary_encode()
+        code, words = coded.indices.to_numpy(), coded.dictionary
+        lead = np.zeros(len(code), bool)
+        lead[offsets[:-1]] = True
+        head, tail = _edges(words)
+        ended = tail[code]
+        ended[lead] |= np.equal(pc.binary_length(words).to_numpy(), 0)[code[lead]]  # the blank begins the text
+        torn = np.zeros(len(code), bool)  # the blank before the run is no end of a piece
+        torn[1:] = ~(ended[:-1] & head[code[1:]])
+        torn &= ~lead
+        whole = np.logical_or.reduceat(torn, offsets[:-1])
+        able = ~np.repeat(whole, np.diff(offsets))
+
+        # Units of pieces: runs that lead a text, runs with their blank that end one openly, texts that are cut as a whole;
+        # then the other runs with their blank, which are cut as one text.
+        leads, others = np.zeros(len(words), bool), np.zeros(len(words), bool)
+        leads[code[lead & able]] = others[code[~lead & able]] = True
+        first, last, later = map(np.flatnonzero, (leads, others & ~tail, others & tail))
+        units = words.take(first).to_pylist() + [" " + w for w in words.take(last).to_pylist()]
+        units += [texts[k] for k in np.flatnonzero(whole).tolist()]
+        pieces, ends = [], [0]
+        for text in units:
+            pieces += PIECES.findall(text)
+            ends.append(len(pieces))
+        rest = PIECES.findall(" " + _joined(words.take(later))) if len(later) else []
+        begins = np.flatnonzero(np.array([p[0] == " " for p in rest], bool)) + len(pieces)
+        ids, stops = self._ids(pieces + rest)
+        ends = [*ends[:-1], *begins.tolist(), len(stops)] if len(later) else ends
+        marks = np.concatenate([[0], stops])[ends]
+        start, size = marks[:-1], np.diff(marks)
+
+        unit, of_run = np.zeros(len(words), np.int64), np.zeros(len(code), np.int64)
+        unit[first] = np.arange(len(first))
+        of_run[lead] = unit[code[lead]]
+        of_run[offsets[:-1][whole]] = len(first) + len(last) + np.arange(whole.sum())
+        unit[last] = len(first) + np.arange(len(last))
+        unit[later] = len(units) + np.arange(len(later))
+        of_run[~lead] = unit[code[~lead]]
+        size = np.where(able | lead, size[of_run], 0)
+        done = np.cumsum(size)
+        take = np.repeat(start[of_run] - done + size, size)
+        take += np.arange(len(take))
+        ids = ids[take]
+        marks = np.concatenate([[0], done])[offsets].tolist()
+        return [ids[a:b] for a, b in zip(marks[:-1], marks[1:])]
+
     def _as_given(self, text: str) -> np.ndarray:
         """A text that may hold strings of added tokens."""
         self.tokenizer.encode_special_tokens = False

@@ -39,6 +39,17 @@ def test_pieces_encode_as_whole_texts_do(path, segment, special, monkeypatch):
             assert ids.tolist() == plain(path, text, special), text[:40]
 
 
+def test_what_stands_between_blanks_is_cut_once_for_all_texts(monkeypatch):
+    encoder, seen = PieceEncoder(BYTE), []
+    ids_of = encoder._ids
+    monkeypatch.setattr(encoder, "_ids", lambda pieces: seen.append(len(pieces)) or ids_of(pieces))
+    texts = ["one two, one two: three four", "two, one four 漢 字 a", "four  two, one", "one four é", "four Éa one\n", " one two"] * 100
+    for text, ids in zip(texts, encoder.encode(texts)):
+        assert ids.tolist() == plain(BYTE, text)
+    # Texts with a blank that ends no piece are cut as a whole.
+    assert 2 * sum(seen) < 100 * sum(len(tokens.PIECES.findall(text)) for text in texts[:6])
+
+
 def edge_rows(spark):
     rows = [(3, "a b c", "x"), (1, None, "x"), (1, "same id", "y"), (None, "no id", "z"), (2, "", None), (7, "long word " * 4000, "x"), (1, "same id", "y")]
     return spark.createDataFrame(rows, "doc_id bigint, text string, ids string").withColumnRenamed("ids", "path")
