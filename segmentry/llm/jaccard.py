@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from segmentry.functions.graph import connected_components
 from segmentry.llm.common import passing_tables, remove, shared_folder, sized, text_or_empty, written
+from segmentry.llm.tokens import release
 
 #: Bits of a bitmap per shingle, at least, and of the narrower one that rows of tiles carry; the number of bits is
 #: a power of two from ``LEAST_BITS`` on.
@@ -162,6 +163,7 @@ def _described(docs: DataFrame, n: int, percent: int) -> DataFrame:
     )
 
     def describe(batches):
+        release()
         hashes, tiles, seen = WordHashes(), Tiles(percent), set()
         for batch in batches:
             ids, texts, keys = (batch.column(k).to_pylist() for k in range(3))
@@ -192,6 +194,7 @@ def _shared(rows: DataFrame) -> DataFrame:
     schema = pa.schema([("key", pa.int64()), ("row", pa.int64())])
 
     def scan(batches):
+        release()
         last = None  # (key, row) that is held back until the next row is known
         told = None  # key of which some row has been put out
         for batch in batches:
@@ -221,6 +224,7 @@ def _plausible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
         return nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}"))
 
     def bound(batches):
+        release()
         schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
         for batch in batches:
             n, m = (batch.column(k).to_numpy() for k in (2, 3))
@@ -278,6 +282,7 @@ def _bounded_pairs(mixed: DataFrame, percent: int, across: bool) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=schema)
 
     def scan(batches):
+        release()
         held: list[pa.Table] = []
         for batch in batches:
             if not batch.num_rows:
@@ -307,6 +312,7 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, perce
     texts = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
 
     def sets(batches):
+        release()
         hashes = WordHashes()
         schema = pa.schema([("s1", pa.int64()), ("s2", pa.int64()), ("shingles", pa.binary())])
         for batch in batches:
@@ -326,6 +332,7 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, perce
     sets_of = written(found.join(named, ["s1", "s2"]).dropDuplicates(["node"]).select("node", "shingles"), "sets")
 
     def compare(batches):
+        release()
         schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
         for batch in batches:
             a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()

@@ -251,3 +251,8 @@ def encoder(path: str, plain: bool = False) -> PieceEncoder:
     if (path, plain) not in kept:
         kept[path, plain] = PieceEncoder(path, plain=plain)
     return kept[path, plain]
+
+
+def release() -> None:
+    """Lets go of the encoders that earlier tasks of this worker process have left, where a task needs none."""
+    sys.__dict__.get("_segmentry_encoders", {}).clear()

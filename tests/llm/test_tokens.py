@@ -7,7 +7,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from segmentry.llm import tokens
+from segmentry.llm import jaccard, tokens
 from segmentry.llm.binary_ids import from_planes, read_document, read_ids, to_planes, token_files, write_ids
 from segmentry.llm.packing import column_generation, knapsack, make_plan, pack, sequences
 from segmentry.llm.tokens import PieceEncoder
@@ -50,6 +50,18 @@ def test_what_stands_between_blanks_is_cut_once_for_all_texts(monkeypatch):
     assert 2 * sum(seen) < 100 * sum(len(tokens.PIECES.findall(text)) for text in texts[:6])
 
 
+def test_encoders_end_where_a_task_needs_none():
+    class Frame:
+        def mapInArrow(self, step, kinds):
+            return step
+
+    for step in (jaccard._described(Frame(), 5, 80), jaccard._shared(Frame())):
+        kept = tokens.encoder(WORD)
+        assert tokens.encoder(WORD) is kept
+        assert list(step(iter([]))) == []
+        assert tokens.encoder(WORD) is not kept
+
+
 def edge_rows(spark):
     rows = [(3, "a b c", "x"), (1, None, "x"), (1, "same id", "y"), (None, "no id", "z"), (2, "", None), (7, "long word " * 4000, "x"), (1, "same id", "y")]
     return spark.createDataFrame(rows, "doc_id bigint, text string, ids string").withColumnRenamed("ids", "path")
