@@ -36,14 +36,18 @@ def marked(text: Column) -> Column:
     return F.lower(F.regexp_replace(text, r"([\p{Ll}\p{N},;] )(\p{Lu}\p{Ll})", f"$1{NAME}$2"))
 
 
-def templated(text: Column) -> Column:
-    """``marked`` text with placeholders, token for token."""
+def with_template(df: DataFrame, text: str, out: str) -> DataFrame:
+    """``df`` with the ``marked`` column ``text`` as a template: placeholders, token for token.
+
+    Every step is a column, as a step that the next one reads more than once is worked out each time inside of it.
+    """
     units = "|".join(sorted(UNITS + ["%", "€", "£", "°"], key=len, reverse=True))
     edge = r"(?=[^\p{L}\p{N}]|\z)"
     numbers = F.regexp_replace(text, rf"(\d)([ ]?)(?:{units}){edge}", f"$1 {UNIT}")
     numbers = F.regexp_replace(numbers, r"\d+", NUMBER)
-    text = F.when(text.rlike(r"\d"), numbers).otherwise(text)
-    return F.when(F.contains(text, F.lit(NAME)), F.regexp_replace(text, rf"{NAME}[\p{{L}}\p{{N}}]+", NAME)).otherwise(text)
+    df = df.withColumn(out, F.when(F.col(text).rlike(r"\d"), numbers).otherwise(F.col(text)))
+    names = F.regexp_replace(out, rf"{NAME}[\p{{L}}\p{{N}}]+", NAME)
+    return df.withColumn(out, F.when(F.contains(F.col(out), F.lit(NAME)), names).otherwise(F.col(out)))
 
 
 def tokens(text: Column) -> Column:
@@ -64,6 +68,10 @@ def _windows(words: str, size: int, *kind: Column) -> Column:
     return F.when(F.size(words) > 0, whole).otherwise(F.array().cast("array<bigint>"))
 
 
+def _placed(hash_: Column, pos: Column) -> Column:
+    return F.struct(pos.alias("pos"), hash_.alias("hash"))
+
+
 def _unmarked(raw: Column) -> Column:
     """Tokens alike within a sentence and at its beginning."""
     return F.transform(raw, lambda t: F.translate(t, NAME, ""))
@@ -82,7 +90,8 @@ def item_windows(benchmark: DataFrame, size: int = WINDOW, literal: int = LITERA
     """
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), _spaced_signs(text_or_empty()).alias("text")).distinct()
     items = items.select("item_id", marked(F.col("text")).alias("marked"))
-    items = items.select("item_id", tokens(F.col("marked")).alias("raw"), tokens(templated(F.col("marked"))).alias("words"))
+    items = with_template(items, "marked", "template")
+    items = items.select("item_id", tokens(F.col("marked")).alias("raw"), tokens(F.col("template")).alias("words"))
     kinds = [NUMBER, NAME, UNIT]
     last = F.greatest(F.size("words") - size, F.lit(0))
     literals = lambda i: F.size(F.filter(F.slice("words", i + 1, size), lambda t: ~t.isin(*kinds)))
@@ -129,13 +138,13 @@ def contaminated(
         windows = F.broadcast(windows)
 
     texts = docs.select(F.xxhash64(text_or_empty()).alias("key"), _spaced_signs(text_or_empty()).alias("text"))
-    words = texts.select("key", tokens(templated(marked(F.col("text")))).alias("words"))
-    found = words.select("key", F.posexplode(_windows("words", size)).alias("pos", "hash"))
+    words = texts.select("key", marked(F.col("text")).alias("marked"))
+    words = with_template(words, "marked", "template").withColumn("words", tokens(F.col("template")))
+    each = [F.transform(_windows("words", size), _placed)]
     if others:
-        raw = texts.select("key", tokens(marked(F.col("text"))).alias("raw"), tokens(templated(marked(F.col("text")))).alias("words"))
-        raw = raw.select("key", "words", _unmarked(F.col("raw")).alias("plain"))
-        each = [F.transform(_other_windows(*o), lambda h, i: F.struct(i.alias("pos"), h.alias("hash"))) for o in others]
-        found = found.union(raw.select("key", F.inline(F.flatten(F.array(*each)))))
+        words = words.withColumn("plain", _unmarked(tokens(F.col("marked"))))
+        each += [F.transform(_other_windows(*o), _placed) for o in others]
+    found = words.select("key", F.inline(F.flatten(F.array(*each))))
     found = written(found.join(windows, "hash").select("key", "pos", "item_id", "at").distinct(), "window-matches")
 
     # Enough windows of the item?
