@@ -385,7 +385,7 @@ def _rarest(shared: DataFrame) -> DataFrame:
 def _joined(docs: DataFrame, n: int, percent: int) -> DataFrame:
     spark = docs.sparkSession
     path = shared_folder(spark, "shingle-sets")
-    full = written(_described(docs, n, percent).withColumn("row", F.monotonically_increasing_id()), "shingle-sets", path)
+    full = written(_described(docs, n, percent).withColumn("row", F.monotonically_increasing_id()), "shingle-sets", path, texts=True)
     rows = written(full.select("doc_id", "text_key", "n_shingles", "h1", "h2", "row"), "described-rows")
 
     # A node stands for all rows with the same set.

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from segmentry.llm.common import sized, text_or_empty, written
+from segmentry.llm.tokens import release
 
 #: n-gram buckets: the model has this many numbers per language, whatever the corpus.
 BUCKETS = 1 << 16
@@ -77,6 +78,7 @@ def fit_text_model(docs: DataFrame, least_share: float = LEAST_SHARE) -> TextMod
     schema = pa.schema([("lang", pa.string()), ("bucket", pa.int64()), ("n", pa.int64())])
 
     def count(batches):
+        release()
         tables: dict[str, np.ndarray] = {}
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -93,6 +95,7 @@ def fit_text_model(docs: DataFrame, least_share: float = LEAST_SHARE) -> TextMod
     enough = (each.agg(F.sum("n")).first()[0] or 0) * least_share
     rows = rows.join(F.broadcast(each.where(F.col("n") >= enough).select("lang")), "lang", "left_semi")
     rows = rows.mapInArrow(count, "lang string, bucket bigint, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    rows = written(rows, "ngram-counts", texts=True)
     counts: dict[str, np.ndarray] = {}
     for lang, bucket, n in rows.toLocalIterator():
         counts.setdefault(lang, np.zeros(BUCKETS))[bucket] = n
@@ -107,6 +110,7 @@ def _scored(items: DataFrame, model: TextModel) -> DataFrame:
     rest = [f for f in items.schema.fields if f.name != "text"]
 
     def judge(batches):
+        release()
         for batch in batches:
             found = [model.likelihoods(t or "") for t in batch.column(at).to_pylist()]
             arrays = [batch.column(k) for k in range(batch.num_columns) if k != at]
@@ -140,7 +144,7 @@ def identify(items: DataFrame, model: TextModel) -> DataFrame:
     # An unknown place is null throughout; declared languages count by their primary subtag.
     items = items.withColumn("declared", F.lower(F.regexp_extract("declared", r"^\s*([A-Za-z]+)", 1)))
     items = items.withColumn("declared", F.when(F.col("declared") != "", F.col("declared")))
-    rows = written(_scored(items, model), "likelihoods")
+    rows = written(_scored(items, model), "likelihoods", texts=True)
     like = [F.get("likelihood", F.lit(i)) for i in range(k + 1)]
     best = F.array_position("likelihood", F.array_max("likelihood")).cast("int") - 1
     rows = rows.withColumn("shown", best)

@@ -119,7 +119,7 @@ def pack_whole(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capacity:
     columns are ignored.  Among pieces of equal length, any may take any place.  ``keep_ids`` adds the ids
     (little-endian unsigned 32-bit).
     """
-    pieces = written(_pieces(docs, tokenizer_path, end_id, capacity, keep_ids), "whole-pieces")
+    pieces = written(_pieces(docs, tokenizer_path, end_id, capacity, keep_ids), "whole-pieces", texts=True)
     # Rank of a piece among those of its length: its rank within the task that cut it, plus what earlier tasks have.
     counts = pieces.groupBy("task", "length").agg((F.max("rank") + 1).alias("n"))
     earlier = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)

@@ -264,7 +264,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 0, capacity: int =
     null or empty text is ``end_id`` alone.  An empty table gives no pieces.  Other columns
     are ignored.  ``keep_ids`` adds the ids (little-endian unsigned 32-bit).
     """
-    pieces = written(_pieces(docs, tokenizer_path, end_id, capacity, keep_ids), "pieces")
+    pieces = written(_pieces(docs, tokenizer_path, end_id, capacity, keep_ids), "pieces", texts=True)
     # Rank of a piece among those of its length: its rank within the task that cut it, plus what earlier tasks have.
     counts = pieces.groupBy("task", "length").agg((F.max("rank") + 1).alias("n"))
     earlier = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)

@@ -255,4 +255,7 @@ def encoder(path: str, plain: bool = False) -> PieceEncoder:
 
 def release() -> None:
     """Lets go of the encoders that earlier tasks of this worker process have left, where a task needs none."""
-    sys.__dict__.get("_segmentry_encoders", {}).clear()
+    kept = sys.__dict__.get("_segmentry_encoders")
+    if kept:
+        kept.clear()
+        pa.default_memory_pool().release_unused()
