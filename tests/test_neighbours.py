@@ -106,3 +106,21 @@ def test_agglomerative_on_a_sparse_graph(spark, blobs):
     assert agglomerative(df.where("id = 4"), 3).collect()[0]["cluster"] == 0
     with pytest.raises(ValueError):
         merge_rounds(df, "nearest")
+
+
+def test_large_blocks_and_small_batches(spark, monkeypatch):
+    """In many dimensions a query reaches all blocks: it is copied to few large ones, and batches of copies stay small."""
+    for name, value in (("POINTS_PER_PIVOT", 8), ("BLOCK_ROWS", 40), ("QUERY_ROWS", 40), ("NEXT_BLOCKS", 2), ("ROUTE_CELLS", 200), ("ROUTE_ROWS", 16), ("GROUP_CELLS", 500)):
+        monkeypatch.setattr(neighbours, name, value)
+    x = np.random.default_rng(5).normal(size=(400, 12))
+    x[300:] = x[:100]  # copies
+    df = points(spark, x)
+    got = knn_edges(df, 4).orderBy("id", "rank").collect()
+    assert [tuple(r) for r in got] == brute_neighbours(x, range(len(x)), 4)
+    blocks = neighbours.Blocks(df)
+    assert len(blocks.pivots) > 15
+    part = blocks.large(100)
+    assert part.min() == 0 and len(set(part.tolist())) <= 9 and np.bincount(part, blocks.sizes).max() <= 100
+    looking = df.selectExpr("id", "features", "double('inf') AS reach")
+    fine, coarse = (blocks._routed(looking, lambda rank, before: rank >= 0, p, False, "rows") for p in (np.arange(len(part)), part))
+    assert coarse.count() == 400 * len(set(part.tolist())) < fine.count()
